@@ -200,3 +200,125 @@ def q_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = tick_rows(rows, FAN_IN_PERIOD_MS).select(F.lit("tick").alias("kind"), "t",
                                                        F.lit(None).cast("string").alias("vin"))
     return fan_in(msgs, ticks)
+
+
+# -- T2 / T3 / A7 / S9 / W1 / A5 --------------------------------------------
+
+SNAP_PERIOD_MS = 6 * tv.HOUR_MS          # flush tick period of the replay queries
+SNAP_TTL_MS = 12 * tv.HOUR_MS            # idle-device TTL of the replay queries
+SNAP_T_END = 1_706_745_600_000           # 2024-02-01T00:00:00Z, last flush tick replayed
+VIEW_NOW_MS = ORIGIN_MS + 19 * DAY_MS + 60_000   # state-store read time: 1 min after a tick
+WINDOW_FLUSH_MS = DAY_MS                 # W1 window size for the replay query
+WINDOW_FLUSH_LATENESS_MS = tv.HOUR_MS    # W1 allowed lateness for the replay query
+EVENT_WINDOW_MS = 2 * 60 * 1000          # W2 window size
+BATCH_SIZE = 100                         # A5 devices per message
+
+
+def snapshot_ctes(ttl_ms: int | None) -> list[str]:
+    """Oracle for T2/T3: join every tick with every earlier message (arr < T)."""
+    P = SNAP_PERIOD_MS
+    starts = "prev IS NULL" if ttl_ms is None else f"prev IS NULL OR ((prev + {ttl_ms}) // {P} + 1) * {P} <= arr"
+    having = "" if ttl_ms is None else f"HAVING s.t - max(s.arr) <= {ttl_ms}"
+    return [
+        f"""incs AS (
+  SELECT *, sum(CASE WHEN {starts} THEN 1 ELSE 0 END)
+              OVER (PARTITION BY vin ORDER BY arr, seq ROWS UNBOUNDED PRECEDING) AS inc
+  FROM (SELECT *, lag(arr) OVER (PARTITION BY vin ORDER BY arr, seq) AS prev
+        FROM readings WHERE vin <> ''))""",
+        f"""ticks AS (SELECT unnest(generate_series((min(arr) // {P} + 1) * {P}, {SNAP_T_END}, {P})) AS t FROM readings)""",
+        """seen AS (SELECT tk.t, i.* FROM ticks tk JOIN incs i ON i.arr < tk.t)""",
+        """cur AS (SELECT t, vin, max(inc) AS inc FROM seen GROUP BY t, vin)""",
+        f"""live AS (
+  SELECT s.t, s.vin, s.inc FROM seen s JOIN cur c ON s.t = c.t AND s.vin = c.vin AND s.inc = c.inc
+  GROUP BY s.t, s.vin, s.inc {having})""",
+        """snap AS (
+  SELECT t AS tick, vin, sensor, value, received_at, seq FROM (
+    SELECT s.*, row_number() OVER (PARTITION BY s.t, s.vin, s.sensor
+                                   ORDER BY s.received_at DESC, s.seq DESC) AS rn
+    FROM seen s JOIN live l ON s.t = l.t AND s.vin = l.vin AND s.inc = l.inc
+    WHERE s.received_at >= 0) WHERE rn = 1)""",
+    ]
+
+
+def _snapshots(spark: SparkSession, sf_dir: str, ttl_ms: int | None) -> DataFrame:
+    from ..operators.snapshot import snapshots
+    return snapshots(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, ttl_ms, SNAP_T_END)
+
+
+@register("flush_snapshots", sql(*snapshot_ctes(None), select="""
+SELECT tick, vin, sensor, value, received_at, seq FROM snap"""))
+def q_flush_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 without eviction: every device at every tick after its first message."""
+    return _snapshots(spark, sf_dir, None)
+
+
+@register("flush_snapshot_ttl", sql(*snapshot_ctes(SNAP_TTL_MS), select="""
+SELECT tick, vin, sensor, value, received_at, seq FROM snap"""))
+def q_flush_snapshot_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + T3: idle devices evicted at flush and restarted empty."""
+    return _snapshots(spark, sf_dir, SNAP_TTL_MS)
+
+
+@register("flush_stats", sql(*snapshot_ctes(SNAP_TTL_MS), select="""
+SELECT l.tick, l.vin_count, coalesce(v.value_count, 0) AS value_count
+FROM (SELECT t AS tick, count(*) AS vin_count FROM live GROUP BY t) l
+LEFT JOIN (SELECT tick, count(*) AS value_count FROM snap GROUP BY tick) v ON l.tick = v.tick"""))
+def q_flush_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.snapshot import flush_stats
+    return flush_stats(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, SNAP_T_END)
+
+
+@register("state_store_view", sql(*snapshot_ctes(SNAP_TTL_MS), f"""writes AS (
+  SELECT 'latest:' || vin AS key, vin, tick AS produced_at, tick + 300000 AS expires_at,
+         count(*) AS n_sensors, max(received_at) AS max_received_at
+  FROM snap WHERE tick <= {VIEW_NOW_MS} GROUP BY tick, vin)""", select=f"""
+SELECT key, vin, produced_at, expires_at, n_sensors, max_received_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY produced_at DESC) AS rn FROM writes)
+WHERE rn = 1 AND expires_at > {VIEW_NOW_MS}"""))
+def q_state_store_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader of the keyed store sees one minute after a flush."""
+    from ..operators.strategies import state_store_view, state_store_writes
+    writes = state_store_writes(_snapshots(spark, sf_dir, SNAP_TTL_MS))
+    return state_store_view(writes, VIEW_NOW_MS).select(
+        "key", "vin", "produced_at", "expires_at", "n_sensors", "max_received_at")
+
+
+@register("window_flush", sql(*snapshot_ctes(SNAP_TTL_MS), f"""win AS (
+  SELECT *, tick - tick % {WINDOW_FLUSH_MS} AS window_start FROM snap)""", select=f"""
+SELECT window_start, vin, sensor, value, received_at, seq, tick,
+       window_start + {WINDOW_FLUSH_MS} AS produced_at,
+       (window_start + {WINDOW_FLUSH_MS + WINDOW_FLUSH_LATENESS_MS} + {SNAP_PERIOD_MS - 1}) // {SNAP_PERIOD_MS} * {SNAP_PERIOD_MS} AS emit_tick
+FROM (SELECT *, max(tick) OVER (PARTITION BY window_start, vin) AS last_tick FROM win)
+WHERE tick = last_tick
+  AND (window_start + {WINDOW_FLUSH_MS + WINDOW_FLUSH_LATENESS_MS} + {SNAP_PERIOD_MS - 1}) // {SNAP_PERIOD_MS} * {SNAP_PERIOD_MS} <= {SNAP_T_END}"""))
+def q_window_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flush-time tumbling windows (1 day, 1 h lateness) over the TTL snapshots."""
+    from ..operators.strategies import window_flush
+    return window_flush(_snapshots(spark, sf_dir, SNAP_TTL_MS), SNAP_PERIOD_MS, SNAP_T_END,
+                       WINDOW_FLUSH_MS, WINDOW_FLUSH_LATENESS_MS).select(
+        "window_start", "vin", "sensor", "value", "received_at", "seq", "tick", "produced_at", "emit_tick")
+
+
+@register("window_event_time", sql(f"""ew AS (
+  SELECT *, arr - arr % {EVENT_WINDOW_MS} AS window_start FROM readings
+  WHERE vin <> '' AND received_at >= 0)""", select="""
+SELECT window_start, vin, sensor, value, received_at, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start, vin, sensor
+                               ORDER BY received_at DESC, seq DESC) AS rn FROM ew) WHERE rn = 1"""))
+def q_window_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 (batch): 2-minute event-time windows, latest value per sensor inside each."""
+    from ..operators.windows import window_latest
+    return window_latest(tv.readings(spark, sf_dir), EVENT_WINDOW_MS).select(
+        "window_start", "vin", "sensor", "value", "received_at", "seq")
+
+
+@register("batched_payload", sql(LATEST_CTE, f"""devs AS (
+  SELECT vin, (row_number() OVER (ORDER BY vin) - 1) // {BATCH_SIZE} AS msg_idx
+  FROM (SELECT DISTINCT vin FROM latest))""", select="""
+SELECT msg_idx, count(*) AS num_of_data, min(vin) AS min_vin, max(vin) AS max_vin
+FROM devs GROUP BY msg_idx"""))
+def q_batched_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: the merged state packed 100 devices per message."""
+    state = merge.latest_merge(tv.readings(spark, sf_dir))
+    return rollup.batched_payloads(state, BATCH_SIZE, NOW_MS).select(
+        "msg_idx", "num_of_data", "min_vin", "max_vin")
