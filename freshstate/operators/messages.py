@@ -164,7 +164,10 @@ def encode_devices(long_rows: DataFrame, produced_at, value_col: str = "value")
 
 
 def key_extract(messages: DataFrame, raw: str = "payload") -> DataFrame:
-    """Message key = ``data.id``; NULL key when the payload is malformed."""
+    """Message key = ``data.id``. Only the envelope is checked (an object
+    whose ``data`` is an object with a string ``id``); otherwise the key is NULL
+    (the message is an error for the key builder)."""
     v = parsed(raw)
-    ok = v.isNotNull() & ~payload_error(v) & (_vtype(v, "$.data.id") == "STRING")
+    ok = (v.isNotNull() & _is_object(F.schema_of_variant(v)) & _is_object(_vtype(v, "$.data"))
+          & (_vtype(v, "$.data.id") == "STRING"))
     return messages.withColumn("key", F.when(ok, device_id(v)))

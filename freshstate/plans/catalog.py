@@ -322,3 +322,167 @@ def q_batched_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = merge.latest_merge(tv.readings(spark, sf_dir))
     return rollup.batched_payloads(state, BATCH_SIZE, NOW_MS).select(
         "msg_idx", "num_of_data", "min_vin", "max_vin")
+
+
+# -- P1-P4 --------------------------------------------------------------------
+
+ROUTE_SQL_CASE = """CASE event_id % 10 WHEN 0 THEN 'flush' WHEN 1 THEN 'flush' WHEN 2 THEN 'skip'
+  WHEN 3 THEN 'error' WHEN 4 THEN 'skip' WHEN 5 THEN 'error' WHEN 6 THEN 'error'
+  WHEN 7 THEN 'telemetry' WHEN 8 THEN 'error' ELSE 'telemetry' END"""
+
+
+@register("message_route", sql(select=f"""
+SELECT event_id AS seq, {ROUTE_SQL_CASE} AS route FROM events"""))
+def q_message_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .derived import raw_messages
+    msgs = raw_messages(tv.telemetry(spark, sf_dir))
+    return msgs.select("seq", messages.route("value").alias("route"))
+
+
+@register("key_extract", sql(select="""
+SELECT seq, CASE WHEN seq % 10 IN (5, 7, 8, 9) THEN vin END AS key FROM tel"""))
+def q_key_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .derived import raw_messages
+    msgs = raw_messages(tv.telemetry(spark, sf_dir))
+    return messages.key_extract(msgs, raw="value").select("seq", "key")
+
+
+@register("payload_decode", sql(select="""
+SELECT t.seq, t.vin, d.resource_name AS sensor,
+       CASE WHEN d.resource_name IS NULL THEN NULL ELSE t.value END AS value,
+       CASE WHEN d.resource_name IS NULL THEN NULL ELSE t.received_at END AS received_at,
+       t.arr AS produced_at
+FROM tel t LEFT JOIN sensor_dict d ON t.resource_id = d.resource_id"""))
+def q_payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 then P2 on every telemetry row; unknown sensors become id-only payloads."""
+    from .derived import device_messages
+    named = lookup_left(tv.telemetry(spark, sf_dir), tv.sensor_dictionary(spark)).withColumn(
+        "_known", F.col("sensor") != F.col("resource_id"))
+    decoded = messages.decode_payloads(device_messages(named), raw="value", keep=("seq",),
+                                       with_device_rows=True)
+    return decoded.select("seq", "vin", "sensor", F.try_variant_get("value", "$", "double").alias("value"),
+                          "received_at", "produced_at")
+
+
+@register("payload_roundtrip", sql(LATEST_CTE, select="SELECT vin, sensor, value, received_at FROM latest"))
+def q_payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged state -> one payload per device -> decoded back to long form."""
+    state = merge.latest_merge(tv.readings(spark, sf_dir))
+    enc = messages.encode_devices(state, NOW_MS).withColumnRenamed("vin", "_vin")
+    dec = messages.decode_payloads(enc, raw="payload", keep=())
+    return dec.select("vin", "sensor", F.try_variant_get("value", "$", "double").alias("value"), "received_at")
+
+
+# -- S1 / S2 / S4 / S5 / S6 ---------------------------------------------------
+
+STORE_START_MS = ORIGIN_MS + 3 * DAY_MS      # range_scan window
+STORE_STOP_MS = ORIGIN_MS + 27 * DAY_MS
+CHUNK_LOOKBACK_MS = 29 * DAY_MS + 12 * tv.HOUR_MS   # one cycle: 14 chunks of 2 days, remainder unread
+CHUNK_MS = 2 * DAY_MS
+CYCLE_START_MS = ORIGIN_MS + 2 * DAY_MS      # resume point of the incremental cycles
+CYCLE_LOOKBACK_MS = DAY_MS
+CYCLE_CHUNK_MS = 6 * tv.HOUR_MS
+
+
+def pod_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry rows written as a pod-partitioned parquet table (a fresh
+    folder under the shared checkpoint folder), read back for pruned scans."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "pod_table")
+    tv.telemetry(spark, sf_dir).write.partitionBy("pod").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("range_scan", sql(select=f"""
+SELECT seq, vin, pod, arr, resource_id, value FROM tel
+WHERE pod IN (0, 1, 2, 3) AND arr >= {STORE_START_MS} AND arr < {STORE_STOP_MS}"""))
+def q_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.range_scan import range_scan
+    return range_scan(pod_table(spark, sf_dir), [0, 1, 2, 3], STORE_START_MS, STORE_STOP_MS).select(
+        "seq", "vin", "pod", "arr", "resource_id", "value")
+
+
+@register("range_scan_chunks", sql(select=f"""
+SELECT pod, (arr - {ORIGIN_MS}) // {CHUNK_MS} AS chunk, count(*) AS n_rows, min(arr) AS min_arr, max(arr) AS max_arr
+FROM tel WHERE arr >= {ORIGIN_MS} AND arr < {ORIGIN_MS + 14 * CHUNK_MS}
+GROUP BY pod, (arr - {ORIGIN_MS}) // {CHUNK_MS}"""))
+def q_range_scan_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.range_scan import range_scan_chunks
+    r = range_scan_chunks(pod_table(spark, sf_dir), [0, 1, 2, 3], ORIGIN_MS, CHUNK_LOOKBACK_MS, CHUNK_MS)
+    return r.groupBy("pod", "chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.min("arr").alias("min_arr"),
+                                         F.max("arr").alias("max_arr"))
+
+
+@register("incremental_cycles", sql(select=f"""
+SELECT (arr - {CYCLE_START_MS}) // {CYCLE_LOOKBACK_MS} AS cycle, pod,
+       ((arr - {CYCLE_START_MS}) % {CYCLE_LOOKBACK_MS}) // {CYCLE_CHUNK_MS} AS chunk,
+       count(*) AS n_rows, min(seq) AS min_seq, max(seq) AS max_seq
+FROM tel WHERE arr >= {CYCLE_START_MS} GROUP BY 1, 2, 3"""))
+def q_incremental_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 batch form: contiguous 1-day cycles from a resume point, 6-hour chunks."""
+    from ..sources.range_scan import cycles
+    c = cycles(pod_table(spark, sf_dir), CYCLE_START_MS, CYCLE_LOOKBACK_MS, CYCLE_CHUNK_MS)
+    return c.groupBy("cycle", "pod", "chunk").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                 F.min("seq").alias("min_seq"), F.max("seq").alias("max_seq"))
+
+
+@register("record_normalize", sql(select="""
+SELECT 'influx_' || CAST(epoch_us(e.ts) * 1000 AS VARCHAR) AS id,
+       CASE WHEN e.event_id % 5 = 0 THEN t.vin || '-v' ELSE t.vin END AS vincode,
+       CASE WHEN e.event_id % 3 = 0 THEN 'f_' || t.resource_id ELSE t.resource_id END AS resource_id,
+       coalesce(d.resource_name,
+                CASE WHEN e.event_id % 3 = 0 THEN 'f_' || t.resource_id ELSE t.resource_id END) AS resource_name,
+       CAST(CAST(round(t.value * 100) AS BIGINT) AS VARCHAR) AS value,
+       t.arr AS captured_ts, t.arr AS ts, 'influx' AS source, epoch_us(e.ts) * 1000 AS ns_ts
+FROM events e JOIN tel t ON e.event_id = t.seq
+LEFT JOIN sensor_dict d
+  ON d.resource_id = CASE WHEN e.event_id % 3 = 0 THEN 'f_' || t.resource_id ELSE t.resource_id END
+WHERE e.event_id % 13 <> 0"""))
+def q_record_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.range_scan import normalize_records
+    from .derived import store_records
+    recs = store_records(tv.telemetry_from_events(tv.table(spark, sf_dir, "events"), extra=("ts",)))
+    return normalize_records(recs, tv.sensor_dictionary(spark))
+
+
+@register("csv_scan_parse", sql(select="""
+SELECT 'csv_' || CAST(seq AS VARCHAR) AS id, vin AS vincode, resource_id, resource_id AS resource_name,
+       CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS value,
+       CASE WHEN seq % 9 = 6 THEN -42 ELSE arr END AS captured_ts,
+       CASE seq % 9 WHEN 2 THEN 0 WHEN 3 THEN 9223372036854775807 WHEN 4 THEN 0 ELSE received_at END AS ts,
+       'csv' AS source, arr * 1000000 + seq AS ns_ts
+FROM tel WHERE seq % 9 NOT IN (0, 5)"""))
+def q_csv_scan_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading lines derived from events are written as text files and read back."""
+    from ..session import scratch_path
+    from ..sources.lines import read_reading_lines
+    from .derived import reading_lines
+    path = scratch_path(spark, "reading_lines")
+    reading_lines(tv.telemetry(spark, sf_dir)).write.text(path)
+    return read_reading_lines(spark, path, max_lines=None)
+
+
+@register("resource_dim_first", sql(select="""
+SELECT resource_id, resource_name, operation, state, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY resource_id ORDER BY pos) AS rn FROM (
+    SELECT seq AS pos, CASE WHEN seq % 17 = 0 THEN '' ELSE resource_id END AS resource_id,
+           resource_id || '_' || CAST(seq % 3 AS VARCHAR) AS resource_name, 'R' AS operation,
+           CASE WHEN seq % 2 = 0 THEN 'Active' ELSE 'InActive' END AS state FROM tel)
+  WHERE resource_id <> '') WHERE rn = 1"""))
+def q_resource_dim_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.dictionary import dedupe_first
+    from .derived import dictionary_entries
+    return dedupe_first(dictionary_entries(tv.telemetry(spark, sf_dir)))
+
+
+@register("resource_dim_last", sql(select="""
+SELECT resource_id, resource_name, operation, state, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY resource_id ORDER BY pos DESC) AS rn FROM (
+    SELECT seq AS pos, CASE WHEN seq % 17 = 0 THEN '' ELSE resource_id END AS resource_id,
+           resource_id || '_' || CAST(seq % 3 AS VARCHAR) AS resource_name, 'R' AS operation,
+           CASE WHEN seq % 2 = 0 THEN 'Active' ELSE 'InActive' END AS state FROM tel))
+WHERE rn = 1"""))
+def q_resource_dim_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.dictionary import dedupe_last
+    from .derived import dictionary_entries
+    return dedupe_last(dictionary_entries(tv.telemetry(spark, sf_dir)))

@@ -69,8 +69,8 @@ def sensor_dictionary(spark: SparkSession) -> DataFrame:
                                  "resource_id string, resource_name string, operation string, state string")
 
 
-def telemetry_from_events(events: DataFrame) -> DataFrame:
-    """events -> (vin, seq, arr, received_at, resource_id, value, pod, batch_id)."""
+def telemetry_from_events(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """events -> (vin, seq, arr, received_at, resource_id, value, pod, batch_id, *extra)."""
     arr = epoch_millis("ts")
     skew = F.pmod(F.col("event_id") * 7919, F.lit(97)) * HOUR_MS
     return events.select(
@@ -82,6 +82,7 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
         F.col("value"),
         F.pmod(F.col("user_id"), F.lit(PODS)).alias("pod"),
         floor_div(F.col("event_id"), BATCH_ROWS).alias("batch_id"),
+        *extra,
     )
 
 
