@@ -486,3 +486,65 @@ def q_resource_dim_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.dictionary import dedupe_last
     from .derived import dictionary_entries
     return dedupe_last(dictionary_entries(tv.telemetry(spark, sf_dir)))
+
+
+# -- T1 / W2 streaming --------------------------------------------------------
+
+STREAM_FILES = 4                                 # micro-batches of the stream_latest replay
+SENTINEL_TS = "2100-01-01 00:00:00"              # event time that closes every real window
+
+
+def _stream_input(spark: SparkSession, sf_dir: str, files: int) -> tuple[str, object]:
+    """The telemetry rows written as ``files`` parquet files ordered by arrival
+    (Spark-derived input for a file stream); returns (path, schema)."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "stream_in")
+    rows = tv.telemetry_from_events(tv.table(spark, sf_dir, "events"), extra=("ts",))
+    rows.repartitionByRange(files, "seq").sortWithinPartitions("seq").write.parquet(path)
+    return path, rows.schema
+
+
+@register("stream_latest", LATEST_SQL)
+def q_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file stream (one file per micro-batch) through J1 into the
+    versioned latest-state table via foreachBatch; returns the final state."""
+    from ..operators.lookup import lookup_inner
+    from ..session import scratch_path
+    from ..streaming.latest import read_state, start_latest_state
+    path, schema = _stream_input(spark, sf_dir, STREAM_FILES)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    readings = lookup_inner(stream, tv.sensor_dictionary(spark))
+    state_path = scratch_path(spark, "latest_state")
+    q = start_latest_state(readings.select("vin", "sensor", "value", "received_at", "seq"),
+                           state_path, scratch_path(spark, "latest_ckpt"))
+    q.awaitTermination()
+    return read_state(spark, state_path).where(F.col("sensor").isNotNull()).select(
+        "vin", "sensor", "value", "received_at", "seq")
+
+
+@register("stream_window", REGISTRY["window_event_time"].sql)
+def q_stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watermark (10 s) + 2-minute event-time windows, append mode into a
+    parquet sink. A far-future sentinel row, written last, moves the watermark
+    past every real window; its own window never closes."""
+    from ..operators.lookup import lookup_inner
+    from ..session import scratch_path
+    from ..streaming.window import windowed_latest
+    path, schema = _stream_input(spark, sf_dir, 1)
+    sentinel_ms = F.unix_millis(F.lit(SENTINEL_TS).cast("timestamp"))
+    sentinel = (spark.read.parquet(path).orderBy(F.col("seq").desc()).limit(1)
+                .withColumn("seq", F.col("seq") + 1)
+                .withColumn("arr", sentinel_ms)
+                .withColumn("resource_id", F.lit(tv.SENSOR_DICTIONARY[0][0]))
+                .withColumn("ts", F.lit(SENTINEL_TS).cast("timestamp_ntz")))
+    sentinel.write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).parquet(path)
+    readings = lookup_inner(stream, tv.sensor_dictionary(spark)).withColumn(
+        "event_time", F.timestamp_millis("arr"))
+    out = scratch_path(spark, "window_out")
+    q = (windowed_latest(readings, "event_time", EVENT_WINDOW_MS, 10_000)
+         .writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "window_ckpt"))
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).where(F.col("window_start") < sentinel_ms).select("window_start", "vin", "sensor", "value", "received_at", "seq")
