@@ -548,3 +548,28 @@ def q_stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).where(F.col("window_start") < sentinel_ms).select("window_start", "vin", "sensor", "value", "received_at", "seq")
+
+
+# -- volume: A2 on lineitem ---------------------------------------------------
+
+@register("latest_merge_volume", sql(select="""
+SELECT vin, sensor, value, received_at, seq FROM (
+  SELECT 'SUP' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS vin,
+         'line_' || CAST(l_linenumber AS VARCHAR) AS sensor,
+         l_extendedprice AS value, epoch_us(l_shipdate) // 1000 AS received_at,
+         l_orderkey * 8 + l_linenumber AS seq,
+         row_number() OVER (PARTITION BY l_suppkey, l_linenumber
+                            ORDER BY epoch_us(l_shipdate) // 1000 DESC, l_orderkey * 8 + l_linenumber DESC) AS rn
+  FROM lineitem) WHERE rn = 1"""))
+def q_latest_merge_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 over lineitem read as readings: device = supplier, sensor = line number,
+    received_at = ship date, arrival = (order, line)."""
+    from ..functions import epoch_millis
+    li = tv.table(spark, sf_dir, "lineitem")
+    rows = li.select(
+        F.concat(F.lit("SUP"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0")).alias("vin"),
+        F.concat(F.lit("line_"), F.col("l_linenumber").cast("string")).alias("sensor"),
+        F.col("l_extendedprice").alias("value"),
+        epoch_millis("l_shipdate").alias("received_at"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"))
+    return merge.latest_merge(rows).select("vin", "sensor", "value", "received_at", "seq")
