@@ -23,73 +23,106 @@ ROUTE_TELEMETRY = "telemetry"
 _INT_TYPES = "('TINYINT', 'SMALLINT', 'INT', 'BIGINT')"
 
 
-def _vtype(v: Column, path: str) -> Column:
-    """schema_of_variant of the value at ``path``; NULL when the path is absent."""
-    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
-
-
 def _is_int_or_absent(t: Column) -> Column:
     return t.isNull() | t.isin("VOID", "TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
-def _is_object(t: Column) -> Column:
-    return t.startswith("OBJECT")
-
-
 def parsed(raw) -> Column:
     """VARIANT of a message body (string or binary); NULL when not valid JSON."""
-    c = col(raw)
-    return F.try_parse_json(c.cast("string"))
+    return F.try_parse_json(col(raw).cast("string"))
+
+
+_ENVELOPE = "struct<_flush:variant,num_of_data:variant,produced_at:variant,data:variant>"
+
+
+def with_envelope(messages: DataFrame, raw: str = "value") -> DataFrame:
+    """Adds ``_v`` (parsed body), ``_env`` (top-level members, NULL unless the
+    body is an object) and ``_dmap`` (``data`` as map, NULL unless an object).
+
+    Chained projections: each piece is computed once per message (the
+    optimizer does not collapse projections that would repeat them), and only
+    small scalars are ever passed to ``schema_of_variant``.
+    """
+    a = messages.withColumn("_v", parsed(raw))
+    b = a.withColumn("_env", F.try_variant_get("_v", "$", _ENVELOPE))
+    return b.withColumn("_dmap", F.try_variant_get(F.col("_env.data"), "$", "map<string,variant>"))
+
+
+def _void(x: Column) -> Column:
+    return F.coalesce(F.is_variant_null(x), F.lit(False))
+
+
+def _int_or_absent(x: Column) -> Column:
+    """A VARIANT member that is absent, JSON null, or a JSON integer."""
+    return x.isNull() | _is_int_or_absent(F.schema_of_variant(x))
+
+
+def _sensor_ok(e: Column) -> Column:
+    """A sensor member is JSON null, or an object whose received_at is an integer (or absent)."""
+    obj = F.try_variant_get(e, "$", "struct<received_at:variant>")
+    return _void(e) | (obj.isNotNull() & _int_or_absent(obj["received_at"]))
 
 
-def is_flush(v: Column) -> Column:
+def _cols(v=None, env=None, dmap=None):
+    return (F.col("_v") if v is None else v, F.col("_env") if env is None else env,
+            F.col("_dmap") if dmap is None else dmap)
+
+
+def flush_col(env: Column | None = None) -> Column:
     """``_flush`` is the JSON boolean ``true`` (the string "true" is not)."""
-    t = _vtype(v, "$._flush")
-    return F.coalesce((t == "BOOLEAN") & F.try_variant_get(v, "$._flush", "boolean"), F.lit(False))
+    f = (F.col("_env") if env is None else env)["_flush"]
+    return F.coalesce((F.schema_of_variant(f) == "BOOLEAN") & F.try_variant_get(f, "$", "boolean"), F.lit(False))
 
 
-def payload_error(v: Column) -> Column:
-    """True when a parsed message cannot be decoded as a single-device payload.
+def error_col(v: Column | None = None, env: Column | None = None, dmap: Column | None = None) -> Column:
+    """True when the message cannot be decoded as a single-device payload.
 
-    Rules: top level must be an object (or JSON null); ``num_of_data`` and
-    ``produced_at`` integers; ``data`` an object (an array is a batched payload,
-    an error to the merger); ``data.id`` a string; every other member of
-    ``data`` an object with an integer ``received_at`` (or null).
+    Rules: the body is an object (or JSON null); ``num_of_data`` and
+    ``produced_at`` are integers; ``data`` is an object (an array is a batched
+    payload, an error to the merger); ``data.id`` is a string; every other
+    member of ``data`` is an object with an integer ``received_at`` (or null).
     """
-    top = F.schema_of_variant(v)
-    data_t = _vtype(v, "$.data")
-    data_map = F.try_variant_get(v, "$.data", "map<string,variant>")
-    bad_sensor = F.exists(
-        F.map_entries(data_map),
-        lambda e: (e["key"] != "id") & ~(
-            (F.schema_of_variant(e["value"]) == "VOID")
-            | (_is_object(F.schema_of_variant(e["value"]))
-               & _is_int_or_absent(F.schema_of_variant(
-                   F.try_variant_get(e["value"], "$.received_at", "variant")))))
-    )
-    id_t = _vtype(v, "$.data.id")
+    v, env, dmap = _cols(v, env, dmap)
+    data = env["data"]
+    id_v = F.element_at(dmap, F.lit("id"))
+    bad_sensor = F.exists(F.map_entries(dmap), lambda e: (e["key"] != "id") & ~_sensor_ok(e["value"]))
     return (
-        ~(_is_object(top) | (top == "VOID"))
-        | ~_is_int_or_absent(_vtype(v, "$.num_of_data"))
-        | ~_is_int_or_absent(_vtype(v, "$.produced_at"))
-        | ~(data_t.isNull() | (data_t == "VOID") | _is_object(data_t))
-        | (_is_object(data_t) & ~(id_t.isNull() | id_t.isin("VOID", "STRING")))
+        (env.isNull() & ~_void(v))
+        | ~_int_or_absent(env["num_of_data"])
+        | ~_int_or_absent(env["produced_at"])
+        | ~(data.isNull() | _void(data) | dmap.isNotNull())
+        | ~(id_v.isNull() | F.schema_of_variant(id_v).isin("VOID", "STRING"))
         | F.coalesce(bad_sensor, F.lit(False))
     )
 
 
-def device_id(v: Column) -> Column:
+def device_id_col(dmap: Column | None = None) -> Column:
     """``data.id`` as a string, '' when absent or null."""
-    return F.coalesce(F.try_variant_get(v, "$.data.id", "string"), F.lit(""))
+    dmap = F.col("_dmap") if dmap is None else dmap
+    return F.coalesce(F.try_variant_get(F.element_at(dmap, F.lit("id")), "$", "string"), F.lit(""))
 
 
-def route(raw) -> Column:
+def route_col(v: Column | None = None, env: Column | None = None, dmap: Column | None = None) -> Column:
     """Flush / error / skip / telemetry, tested in that order."""
-    return route_v(parsed(raw))
+    v, env, dmap = _cols(v, env, dmap)
+    return (F.when(v.isNull(), F.lit(ROUTE_ERROR))
+            .when(flush_col(env), F.lit(ROUTE_FLUSH))
+            .when(error_col(v, env, dmap), F.lit(ROUTE_ERROR))
+            .when(device_id_col(dmap) == "", F.lit(ROUTE_SKIP))
+            .otherwise(F.lit(ROUTE_TELEMETRY)))
+
+
+def with_route(messages: DataFrame, raw: str = "value", keep_parsed: bool = False) -> DataFrame:
+    """Adds ``route``; with ``keep_parsed`` the ``_v/_env/_dmap`` columns stay."""
+    out = with_envelope(messages, raw).withColumn("route", route_col())
+    return out if keep_parsed else out.drop("_v", "_env", "_dmap")
 
 
-def with_route(messages: DataFrame, raw: str = "value") -> DataFrame:
-    return messages.withColumn("route", route(raw))
+def route(raw) -> Column:
+    """P1 as a single expression (convenient; ``with_route`` is the fast path)."""
+    v = parsed(raw)
+    env = F.try_variant_get(v, "$", _ENVELOPE)
+    return route_col(v, env, F.try_variant_get(env["data"], "$", "map<string,variant>"))
 
 
 def decode_payloads(messages: DataFrame, raw: str = "value",
@@ -102,38 +135,31 @@ def decode_payloads(messages: DataFrame, raw: str = "value",
     are dropped. With ``with_device_rows`` an id-only payload yields one row
     with ``sensor`` NULL, so the device is still created/refreshed downstream.
     """
-    v = parsed(raw)
-    m = messages.select(*keep, v.alias("_v")).where(route_v(F.col("_v")) == ROUTE_TELEMETRY)
-    entries = F.filter(F.map_entries(F.try_variant_get(F.col("_v"), "$.data", "map<string,variant>")),
-                       lambda e: e["key"] != "id")
-    base = m.select(*keep,
-                    device_id(F.col("_v")).alias("vin"),
-                    F.coalesce(F.try_variant_get(F.col("_v"), "$.produced_at", "bigint"), F.lit(0)).alias("produced_at"),
-                    entries.alias("_e"))
+    # The route test sits inside the generator input and the generator is an
+    # outer explode filtered on its *output*: a Filter on the route (or the
+    # size(...) > 0 filter Spark infers for a plain explode) would be pushed
+    # below the projections and re-evaluate the parse and envelope extraction.
+    routed = with_route(messages.select(*keep, raw), raw, keep_parsed=True)
+    entries = F.map_entries(F.map_filter("_dmap", lambda k, v: k != "id"))
     if with_device_rows:
-        exploded = base.select(*keep, "vin", "produced_at", F.explode_outer("_e").alias("_s"))
-    else:
-        exploded = base.select(*keep, "vin", "produced_at", F.explode("_e").alias("_s"))
+        none = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")))
+        entries = F.when(F.size(entries) == 0, none).otherwise(entries)
+    base = routed.select(
+        *keep, device_id_col().alias("vin"),
+        F.coalesce(F.try_variant_get(F.col("_env.produced_at"), "$", "bigint"), F.lit(0)).alias("produced_at"),
+        F.when(F.col("route") == ROUTE_TELEMETRY, entries).alias("_m"))
+    exploded = (base.select(*keep, "vin", "produced_at", F.explode_outer("_m").alias("_e"))
+                .where(F.col("_e").isNotNull()))
+    metric = F.try_variant_get(F.col("_e.value"), "$", "struct<value:variant,received_at:bigint>")
     return exploded.select(
-        *keep, "vin",
-        F.col("_s.key").alias("sensor"),
-        F.try_variant_get(F.col("_s.value"), "$.value", "variant").alias("value"),
-        F.when(F.col("_s").isNull(), F.lit(None).cast("long"))
-         .otherwise(F.coalesce(F.try_variant_get(F.col("_s.value"), "$.received_at", "bigint"), F.lit(0)))
-         .alias("received_at"),
+        *keep, "vin", F.col("_e.key").alias("sensor"),
+        metric["value"].alias("value"),
+        F.when(F.col("_e.key").isNull(), F.lit(None).cast("long"))
+         .otherwise(F.coalesce(metric["received_at"], F.lit(0))).alias("received_at"),
         "produced_at",
     )
 
 
-def route_v(v: Column) -> Column:
-    """``route`` on an already-parsed VARIANT column."""
-    return (F.when(v.isNull(), F.lit(ROUTE_ERROR))
-            .when(is_flush(v), F.lit(ROUTE_FLUSH))
-            .when(payload_error(v), F.lit(ROUTE_ERROR))
-            .when(device_id(v) == "", F.lit(ROUTE_SKIP))
-            .otherwise(F.lit(ROUTE_TELEMETRY)))
-
-
 def data_object(vin: Column, entries: Column) -> Column:
     """Flattened device object as VARIANT: ``id`` plus one member per sensor.
 
@@ -167,7 +193,7 @@ def key_extract(messages: DataFrame, raw: str = "payload") -> DataFrame:
     """Message key = ``data.id``. Only the envelope is checked (an object
     whose ``data`` is an object with a string ``id``); otherwise the key is NULL
     (the message is an error for the key builder)."""
-    v = parsed(raw)
-    ok = (v.isNotNull() & _is_object(F.schema_of_variant(v)) & _is_object(_vtype(v, "$.data"))
-          & (_vtype(v, "$.data.id") == "STRING"))
-    return messages.withColumn("key", F.when(ok, device_id(v)))
+    e = with_envelope(messages, raw)
+    id_v = F.element_at(F.col("_dmap"), F.lit("id"))
+    ok = F.col("_dmap").isNotNull() & (F.schema_of_variant(id_v) == "STRING")
+    return e.withColumn("key", F.when(ok, F.try_variant_get(id_v, "$", "string"))).drop("_v", "_env", "_dmap")

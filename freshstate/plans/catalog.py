@@ -336,7 +336,7 @@ SELECT event_id AS seq, {ROUTE_SQL_CASE} AS route FROM events"""))
 def q_message_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .derived import raw_messages
     msgs = raw_messages(tv.telemetry(spark, sf_dir))
-    return msgs.select("seq", messages.route("value").alias("route"))
+    return messages.with_route(msgs, "value").select("seq", "route")
 
 
 @register("key_extract", sql(select="""
