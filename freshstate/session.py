@@ -42,25 +42,26 @@ def apply_required_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and state tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the SparkContext
-    checkpoint dir). Never invents a machine-local folder: callers such as
-    tests set one explicitly when the session has none.
+    Read from the session: the SparkContext checkpoint dir, else the
+    ``spark.checkpoint.dir`` setting. Never invents a machine-local folder:
+    callers such as tests set one explicitly when the session has none.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if d:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
     if not d:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; configure a shared folder "
             "(tests set a scratch folder with set_checkpoint_dir)")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
 def set_checkpoint_dir(spark: SparkSession, path: str) -> None:
-    """Only for sessions where the setting is unset (tests, local runs)."""
-    spark.conf.set("spark.checkpoint.dir", path)
+    """Only for sessions without a checkpoint folder (tests, local runs)."""
     spark.sparkContext.setCheckpointDir(path)
 
 
