@@ -573,3 +573,48 @@ def q_latest_merge_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
         epoch_millis("l_shipdate").alias("received_at"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"))
     return merge.latest_merge(rows).select("vin", "sensor", "value", "received_at", "seq")
+
+
+# -- more T4 / W2 views ---------------------------------------------------------
+
+@register("window_device_rollup", sql(f"""ew AS (
+  SELECT *, arr - arr % {EVENT_WINDOW_MS} AS window_start FROM readings
+  WHERE vin <> '' AND received_at >= 0)""", f"""wl AS (
+  SELECT window_start, vin, sensor, received_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY window_start, vin, sensor
+                                 ORDER BY received_at DESC, seq DESC) AS rn FROM ew) WHERE rn = 1)""", select="""
+SELECT window_start, vin, count(*) AS n_sensors, max(received_at) AS max_received_at
+FROM wl GROUP BY window_start, vin"""))
+def q_window_device_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 chained with a device roll-up per (window, vin)."""
+    from ..operators.windows import window_device_rollup, window_latest
+    return window_device_rollup(window_latest(tv.readings(spark, sf_dir), EVENT_WINDOW_MS)).select(
+        "window_start", "vin", "n_sensors", "max_received_at")
+
+
+@register("flush_inline", sql(*snapshot_ctes(SNAP_TTL_MS), select="""
+SELECT tick, vin AS key, count(*) AS n_sensors, max(received_at) AS max_received_at, tick AS produced_at
+FROM snap GROUP BY tick, vin"""))
+def q_flush_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 inline: one keyed payload per live device per flush, decoded back to scalars."""
+    from ..operators.strategies import emit
+    out = emit("inline", _snapshots(spark, sf_dir, SNAP_TTL_MS))
+    dec = messages.with_envelope(out, "value")
+    members = F.map_filter("_dmap", lambda k, v: k != "id")
+    return dec.select(
+        "tick", "key", F.size(members).cast("long").alias("n_sensors"),
+        F.array_max(F.transform(F.map_values(members),
+                                lambda m: F.try_variant_get(m, "$.received_at", "bigint"))).alias("max_received_at"),
+        F.try_variant_get(F.col("_env.produced_at"), "$", "bigint").alias("produced_at"))
+
+
+@register("batched_flush", sql(*snapshot_ctes(SNAP_TTL_MS), f"""devs AS (
+  SELECT tick, vin, (row_number() OVER (PARTITION BY tick ORDER BY vin) - 1) // {BATCH_SIZE} AS msg_idx
+  FROM (SELECT DISTINCT tick, vin FROM snap))""", select="""
+SELECT tick, msg_idx, count(*) AS num_of_data, min(vin) AS min_vin, max(vin) AS max_vin
+FROM devs GROUP BY tick, msg_idx"""))
+def q_batched_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 log_compacted with batch size 100: every flush packed on its own (A5 per tick)."""
+    from ..operators.strategies import emit
+    out = emit("log_compacted", _snapshots(spark, sf_dir, SNAP_TTL_MS), batch_size=BATCH_SIZE)
+    return out.select("tick", "msg_idx", "num_of_data", "min_vin", "max_vin")
