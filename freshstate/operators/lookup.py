@@ -7,20 +7,29 @@ the join stays a shuffle join and AQE may still convert it at run time.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
+# per session: semantic hash of a checked plan -> its bounded row count
+_CHECKED: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(dim)`` if it holds at most ``max_rows`` rows, else ``dim``.
 
     The check runs a count over ``limit(max_rows + 1)`` so it stays cheap even
-    when the side turns out to be large.
+    when the side turns out to be large; the result is remembered per session
+    for the same plan (same semantic hash).
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    memo = _CHECKED.setdefault(dim.sparkSession, {})
+    key = (dim.semanticHash(), max_rows)
+    if key not in memo:
+        memo[key] = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if memo[key] <= max_rows else dim
 
 
 def _names(dim: DataFrame, active_only: bool) -> DataFrame:

@@ -68,3 +68,30 @@ def set_checkpoint_dir(spark: SparkSession, path: str) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/freshstate/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, executor_cores_total: int,
+               target_partition_bytes: int = 128 * 1024 * 1024) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at ~one per ``target_partition_bytes`` of input
+    (at least 2× the cores) and AQE coalesces them down to the advisory size
+    at run time, so every reducer's slice fits executor memory even before
+    the map-side combine shrinks it. File splits match the same size. Skewed
+    partitions are split by AQE (the kernels already pre-aggregate map-side).
+    """
+    parts = max(2 * executor_cores_total, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.variant.allowDuplicateKeys": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
