@@ -618,3 +618,64 @@ def q_batched_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.strategies import emit
     out = emit("log_compacted", _snapshots(spark, sf_dir, SNAP_TTL_MS), batch_size=BATCH_SIZE)
     return out.select("tick", "msg_idx", "num_of_data", "min_vin", "max_vin")
+
+
+# -- volume: T2/T3 replay on lineitem --------------------------------------------
+
+LI_DAY_MS = DAY_MS
+LI_SEQ_SHIFT = 1 << 40                   # seq = ship day * 2^40 + order * 8 + line (monotone in arrival)
+LI_PERIOD_MS = 30 * DAY_MS               # flush every 30 days
+LI_TTL_MS = 45 * DAY_MS                  # evict suppliers idle for 45 days
+LI_T_END = 915_148_800_000               # 1999-01-01T00:00:00Z
+
+LINEITEM_READINGS_CTE = f"""li AS (
+  SELECT 'SUP' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS vin,
+         'line_' || CAST(l_linenumber AS VARCHAR) AS sensor,
+         l_extendedprice AS value,
+         epoch_us(l_shipdate) // 1000 AS arr,
+         epoch_us(l_shipdate) // 1000 - (l_orderkey % 5) * {LI_DAY_MS} AS received_at,
+         (epoch_us(l_shipdate) // 1000 // {LI_DAY_MS}) * {LI_SEQ_SHIFT} + l_orderkey * 8 + l_linenumber AS seq
+  FROM lineitem)"""
+
+
+def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as readings: device = supplier, sensor = line number, arrival =
+    ship date, received_at = ship date minus 0-4 days (out of order, tied)."""
+    from ..functions import epoch_millis, floor_div
+    li = tv.table(spark, sf_dir, "lineitem")
+    arr = epoch_millis("l_shipdate")
+    return li.select(
+        F.concat(F.lit("SUP"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0")).alias("vin"),
+        F.concat(F.lit("line_"), F.col("l_linenumber").cast("string")).alias("sensor"),
+        F.col("l_extendedprice").alias("value"),
+        arr.alias("arr"),
+        (arr - F.pmod("l_orderkey", F.lit(5)) * LI_DAY_MS).alias("received_at"),
+        (floor_div(arr, LI_DAY_MS) * LI_SEQ_SHIFT + F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"))
+
+
+def _li_snapshot_sql() -> str:
+    P, ttl = LI_PERIOD_MS, LI_TTL_MS
+    return sql(LINEITEM_READINGS_CTE, f"""incs AS (
+  SELECT *, sum(CASE WHEN prev IS NULL OR ((prev + {ttl}) // {P} + 1) * {P} <= arr THEN 1 ELSE 0 END)
+              OVER (PARTITION BY vin ORDER BY arr, seq ROWS UNBOUNDED PRECEDING) AS inc
+  FROM (SELECT *, lag(arr) OVER (PARTITION BY vin ORDER BY arr, seq) AS prev FROM li))""",
+               f"""ticks AS (SELECT unnest(generate_series((min(arr) // {P} + 1) * {P}, {LI_T_END}, {P})) AS t FROM li)""",
+               """seen AS (SELECT tk.t, i.* FROM ticks tk JOIN incs i ON i.arr < tk.t)""",
+               """cur AS (SELECT t, vin, max(inc) AS inc FROM seen GROUP BY t, vin)""",
+               f"""live AS (
+  SELECT s.t, s.vin, s.inc FROM seen s JOIN cur c ON s.t = c.t AND s.vin = c.vin AND s.inc = c.inc
+  GROUP BY s.t, s.vin, s.inc HAVING s.t - max(s.arr) <= {ttl})""",
+               """snap AS (
+  SELECT t AS tick, vin, sensor, value, received_at, seq FROM (
+    SELECT s.*, row_number() OVER (PARTITION BY s.t, s.vin, s.sensor
+                                   ORDER BY s.received_at DESC, s.seq DESC) AS rn
+    FROM seen s JOIN live l ON s.t = l.t AND s.vin = l.vin AND s.inc = l.inc
+    WHERE s.received_at >= 0) WHERE rn = 1)""", select="""
+SELECT tick, vin, sensor, value, received_at, seq FROM snap""")
+
+
+@register("flush_snapshot_volume", _li_snapshot_sql())
+def q_flush_snapshot_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + T3 on lineitem: 30-day flushes, 45-day idle TTL, every supplier × line."""
+    from ..operators.snapshot import snapshots
+    return snapshots(lineitem_readings(spark, sf_dir), LI_PERIOD_MS, LI_TTL_MS, LI_T_END)
