@@ -20,25 +20,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.merge import latest_merge
 from ..operators.strategies import emit
+from .emitters import read_version, write_version
 
 
 def read_state(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame | None:
     """The newest committed state version (optionally older than ``before``)."""
-    try:
-        all_versions = spark.read.parquet(state_path)
-    except AnalysisException:
-        return None
-    vs = all_versions.select("version").distinct()
-    if before is not None:
-        vs = vs.where(F.col("version") < before)
-    latest = vs.agg(F.max("version")).first()[0]   # partition values only: a metadata scan
-    if latest is None:
-        return None
-    return all_versions.where(F.col("version") == latest).drop("version")
+    return read_version(spark, state_path, before)
 
 
 def merge_state(prev: DataFrame | None, batch: DataFrame, now_ms: int, ttl_ms: int | None,
@@ -68,7 +58,8 @@ class LatestStateBatch:
     def __init__(self, state_path: str, ttl_ms: int | None = None, carry: tuple[str, ...] = ("value",),
                  strategy: str | None = None, strategy_options: dict | None = None,
                  emit_fn: Callable[[DataFrame, int], None] | None = None,
-                 clock: Callable[[], int] | None = None):
+                 clock: Callable[[], int] | None = None,
+                 emitter: Callable[[DataFrame, int, int], None] | None = None):
         self.state_path = state_path.rstrip("/")
         self.ttl_ms = ttl_ms
         self.carry = carry
@@ -76,18 +67,24 @@ class LatestStateBatch:
         self.strategy_options = strategy_options or {}
         self.emit_fn = emit_fn
         self.clock = clock or (lambda: int(time.time() * 1000))
+        self.emitter = emitter
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         now = self.clock()
         prev = read_state(spark, self.state_path, before=batch_id)
         state = merge_state(prev, batch, now, self.ttl_ms, self.carry)
-        state.write.mode("overwrite").parquet(f"{self.state_path}/version={batch_id}")
-        if self.strategy is not None and self.emit_fn is not None:
-            written = read_state(spark, self.state_path)
-            snap = (written.where(F.col("sensor").isNotNull())
-                    .select("vin", "sensor", *self.carry, "received_at", "seq")
-                    .withColumn("tick", F.lit(int(now)).cast("long")))
+        write_version(state, self.state_path, batch_id)
+        if self.emitter is None and (self.strategy is None or self.emit_fn is None):
+            return
+        # emit from the version just written (lineage cut at the state table)
+        written = spark.read.parquet(f"{self.state_path}/version={batch_id}")
+        snap = (written.where(F.col("sensor").isNotNull())
+                .select("vin", "sensor", *self.carry, "received_at", "seq")
+                .withColumn("tick", F.lit(int(now)).cast("long")))
+        if self.emitter is not None:
+            self.emitter(snap, batch_id, now)
+        else:
             self.emit_fn(emit(self.strategy, snap, **self.strategy_options), batch_id)
 
 

@@ -82,3 +82,58 @@ def test_route_metrics(spark):
     obs = observe_routes(with_route(df))
     assert obs.count() == 3
     assert json.dumps(sorted(r.route for r in obs.collect())) == json.dumps(["error", "flush", "telemetry"])
+
+
+def test_state_store_emitter(spark, scratch):
+    from freshstate.streaming.emitters import StateStoreEmitter
+    clock = iter([0, 4 * 60_000, 8 * 60_000])
+    em = StateStoreEmitter(scratch("kv"))
+    fn = SL.LatestStateBatch(scratch("state"), ttl_ms=None, emitter=em, clock=lambda: next(clock))
+    fn(spark.createDataFrame([("V1", "s", "1", 1, 1, 1)], SCHEMA), 0)
+    fn(spark.createDataFrame([("V2", "s", "2", 1, 2, 2)], SCHEMA), 1)
+    fn(spark.createDataFrame([("V2", "s", "3", 2, 3, 3)], SCHEMA), 2)
+    # every flush re-writes every live device, so both keys stay fresh
+    view = {r.key: r.produced_at for r in em.view(spark, 8 * 60_000 + 1).collect()}
+    assert view == {"latest:V1": 8 * 60_000, "latest:V2": 8 * 60_000}
+    got = json.loads([r.value for r in em.view(spark, 8 * 60_000).collect() if r.key == "latest:V2"][0])
+    assert got["data"]["s"]["value"] == "3"
+
+
+def test_window_stream_emitter(spark, scratch):
+    from freshstate.streaming.emitters import WindowStreamEmitter
+    out = []
+    em = WindowStreamEmitter(scratch("buf"), lambda df, i: out.extend(
+        (i, r.window_start, r.vin, r.value, r.produced_at) for r in df.collect()), 120_000, 10_000)
+    clock = iter([0, 30_000, 60_000, 150_000])
+    fn = SL.LatestStateBatch(scratch("state"), emitter=em, clock=lambda: next(clock))
+    fn(spark.createDataFrame([("V", "s", "a", 1, 1, 1)], SCHEMA), 0)
+    fn(spark.createDataFrame([("V", "s", "b", 2, 2, 2)], SCHEMA), 1)
+    fn(spark.createDataFrame([("W", "s", "c", 1, 3, 3)], SCHEMA), 2)
+    assert out == []
+    fn(spark.createDataFrame([("V", "s", "d", 3, 4, 4)], SCHEMA), 3)
+    # window [0, 120 s) closes at 130 s: last flush in it (60 s) wins per device
+    assert sorted(out) == [(3, 0, "V", "b", 120_000), (3, 0, "W", "c", 120_000)]
+
+
+def test_idle_ticks_flush_and_evict(spark, scratch):
+    import time as _t
+    src = scratch("src")
+    write_batches(spark, src, [[("VIN_A", "s", "1", 1, 1, 1)]])
+    files = spark.readStream.schema(SCHEMA).parquet(f"{src}/*")
+    ticks = SL.with_flush_ticks(files, rows_per_second=1)
+    calls = {"n": 0}
+
+    def clock():
+        calls["n"] += 1
+        return calls["n"] * 6 * 60_000      # every flush is 6 minutes later
+    seen = []
+    state = scratch("state")
+    q = SL.start_latest_state(ticks, state, scratch("ck"), trigger={"processingTime": "1 second"},
+                              ttl_ms=10 * 60_000, strategy="inline", clock=clock,
+                              emit_fn=lambda df, i: seen.append(sorted(r.key for r in df.collect())))
+    deadline = _t.time() + 90
+    while len(seen) < 4 and _t.time() < deadline:
+        _t.sleep(1)
+    q.stop()
+    # flushes keep running without new data; VIN_A (seen at 6 min) is gone by 18 min
+    assert seen[0] == ["VIN_A"] and ["VIN_A"] not in seen[2:4] and len(seen) >= 4
