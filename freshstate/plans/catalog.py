@@ -679,3 +679,25 @@ def q_flush_snapshot_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2 + T3 on lineitem: 30-day flushes, 45-day idle TTL, every supplier × line."""
     from ..operators.snapshot import snapshots
     return snapshots(lineitem_readings(spark, sf_dir), LI_PERIOD_MS, LI_TTL_MS, LI_T_END)
+
+
+@register("stream_state_store", sql(LATEST_CTE, select="""
+SELECT 'latest:' || vin AS key, vin, count(*) AS n_sensors, max(received_at) AS max_received_at
+FROM latest GROUP BY vin"""))
+def q_stream_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 in streaming: every micro-batch (flush) upserts ``latest:<vin>`` into
+    the keyed store; the view after the last flush shows every device."""
+    from ..operators.lookup import lookup_inner
+    from ..session import scratch_path
+    from ..streaming.emitters import StateStoreEmitter
+    from ..streaming.latest import start_latest_state
+    path, schema = _stream_input(spark, sf_dir, STREAM_FILES)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    readings = lookup_inner(stream, tv.sensor_dictionary(spark))
+    store = StateStoreEmitter(scratch_path(spark, "kv_store"))
+    ticks = iter(range(NOW_MS, NOW_MS + 10_000_000, 1_000))   # deterministic flush clock, 1 s apart
+    q = start_latest_state(readings.select("vin", "sensor", "value", "received_at", "seq"),
+                           scratch_path(spark, "kv_state"), scratch_path(spark, "kv_ckpt"),
+                           emitter=store, clock=lambda: next(ticks))
+    q.awaitTermination()
+    return store.view(spark, NOW_MS + STREAM_FILES * 1_000).select("key", "vin", "n_sensors", "max_received_at")

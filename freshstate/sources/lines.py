@@ -8,7 +8,7 @@ and 8 parse as int64 with a strict grammar (else 0, clamped on overflow).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import parse_int64
@@ -40,14 +40,28 @@ def parse_lines(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...]
 def read_reading_lines(spark: SparkSession, paths: str | list[str],
                        max_lines: int | None = DEFAULT_MAX_LINES) -> DataFrame:
     """Read CSV reading files; with ``max_lines`` keep the first valid rows in
-    file order (file path, block, position), numbered with a distributed index."""
+    file order (file path, block, position).
+
+    The cap never sorts the whole input. One aggregation counts valid rows per
+    file block. A window over that table (one row per block, bounded by the
+    file listing, not by rows) gives each block's offset, and only blocks
+    starting before ``max_lines`` are kept (a size-checked broadcast join).
+    Only those rows, at most ``max_lines`` plus one block, are numbered with
+    ``global_index``.
+    """
     raw = spark.read.text(paths)
     if max_lines is None:
         return parse_lines(raw)
+    from ..operators.lookup import bounded_broadcast
+    from ..operators.rollup import global_index
     tagged = raw.select(F.col("value"), F.col("_metadata.file_path").alias("_file"),
                         F.col("_metadata.file_block_start").alias("_block"),
                         F.monotonically_increasing_id().alias("_pos"))
     parsed = parse_lines(tagged, keep=("_file", "_block", "_pos"))
-    from ..operators.rollup import global_index
-    idx = global_index(parsed, ["_file", "_block", "_pos"], index_col="_line_no")
+    counts = parsed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1))
+    needed = (counts.withColumn("_before", F.coalesce(before, F.lit(0)))
+              .where(F.col("_before") < max_lines).select("_file", "_block"))
+    candidates = parsed.join(bounded_broadcast(needed), ["_file", "_block"])
+    idx = global_index(candidates, ["_file", "_block", "_pos"], index_col="_line_no")
     return idx.where(F.col("_line_no") < max_lines).drop("_file", "_block", "_pos", "_line_no")

@@ -10,6 +10,7 @@ batch rewrites the same version.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,19 +23,25 @@ from ..operators.strategies import (
 )
 
 
+_VERSION = re.compile(r"/version=(\d+)/")
+
+
 def read_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Newest version of a versioned table (optionally older than ``before``)."""
+    """Newest version of a versioned table (optionally older than ``before``).
+
+    Versions are found from the file listing (``inputFiles``), not by
+    scanning rows; the read is then pruned to one ``version=`` partition.
+    """
     try:
         t = spark.read.parquet(path)
     except AnalysisException:
         return None
-    vs = t.select("version").distinct()
+    found = {int(m.group(1)) for f in t.inputFiles() if (m := _VERSION.search(f))}
     if before is not None:
-        vs = vs.where(F.col("version") < before)
-    latest = vs.agg(F.max("version")).first()[0]   # partition values only
-    if latest is None:
+        found = {v for v in found if v < before}
+    if not found:
         return None
-    return t.where(F.col("version") == latest).drop("version")
+    return t.where(F.col("version") == max(found)).drop("version")
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
