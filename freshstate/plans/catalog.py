@@ -389,8 +389,10 @@ def pod_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder under the shared checkpoint folder), read back for pruned scans."""
     from ..session import scratch_path
     path = scratch_path(spark, "pod_table")
-    tv.telemetry(spark, sf_dir).write.partitionBy("pod").parquet(path)
-    return spark.read.parquet(path)
+    tel = tv.telemetry(spark, sf_dir)
+    tel.write.partitionBy("pod").parquet(path)
+    # the declared schema keeps the partition column a bigint (no type inference)
+    return spark.read.schema(tel.schema).parquet(path)
 
 
 @register("range_scan", sql(select=f"""
