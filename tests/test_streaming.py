@@ -137,3 +137,46 @@ def test_idle_ticks_flush_and_evict(spark, scratch):
     q.stop()
     # flushes keep running without new data; VIN_A (seen at 6 min) is gone by 18 min
     assert seen[0] == ["VIN_A"] and ["VIN_A"] not in seen[2:4] and len(seen) >= 4
+
+
+TOPIC = "key string, value string, partition int, offset long, timestamp timestamp"
+
+
+def run_merge(spark, scratch, messages):
+    """Scenario 6: topic records through the merge half; returns emitted (key, payload)."""
+    import datetime as dt
+    from freshstate.streaming.emitters import TopicEmitter
+    from freshstate.streaming.pipeline import start_merge
+    src = scratch("topic")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(None, m, 0, i, t0 + dt.timedelta(seconds=i)) for i, m in enumerate(messages)]
+    spark.createDataFrame(rows, TOPIC).coalesce(1).write.parquet(src)
+    out = []
+    em = TopicEmitter("inline", lambda df, i: out.extend((r.key, json.loads(r.value)) for r in df.collect()))
+    q = start_merge(spark.readStream.schema(TOPIC).parquet(src), scratch("state"), scratch("ck"),
+                    ttl_ms=10 * 60_000, emitter=em, clock=lambda: 1_704_067_260_000)
+    q.awaitTermination()
+    return out
+
+
+def msg(vin, sensor, value, ra):
+    return json.dumps({"num_of_data": 1, "data": {"id": vin, sensor: {"value": value, "received_at": ra}},
+                       "produced_at": 1})
+
+
+def test_scenario_6_1_latest_per_sensor(spark, scratch):
+    out = run_merge(spark, scratch, [msg("VIN1", "a", "1", 100), msg("VIN1", "a", "2", 200),
+                                     msg("VIN1", "b", "x", 50), msg("VIN1", "a", "old", 150),
+                                     '{"_flush":true}', "not json", '{"data":{"id":""}}'])
+    assert len(out) == 1 and out[0][0] == "VIN1"
+    data = out[0][1]["data"]
+    assert data["a"] == {"value": "2", "received_at": 200} and data["b"]["value"] == "x"
+
+
+def test_scenario_6_2_two_devices(spark, scratch):
+    out = run_merge(spark, scratch, [msg("VIN1", "a", "1", 1), msg("VIN2", "a", "2", 2), '{"_flush": true}'])
+    assert sorted(k for k, _ in out) == ["VIN1", "VIN2"]
+
+
+def test_scenario_6_3_only_flush_triggers(spark, scratch):
+    assert run_merge(spark, scratch, ['{"_flush":true}', '{"_flush":true}']) == []
