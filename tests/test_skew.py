@@ -36,5 +36,5 @@ def test_hot_device_snapshot_exact(spark):
            for r in snapshot.snapshots(df, period, ttl, t_end).collect()}
     want, _ = simulate(rows, period, ttl, t_end)
     assert got == want
-    plan = snapshot.snapshots(df, period, ttl, t_end)._jdf.queryExecution().executedPlan().toString()
+    plan = snapshot.interval_table(df, period)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "partial_min" in plan
