@@ -277,9 +277,11 @@ SELECT key, vin, produced_at, expires_at, n_sensors, max_received_at FROM (
 WHERE rn = 1 AND expires_at > {VIEW_NOW_MS}"""))
 def q_state_store_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a reader of the keyed store sees one minute after a flush."""
+    from ..operators.snapshot import last_emission
     from ..operators.strategies import state_store_view, state_store_writes
-    writes = state_store_writes(_snapshots(spark, sf_dir, SNAP_TTL_MS))
-    return state_store_view(writes, VIEW_NOW_MS).select(
+    # only each device's last flush at or before now can be visible
+    last = last_emission(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, SNAP_T_END, VIEW_NOW_MS)
+    return state_store_view(state_store_writes(last), VIEW_NOW_MS).select(
         "key", "vin", "produced_at", "expires_at", "n_sensors", "max_received_at")
 
 
