@@ -78,3 +78,29 @@ msg = st.tuples(st.sampled_from(["", "V1", "V2"]), st.sampled_from(["a", "b"]),
 def test_kernel_matches_sequential_fold(spark, ms):
     data = [(v, s, val, ra, i, i) for i, (v, s, val, ra) in enumerate(ms)]
     assert latest(spark, data) == fold_latest(data)
+
+
+NUM = "vin string, sensor string, value double, received_at long, seq long, arr long"
+
+num_msg = st.tuples(st.sampled_from(["V1", "V2"]), st.sampled_from(["a", "b"]),
+                    st.floats(-1e6, 1e6, allow_nan=False), st.integers(-2, 4_000_000_000_000))
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(num_msg, min_size=1, max_size=25), st.booleans())
+def test_hash_aggregate_path_matches_fold(spark, ms, negative_seq):
+    # fixed-width carry -> decimal ordering key + hash aggregate; seq may be negative
+    base = -(2 ** 62) if negative_seq else 0
+    data = [(v, s, val, ra, base + i, i) for i, (v, s, val, ra) in enumerate(ms)]
+    df = spark.createDataFrame(data, NUM)
+    out = merge.latest_merge(df)
+    assert "HashAggregate" in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.vin, r.sensor): (r.value, r.received_at, r.seq) for r in out.collect()}
+    assert got == fold_latest(data)
+
+
+def test_order_key_orders_like_the_pair(spark):
+    pairs = [(0, -(2 ** 63)), (0, 2 ** 63 - 1), (1, -(2 ** 63)), (1_700_000_000_000, 5), (1_700_000_000_000, 6)]
+    df = spark.createDataFrame(pairs, "received_at long, seq long")
+    keys = [r.k for r in df.select(merge.order_key().alias("k")).collect()]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
