@@ -294,10 +294,11 @@ FROM (SELECT *, max(tick) OVER (PARTITION BY window_start, vin) AS last_tick FRO
 WHERE tick = last_tick
   AND (window_start + {WINDOW_FLUSH_MS + WINDOW_FLUSH_LATENESS_MS} + {SNAP_PERIOD_MS - 1}) // {SNAP_PERIOD_MS} * {SNAP_PERIOD_MS} <= {SNAP_T_END}"""))
 def q_window_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flush-time tumbling windows (1 day, 1 h lateness) over the TTL snapshots."""
-    from ..operators.strategies import window_flush
-    return window_flush(_snapshots(spark, sf_dir, SNAP_TTL_MS), SNAP_PERIOD_MS, SNAP_T_END,
-                       WINDOW_FLUSH_MS, WINDOW_FLUSH_LATENESS_MS).select(
+    """Flush-time tumbling windows (1 day, 1 h lateness) over the TTL snapshots,
+    computed from ranges (windows overlapped), not from every exploded tick."""
+    from ..operators.snapshot import window_flush_replay
+    return window_flush_replay(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, SNAP_T_END,
+                               WINDOW_FLUSH_MS, WINDOW_FLUSH_LATENESS_MS).select(
         "window_start", "vin", "sensor", "value", "received_at", "seq", "tick", "produced_at", "emit_tick")
 
 
