@@ -706,3 +706,13 @@ def q_stream_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                            emitter=store, clock=lambda: next(ticks))
     q.awaitTermination()
     return store.view(spark, NOW_MS + STREAM_FILES * 1_000).select("key", "vin", "n_sensors", "max_received_at")
+
+
+@register("route_counts", sql(select=f"""
+SELECT {ROUTE_SQL_CASE} AS route, count(*) AS n_messages FROM events GROUP BY 1"""))
+def q_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flush / error / skip / telemetry message counts (the merger's skip
+    and error counters), one map-side-combined count per route."""
+    from .derived import raw_messages
+    routed = messages.with_route(raw_messages(tv.telemetry(spark, sf_dir)), "value")
+    return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n_messages"))

@@ -104,3 +104,15 @@ def test_order_key_orders_like_the_pair(spark):
     df = spark.createDataFrame(pairs, "received_at long, seq long")
     keys = [r.k for r in df.select(merge.order_key().alias("k")).collect()]
     assert keys == sorted(keys) and len(set(keys)) == len(keys)
+
+
+def test_transform_chain(spark):
+    # Processors compose with DataFrame.transform
+    from freshstate.operators.lookup import lookup_inner
+    from freshstate.operators.rollup import device_rollup
+    from freshstate.plans.telemetry import sensor_dictionary
+    rows = spark.createDataFrame([("V", "view", "1", 5, 1, 1), ("V", "signup", "2", 6, 2, 2), ("V", "view", "3", 4, 3, 3)],
+                                 "vin string, resource_id string, value string, received_at long, seq long, arr long")
+    out = (rows.transform(lookup_inner, sensor_dictionary(spark))
+           .transform(merge.latest_merge).transform(device_rollup)).collect()
+    assert len(out) == 1 and dict(out[0].metrics)["page_view"].value == "1"
