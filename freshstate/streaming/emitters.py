@@ -44,8 +44,31 @@ def read_version(spark: SparkSession, path: str, before: int | None = None) -> D
     return t.where(F.col("version") == max(found)).drop("version")
 
 
-def write_version(df: DataFrame, path: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
+def write_version(df: DataFrame, path: str, version: int, retain: int | None = 2) -> None:
+    """Write ``version`` (overwrite: a retried batch rewrites it), then drop
+    versions older than the last ``retain`` ones. ``retain >= 2`` keeps the
+    version a retry of this batch would read."""
+    root = path.rstrip("/")
+    df.write.mode("overwrite").parquet(f"{root}/version={version}")
+    if retain is not None:
+        prune_versions(df.sparkSession, root, keep_from=version - max(int(retain), 2) + 1)
+
+
+def prune_versions(spark: SparkSession, path: str, keep_from: int) -> list[int]:
+    """Delete ``version=<v>`` folders with ``v < keep_from`` (Hadoop FileSystem,
+    so it works on any shared store). Returns the removed versions."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = []
+    if not fs.exists(root):
+        return removed
+    for st in fs.listStatus(root):
+        m = _VERSION.search(st.getPath().toString() + "/")
+        if st.isDirectory() and m and int(m.group(1)) < keep_from:
+            fs.delete(st.getPath(), True)
+            removed.append(int(m.group(1)))
+    return sorted(removed)
 
 
 class TopicEmitter:
