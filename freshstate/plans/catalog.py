@@ -716,3 +716,27 @@ def q_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .derived import raw_messages
     routed = messages.with_route(raw_messages(tv.telemetry(spark, sf_dir)), "value")
     return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+@register("etl_payloads", sql(f"""lines AS (
+  SELECT vin, resource_id, seq, arr * 1000000 + seq AS ns_ts,
+         CASE seq % 9 WHEN 2 THEN {NOW_MS} WHEN 4 THEN {NOW_MS} WHEN 3 THEN 9223372036854775807
+              ELSE received_at END AS received_at
+  FROM tel WHERE seq % 9 NOT IN (0, 5))""", """named AS (
+  SELECT l.vin, d.resource_name AS sensor, l.received_at, l.ns_ts
+  FROM lines l JOIN sensor_dict d ON l.resource_id = d.resource_id)""", """last AS (
+  SELECT vin, sensor, received_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY vin, sensor ORDER BY ns_ts DESC) AS rn FROM named)
+  WHERE rn = 1)""", select="""
+SELECT vin AS key, count(*) AS n_sensors, max(received_at) AS max_received_at FROM last GROUP BY vin"""))
+def q_etl_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 -> J1 -> P5 -> A1 -> A4/P3 -> P4: the reading file (written by Spark
+    from events) becomes one keyed payload per device."""
+    from ..operators.etl import etl_messages
+    from ..session import scratch_path
+    from ..sources.lines import read_reading_lines
+    from .derived import reading_lines
+    path = scratch_path(spark, "etl_lines")
+    reading_lines(tv.telemetry(spark, sf_dir)).write.text(path)
+    msgs = etl_messages(read_reading_lines(spark, path, max_lines=None), tv.sensor_dictionary(spark), NOW_MS)
+    return msgs.select("key", "n_sensors", "max_received_at")

@@ -47,5 +47,5 @@ def write_topic(df: DataFrame, bootstrap_servers: str, topic: str, **extra) -> N
 
 
 def write_noop(df: DataFrame) -> None:
-    """Evaluate and drop (the state-store pipeline emits nothing downstream)."""
+    """Evaluate and drop (the state-store flow emits nothing downstream)."""
     df.write.format("noop").mode("overwrite").save()

@@ -86,3 +86,12 @@ def test_normalize_records(spark):
     assert (r.vincode, r.resource_id, r.resource_name, r.value, r.ts, r.source) == \
         ("V9", "view", "page_view", "5", 1704067200001, "influx")
     assert r.id == "influx_1704067200001000000" and r.ns_ts == 1704067200001000000
+
+
+def test_line_over_one_mib_fails_the_read(spark, scratch):
+    import pytest
+    path = scratch("long_line")
+    spark.createDataFrame([("a,b,c,d,e,1,2,x,3",), ("x" * (1024 * 1024 + 1),)], "value string") \
+        .coalesce(1).write.text(path)
+    with pytest.raises(Exception, match="1 MiB"):
+        L.read_reading_lines(spark, path, max_lines=None).collect()

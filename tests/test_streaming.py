@@ -146,7 +146,7 @@ def run_merge(spark, scratch, messages):
     """Scenario 6: topic records through the merge half; returns emitted (key, payload)."""
     import datetime as dt
     from freshstate.streaming.emitters import TopicEmitter
-    from freshstate.streaming.pipeline import start_merge
+    from freshstate.streaming.topic_merge import start_merge
     src = scratch("topic")
     t0 = dt.datetime(2024, 1, 1)
     rows = [(None, m, 0, i, t0 + dt.timedelta(seconds=i)) for i, m in enumerate(messages)]
