@@ -25,11 +25,12 @@ def parse_lines(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...]
     """Lines -> READING rows (plus ``keep`` columns). Lines with < 9 fields are dropped."""
     parts = F.split(F.col(line_col), ",", -1)
     df = lines.select(*keep, F.col(line_col).alias("_line"), parts.alias("_p"))
+    keep_row = F.size("_p") >= 9
     if strict_line_length:
-        df = df.withColumn("_line", F.when(F.octet_length("_line") > MAX_LINE_BYTES,
-                                           F.raise_error(F.lit("reading line longer than 1 MiB")))
-                           .otherwise(F.col("_line")))
-    df = df.where(F.size("_p") >= 9)
+        # part of the row filter (evaluated for every line), so it cannot be pruned away
+        keep_row = F.when(F.octet_length("_line") > MAX_LINE_BYTES,
+                          F.raise_error(F.lit("reading line longer than 1 MiB"))).otherwise(keep_row)
+    df = df.where(keep_row)
     out = []
     for i, name in enumerate(READING_COLUMNS):
         c = F.col("_p")[i]
