@@ -182,9 +182,17 @@ def encode_payload(vin: Column, entries: Column, produced_at, num_of_data=1) ->
                               col(produced_at).alias("produced_at")))
 
 
+def sensor_entry(value_col: str = "value") -> Column:
+    """``struct(sensor, value VARIANT, received_at)`` for ``collect_list``; NULL
+    (so skipped) on a device-only row, whose device then encodes with no sensors."""
+    return F.when(F.col("sensor").isNotNull(),
+                  F.struct(F.col("sensor"), F.col(value_col).cast("variant").alias("value"), F.col("received_at")))
+
+
 def encode_devices(long_rows: DataFrame, produced_at, value_col: str = "value") -> DataFrame:
-    """P3 over long form: one ``(vin, payload)`` row per device (A4 + encode)."""
-    e = F.struct(F.col("sensor"), F.col(value_col).cast("variant").alias("value"), F.col("received_at"))
+    """P3 over long form: one ``(vin, payload)`` row per device (A4 + encode).
+    Rows with ``sensor`` NULL stand for a device without stored sensors."""
+    e = sensor_entry(value_col)
     g = long_rows.groupBy("vin").agg(F.collect_list(e).alias("_entries"))
     return g.select("vin", encode_payload(F.col("vin"), F.col("_entries"), produced_at).alias("payload"))
 

@@ -1,7 +1,8 @@
 """Emission strategies (T4, A5, S9, W1) and the strategy registry.
 
 A strategy turns a *snapshot* — long form ``(tick, vin, sensor, value,
-received_at, seq)``, one row per live device and sensor at a flush tick — into
+received_at, seq)``, one row per live device and sensor at a flush tick, and
+one row with ``sensor`` NULL for a live device without stored sensors — into
 output rows. ``inline`` and ``log_compacted`` with batch size 1 are the same
 message: one payload per device, key = vin.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ceil_div, col, window_start
-from .messages import encode_payload
+from .messages import encode_payload, sensor_entry
 from .rollup import batched_payloads
 
 StrategyFn = Callable[..., DataFrame]
@@ -43,8 +44,7 @@ def emit(name: str, snapshot: DataFrame, **options) -> DataFrame:
 
 
 def _entries():
-    return F.collect_list(F.struct(F.col("sensor"), F.col("value").cast("variant").alias("value"),
-                                   F.col("received_at")))
+    return F.collect_list(sensor_entry())
 
 
 @register_strategy("inline")
@@ -74,7 +74,7 @@ def state_store_writes(snapshot: DataFrame, ttl_ms: int = STATE_STORE_TTL_MS,
     """The upserts a flush makes — ``(key, vin, produced_at, expires_at, n_sensors,
     max_received_at, value)``, key = prefix + vin. Nothing goes downstream."""
     g = snapshot.groupBy("tick", "vin").agg(
-        _entries().alias("_e"), F.count(F.lit(1)).alias("n_sensors"),
+        _entries().alias("_e"), F.count("sensor").alias("n_sensors"),
         F.max("received_at").alias("max_received_at"))
     return g.select(
         F.concat(F.lit(prefix), F.col("vin")).alias("key"), "vin",

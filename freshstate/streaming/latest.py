@@ -79,8 +79,8 @@ class LatestStateBatch:
             return
         # emit from the version just written (lineage cut at the state table)
         written = spark.read.parquet(f"{self.state_path}/version={batch_id}")
-        snap = (written.where(F.col("sensor").isNotNull())
-                .select("vin", "sensor", *self.carry, "received_at", "seq")
+        # every live device, also those without stored sensors (sensor NULL row)
+        snap = (written.select("vin", "sensor", *self.carry, "received_at", "seq")
                 .withColumn("tick", F.lit(int(now)).cast("long")))
         if self.emitter is not None:
             self.emitter(snap, batch_id, now)

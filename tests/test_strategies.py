@@ -59,3 +59,16 @@ def test_register_strategy(spark):
         return snapshot.groupBy("tick").count()
     data = [(0, "V", "s", 1.0, 1, 1)]
     assert ST.emit("count_only", spark.createDataFrame(data, SNAP)).first()["count"] == 1
+
+
+def test_device_without_sensors_gets_a_message(spark):
+    # state {"VIN1": {}} -> one message, id only, produced_at > 0
+    data = [(5, "VIN1", None, None, None, None)]
+    out = ST.emit("inline", spark.createDataFrame(data, SNAP)).collect()
+    assert len(out) == 1 and out[0].key == "VIN1"
+    p = json.loads(out[0].value)
+    assert p["data"] == {"id": "VIN1"} and p["produced_at"] > 0
+    w = ST.state_store_writes(spark.createDataFrame(data, SNAP)).first()
+    assert w.n_sensors == 0
+    b = rollup.batched_payloads(spark.createDataFrame(data, SNAP), 100, 7).first()
+    assert json.loads(b.payload)["data"] == [{"id": "VIN1"}]

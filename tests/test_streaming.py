@@ -41,9 +41,10 @@ def test_flush_evicts_idle_devices(spark, scratch):
     fn(spark.createDataFrame([("VIN_A", "s", "1", 1, 1, 1), ("VIN_B", "s", "2", 1, 2, 2)], SCHEMA), 0)
     fn(spark.createDataFrame([("VIN_B", "s", "3", 2, 3, 3)], SCHEMA), 1)
     fn(spark.createDataFrame([("VIN_C", None, None, None, 4, 4)], SCHEMA), 2)
-    # at 11 min: VIN_A (seen at 0) is evicted, VIN_B (seen at 5 min) kept, VIN_C has no sensors
+    # at 11 min: VIN_A (seen at 0) is evicted, VIN_B (seen at 5 min) kept; VIN_C has
+    # no sensors but is live, so it is emitted with an id-only payload
     assert emitted[0] == (0, ["VIN_A", "VIN_B"])
-    assert emitted[2] == (2, ["VIN_B"])
+    assert emitted[2] == (2, ["VIN_B", "VIN_C"])
     st = SL.read_state(spark, fn.state_path).collect()
     assert {r.vin for r in st} == {"VIN_B", "VIN_C"}
     assert [r.sensor for r in st if r.vin == "VIN_C"] == [None]
@@ -180,3 +181,8 @@ def test_scenario_6_2_two_devices(spark, scratch):
 
 def test_scenario_6_3_only_flush_triggers(spark, scratch):
     assert run_merge(spark, scratch, ['{"_flush":true}', '{"_flush":true}']) == []
+
+
+def test_id_only_device_is_flushed(spark, scratch):
+    out = run_merge(spark, scratch, ['{"data":{"id":"VIN1"}}', '{"_flush":true}'])
+    assert len(out) == 1 and out[0][0] == "VIN1" and out[0][1]["data"] == {"id": "VIN1"}
