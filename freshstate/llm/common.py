@@ -63,6 +63,8 @@ def slices(off: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_OTHER = np.ones(256, bool)  # what is no letter; bytes of other scripts count as letters
+_OTHER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -81,15 +83,18 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(buf: np.ndarray, off: np.ndarray, letters: bool = False,
+                prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """64-bit hashes of the words of every document, in order, and the words per document.
 
-    A word is a run of bytes other than 0x20 and 0x09-0x0D; A-Z count as a-z.
+    A word is a run of bytes other than 0x20 and 0x09-0x0D, or with ``letters`` a
+    run of letters; A-Z count as a-z. For each length in ``prefixes`` a further
+    array follows: the hash of every word's first bytes.
     """
     n = len(off) - 1
     if not len(buf):
-        return np.zeros(0, np.uint64), np.zeros(n, np.int64)
-    word = ~_SPACE[buf]
+        return (np.zeros(0, np.uint64), np.zeros(n, np.int64), *[np.zeros(0, np.uint64) for _ in prefixes])
+    word = ~(_OTHER if letters else _SPACE)[buf]
     first = word.copy()
     first[1:] &= ~word[:-1]
     cuts = off[:-1][off[:-1] < len(buf)]
@@ -97,7 +102,7 @@ def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     starts = np.flatnonzero(first)
     idx = np.flatnonzero(word)
     if not len(idx):
-        return np.zeros(0, np.uint64), np.zeros(n, np.int64)
+        return (np.zeros(0, np.uint64), np.zeros(n, np.int64), *[np.zeros(0, np.uint64) for _ in prefixes])
     heads = np.flatnonzero(first[idx])
     lengths = np.diff(np.append(heads, len(idx)))
     place = np.arange(len(idx)) - np.repeat(heads, lengths)
@@ -107,7 +112,8 @@ def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
         value += place.astype(np.uint64) >> np.uint64(12)
     h = mix64(np.add.reduceat(value, heads))
     at = np.searchsorted(starts, off)
-    return h, np.diff(at)
+    return (h, np.diff(at), *[mix64(np.add.reduceat(np.where(place < k, value, np.uint64(0)), heads) + np.uint64(k))
+                              for k in prefixes])
 
 
 # ---- sums of fixed-size vectors over all partitions -----------------------

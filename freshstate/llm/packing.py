@@ -54,11 +54,12 @@ class WordIds:
         for part, e in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
             self.cache[part] = np.asarray(e.ids, "<u4").tobytes()
 
-    def _learn(self, missing: set[str]) -> None:
+    def _learn(self, parts: list[str]) -> None:
         cache = self.cache
-        if len(cache) + len(missing) > CACHE_ENTRIES:
+        if len(cache) > CACHE_ENTRIES:
             cache.clear()
             cache[""] = b""
+        missing = {p for p in parts if p not in cache}
         pairs, needed = [], set()
         for part in missing:
             m = _SIMPLE.fullmatch(part)
@@ -81,7 +82,7 @@ class WordIds:
             try:
                 out.append(b"".join([cache[p] for p in parts]))
             except KeyError:
-                self._learn({p for p in parts if p not in cache})
+                self._learn(parts)
                 out.append(b"".join([cache[p] for p in parts]))
         return out
 

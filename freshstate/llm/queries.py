@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
-from . import packing, secret_scan, url_filter
+from . import bpe, packing, quality, secret_scan, toxicity, url_filter
 from .common import table, whole_text
 
 QUERIES: dict = {}
@@ -23,6 +23,21 @@ def _query(fn):
     return fn
 
 
+def _fold(n: int):
+    """crc32 of the id as text, mod ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+@_query
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again."""
+    out = bpe.encode_documents(table(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                               public_tokenizers.PATTERN, with_decoded=True)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 SITE_RULES = (
     url_filter.site_rule("allow", "com", "/"),
     url_filter.site_rule("block", "example.com", "/en/"),
@@ -71,6 +86,15 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@_query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from four fifths of the label ids."""
+    stats = quality.statistics(table(spark, sf_dir))
+    model = quality.train(stats, table(spark, sf_dir, "labels"), usable=_fold(5) != 0)
+    return quality.score(stats, model).select(
+        "doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @_query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays for its text."""
@@ -98,3 +122,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
     return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
                         F.sha2(listed(of(*base)), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from three quarters of the label ids."""
+    docs = table(spark, sf_dir)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=_fold(4) != 2)
+    return toxicity.score(docs, model).select(
+        "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
