@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
-from . import bpe, packing, quality, secret_scan, toxicity, url_filter
+from . import bpe, line_dedup, packing, quality, secret_scan, simhash, toxicity, url_filter
 from .common import table, whole_text
 
 QUERIES: dict = {}
@@ -86,6 +86,45 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@_query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without its duplicate three-line windows."""
+    out = line_dedup.line_dedup(table(spark, sf_dir))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
+    return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"),
+                      spans.alias("spans"), F.sha2("text", 256).alias("text_sha256"))
+
+
+ORACLE_SQL["op4_line_dedup"] = """
+WITH lines AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+windows AS (
+  SELECT doc_id, p, l[p + 1] || chr(10) || l[p + 2] || chr(10) || l[p + 3] AS w
+  FROM lines, unnest(range(0, greatest(len(l) - 2, 0))) AS t(p)
+  WHERE trim(l[p + 1] || l[p + 2] || l[p + 3], ' ') <> ''),
+later AS (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS nth FROM windows),
+covered AS (SELECT DISTINCT doc_id, p + k AS line FROM later, unnest([0, 1, 2]) AS t(k) WHERE nth > 1),
+stretches AS (
+  SELECT doc_id, min(line) AS s, max(line) + 1 AS e
+  FROM (SELECT doc_id, line, line - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS g FROM covered)
+  GROUP BY doc_id, g),
+gone AS (
+  SELECT doc_id, sum(e - s) AS n, string_agg(s || ':' || e, ',' ORDER BY s) AS spans FROM stretches GROUP BY doc_id),
+kept AS (
+  SELECT l.doc_id, string_agg(l.l[p + 1], chr(10) ORDER BY p) AS text
+  FROM lines l, unnest(range(0, len(l.l))) AS t(p)
+  WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.doc_id = l.doc_id AND c.line = p)
+  GROUP BY l.doc_id)
+SELECT l.doc_id, CAST(len(l.l) AS BIGINT) AS n_lines, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed,
+       coalesce(g.spans, '') AS spans, sha256(coalesce(k.text, '')) AS text_sha256
+FROM lines l LEFT JOIN gone g USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
+
+
+@_query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return simhash.edit_comparison(table(spark, sf_dir))
+
+
 @_query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learnt from four fifths of the label ids."""
