@@ -59,6 +59,30 @@ def slices(off: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         a = min(b, n)
 
 
+# ---- a fixed-size filter ---------------------------------------------------
+
+#: Bits of a bitmap filter (2 MB): a fixed size, whatever the input.
+FILTER_BITS = 1 << 24
+_SLICE = 1 << 15  # bits of one bitmap row
+
+
+def maybe_in(rows: DataFrame, hashed: Column, keys: DataFrame, key_hash: Column, bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` with ``_maybe``: false only where ``hashed`` is none of the hashes in ``keys``.
+
+    The keys' hashes become a bitmap of ``bits`` bits, so what is broadcast has a
+    fixed size; more keys only let more other rows through.
+    """
+    bitmap = (keys.select(F.pmod(key_hash, F.lit(bits)).alias("_slot"))
+              .groupBy(F.floor(F.col("_slot") / _SLICE).alias("_slice"))
+              .agg(F.bitmap_construct_agg(F.col("_slot") % _SLICE).alias("_bits")))
+    probe = (rows.withColumn("_slot", F.pmod(hashed, F.lit(bits)))
+             .withColumn("_slice", F.floor(F.col("_slot") / _SLICE)).join(F.broadcast(bitmap), "_slice", "left"))
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_slot") % _SLICE / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    hit = F.expr("shiftright(_byte, cast(_slot % 8 AS int)) & 1 = 1")
+    return (probe.withColumn("_byte", byte.cast("int")).withColumn("_maybe", F.coalesce(hit, F.lit(False)))
+            .drop("_slot", "_slice", "_bits", "_byte"))
+
+
 # ---- word hashes ---------------------------------------------------------
 
 _SPACE = np.zeros(256, bool)

@@ -16,15 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, whole_text
-
-#: Bits of the survivors' bitmap (2 MB): a fixed size, whatever the input.
-FILTER_BITS = 1 << 24
-_SLICE = 1 << 15  # bits of one bitmap row
-
-
-def _slot(bits: int):
-    return F.pmod(F.xxhash64("_len", "_prefix"), F.lit(bits))
+from .common import FILTER_BITS, cut, maybe_in, whole_text
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -47,24 +39,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     narrow = cut(keyed.groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n")))
     lengths = narrow.groupBy("_len").agg(F.sum("_n").alias("_all")).where("_all > 1").select("_len")
     survivors = narrow.join(lengths, "_len", "left_semi").where("_n > 1")
-    bitmap = (survivors.select(_slot(filter_bits).alias("_slot"))
-              .groupBy(F.floor(F.col("_slot") / _SLICE).alias("_slice"))
-              .agg(F.bitmap_construct_agg(F.col("_slot") % _SLICE).alias("_bits")))
     # level 3: full content only for what the bitmap lets through
-    row = keyed.withColumn("_slot", _slot(filter_bits)).withColumn("_slice", F.floor(F.col("_slot") / _SLICE))
-    probed = row.join(F.broadcast(bitmap), "_slice", "left")
-    byte = F.conv(F.hex(F.substring("_bits", (F.col("_slot") % _SLICE / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.expr("shiftright({}, cast(_slot % 8 AS int)) & 1 = 1".format("_byte")), F.lit(False))
-    hashed = cut(probed.withColumn("_byte", byte).withColumn("_hit", hit).select(
+    key = F.xxhash64("_len", "_prefix")
+    hashed = cut(maybe_in(keyed, key, survivors, key, filter_bits).select(
         "_id", F.monotonically_increasing_id().alias("_row"), "_len", "_prefix",
-        F.when(F.col("_hit"), F.sha2(F.col("_text"), 256)).alias("_full"),
+        F.when(F.col("_maybe"), F.sha2(F.col("_text"), 256)).alias("_full"),
         *[f"_keep_{i}" for i in range(len(keep_cols))]))
     group = ["_len", "_prefix", "_full"]
-    groups = (hashed.where("_full IS NOT NULL").groupBy(*group)
-              .agg(F.count(F.lit(1)).alias("_size"), F.max("_id").alias("_max"),
-                   F.max_by("_row", F.coalesce(F.col("_id"), F.lit(-(1 << 63)))).alias("_stays")))
+    # materialised, so that the join below may split a group that a third of the rows share
+    groups = cut(hashed.where("_full IS NOT NULL").groupBy(*group)
+                 .agg(F.count(F.lit(1)).alias("_size"), F.max("_id").alias("_max"),
+                      F.max_by("_row", F.coalesce(F.col("_id"), F.lit(-(1 << 63)))).alias("_stays"))
+                 .where("_size > 1"))
     kept = [F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep_cols)]
-    return hashed.join(groups.where("_size > 1"), group, "left").select(
+    return hashed.join(groups, group, "left").select(
         F.col("_id").alias(id_col),
         F.when(F.col("_size").isNull(), F.col("_id")).otherwise(F.col("_max")).alias("keep_id"),
         F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
-from . import bpe, line_dedup, packing, quality, secret_scan, simhash, toxicity, url_filter
+from . import bpe, jaccard_join, line_dedup, packing, quality, secret_scan, simhash, toxicity, url_filter
 from .common import table, whole_text
 
 QUERIES: dict = {}
@@ -148,6 +148,12 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
 
+@_query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by five-word shingles."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir))
+
+
 @_query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and spans of the secrets of every document."""
