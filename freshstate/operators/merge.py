@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from ..functions import col
 
 # Packing (received_at, seq) into one decimal(38,0) ordering key,
-# key = received_at * 2^64 + (seq + 2^63): exact for received_at >= 0 and any
-# long seq while received_at < 5.4e18 (ANSI mode raises on overflow).
+# key = (received_at - 2^62) * 2^64 + (seq + 2^63). Centred, so that it fits 38
+# digits for every long received_at >= 0 and every long seq.
+ORDER_CENTRE = Decimal(2 ** 62)
 ORDER_SCALE = Decimal(2 ** 64)
 SEQ_SHIFT = Decimal(2 ** 63)
 
@@ -39,7 +40,7 @@ def fixed_width(df: DataFrame, cols) -> bool:
 def order_key(received_at="received_at", seq="seq") -> Column:
     """(received_at, seq) as one decimal(38,0) that orders exactly like the pair."""
     dec = "decimal(38,0)"
-    return (col(received_at).cast(dec) * F.lit(ORDER_SCALE).cast(dec)
+    return ((col(received_at).cast(dec) - F.lit(ORDER_CENTRE).cast(dec)) * F.lit(ORDER_SCALE).cast(dec)
             + (col(seq).cast(dec) + F.lit(SEQ_SHIFT).cast(dec))).cast(dec)
 
 

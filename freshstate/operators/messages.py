@@ -28,8 +28,16 @@ def _is_int_or_absent(t: Column) -> Column:
 
 
 def parsed(raw) -> Column:
-    """VARIANT of a message body (string or binary); NULL when not valid JSON."""
-    return F.try_parse_json(col(raw).cast("string"))
+    """VARIANT of a message body (string or binary); NULL unless it is exactly one JSON document.
+
+    ``try_parse_json`` ignores what follows the first document. A body is one
+    document if it makes an array of one element, and of two with another one
+    after it: text that closes the array early cannot give both lengths.
+    """
+    text = col(raw).cast("string")
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    return F.when((alone == 1) & (followed == 2), F.try_parse_json(text))
 
 
 _ENVELOPE = "struct<_flush:variant,num_of_data:variant,produced_at:variant,data:variant>"
@@ -58,9 +66,12 @@ def _int_or_absent(x: Column) -> Column:
 
 
 def _sensor_ok(e: Column) -> Column:
-    """A sensor member is JSON null, or an object whose received_at is an integer (or absent)."""
-    obj = F.try_variant_get(e, "$", "struct<received_at:variant>")
-    return _void(e) | (obj.isNotNull() & _int_or_absent(obj["received_at"]))
+    """A sensor member is JSON null, or an object whose received_at is an integer
+    (or absent) and whose value is no number beyond a double's range."""
+    obj = F.try_variant_get(e, "$", "struct<received_at:variant,value:variant>")
+    number = F.when(F.schema_of_variant(obj["value"]) == "DOUBLE", F.try_variant_get(obj["value"], "$", "double"))
+    finite = F.coalesce(F.abs(number) < F.lit(float("inf")), F.lit(True))
+    return _void(e) | (obj.isNotNull() & _int_or_absent(obj["received_at"]) & finite)
 
 
 def _cols(v=None, env=None, dmap=None):
@@ -118,28 +129,23 @@ def with_route(messages: DataFrame, raw: str = "value", keep_parsed: bool = Fals
     return out if keep_parsed else out.drop("_v", "_env", "_dmap")
 
 
-def route(raw) -> Column:
-    """P1 as a single expression (convenient; ``with_route`` is the fast path)."""
-    v = parsed(raw)
-    env = F.try_variant_get(v, "$", _ENVELOPE)
-    return route_col(v, env, F.try_variant_get(env["data"], "$", "map<string,variant>"))
-
-
 def decode_payloads(messages: DataFrame, raw: str = "value",
                     keep: tuple[str, ...] = ("seq", "arr"),
-                    with_device_rows: bool = False) -> DataFrame:
+                    with_device_rows: bool = False, tap=None) -> DataFrame:
     """Telemetry messages -> long form ``(vin, sensor, value, received_at, produced_at)``.
 
     ``value`` stays VARIANT (any JSON type); a ``null`` sensor decodes to
     ``(null, 0)`` and a missing ``received_at`` to 0. Non-telemetry messages
     are dropped. With ``with_device_rows`` an id-only payload yields one row
     with ``sensor`` NULL, so the device is still created/refreshed downstream.
+    ``tap`` is applied to the routed messages (e.g. to count them).
     """
     # The route test sits inside the generator input and the generator is an
     # outer explode filtered on its *output*: a Filter on the route (or the
     # size(...) > 0 filter Spark infers for a plain explode) would be pushed
     # below the projections and re-evaluate the parse and envelope extraction.
     routed = with_route(messages.select(*keep, raw), raw, keep_parsed=True)
+    routed = tap(routed) if tap else routed
     entries = F.map_entries(F.map_filter("_dmap", lambda k, v: k != "id"))
     if with_device_rows:
         none = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")))
@@ -165,9 +171,10 @@ def data_object(vin: Column, entries: Column) -> Column:
 
     ``entries`` is an array of ``struct(sensor, value VARIANT, received_at)``.
     VARIANT objects keep members in key order, matching a JSON encoder that
-    sorts map keys. ``id`` is omitted when empty.
+    sorts map keys. ``id`` is omitted when empty. A sensor named ``id`` is left
+    out: the member of that name is the device.
     """
-    sensor_entries = F.transform(entries, lambda e: F.struct(
+    sensor_entries = F.transform(F.filter(entries, lambda e: e["sensor"] != "id"), lambda e: F.struct(
         e["sensor"].alias("k"),
         F.to_variant_object(F.struct(e["value"].alias("value"), e["received_at"].alias("received_at"))).alias("v")))
     id_entry = F.array(F.struct(F.lit("id").alias("k"), vin.cast("variant").alias("v")))
@@ -189,6 +196,23 @@ def sensor_entry(value_col: str = "value") -> Column:
                   F.struct(F.col("sensor"), F.col(value_col).cast("variant").alias("value"), F.col("received_at")))
 
 
+def decode_batched(messages: DataFrame, raw: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Batched payloads (A5) -> long form ``(keep, num_of_data, pos, vin, sensor, value,
+    received_at, produced_at)``, ``pos`` the device's place in the message. A
+    device without sensors yields one row with ``sensor`` NULL."""
+    env = messages.select(*keep, F.try_variant_get(parsed(raw), "$", _ENVELOPE).alias("_env"))
+    devices = env.select(*keep, F.try_variant_get("_env.num_of_data", "$", "bigint").alias("num_of_data"),
+                         F.try_variant_get("_env.produced_at", "$", "bigint").alias("produced_at"),
+                         F.posexplode(F.try_variant_get("_env.data", "$", "array<map<string,variant>>")).alias("pos", "_d"))
+    entries = F.map_entries(F.map_filter("_d", lambda k, v: k != "id"))
+    rows = devices.select(*keep, "num_of_data", "produced_at", "pos",
+                          F.try_variant_get(F.element_at("_d", F.lit("id")), "$", "string").alias("vin"),
+                          F.explode_outer(entries).alias("_e"))
+    metric = F.try_variant_get(F.col("_e.value"), "$", "struct<value:variant,received_at:bigint>")
+    return rows.select(*keep, "num_of_data", "pos", "vin", F.col("_e.key").alias("sensor"), metric["value"].alias("value"),
+                       metric["received_at"].alias("received_at"), "produced_at")
+
+
 def encode_devices(long_rows: DataFrame, produced_at, value_col: str = "value") -> DataFrame:
     """P3 over long form: one ``(vin, payload)`` row per device (A4 + encode).
     Rows with ``sensor`` NULL stand for a device without stored sensors."""

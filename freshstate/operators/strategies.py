@@ -92,20 +92,41 @@ def state_store_view(writes: DataFrame, now_ms: int) -> DataFrame:
     return last.select("key", "_w.*").where(F.col("expires_at") > now_ms)
 
 
-@register_strategy("window_stream")
-def window_flush(snapshot: DataFrame, period_ms: int, t_end: int,
-                 window_ms: int = WINDOW_SIZE_MS, lateness_ms: int = WINDOW_LATENESS_MS) -> DataFrame:
-    """A snapshot taken at tick T belongs to window ``T - T % window``; per
-    (window, vin) the last flush in the window wins (a device absent from a later
-    flush of the window keeps its earlier entry). The window is emitted at the
-    first flush tick ``>= start + window + lateness`` (if one occurs by ``t_end``)
-    with ``produced_at = start + window``.
+def window_last_flush(snapshot: DataFrame, period_ms: int | None = None, t_end: int | None = None,
+                      window_ms: int = WINDOW_SIZE_MS, lateness_ms: int = WINDOW_LATENESS_MS) -> DataFrame:
+    """W1, long form: a snapshot taken at tick T belongs to window ``T - T % window``;
+    per (window, vin) the last flush in the window wins (a device absent from a
+    later flush of the window keeps its earlier entry). The window is emitted at
+    the first flush tick ``>= start + window + lateness`` (if one occurs by
+    ``t_end``) with ``produced_at = start + window``. Without ``period_ms`` the
+    flush ticks are those of the snapshot itself.
     """
     s = snapshot.withColumn("window_start", window_start("tick", window_ms))
     last = F.max("tick").over(Window.partitionBy("window_start", "vin"))
-    emit_tick = ceil_div(F.col("window_start") + F.lit(window_ms + lateness_ms), period_ms) * period_ms
-    return (s.withColumn("_last", last).where(F.col("tick") == F.col("_last"))
-            .withColumn("produced_at", F.col("window_start") + F.lit(window_ms))
-            .withColumn("emit_tick", emit_tick)
-            .where(F.col("emit_tick") <= F.lit(int(t_end)))
-            .drop("_last"))
+    s = (s.withColumn("_last", last).where(F.col("tick") == F.col("_last")).drop("_last")
+         .withColumn("produced_at", F.col("window_start") + F.lit(window_ms)))
+    closes = F.col("window_start") + F.lit(window_ms + lateness_ms)
+    if period_ms is not None:
+        s = s.withColumn("emit_tick", ceil_div(closes, period_ms) * period_ms)
+    else:
+        # one row: the flush ticks, as many as there were flushes
+        ticks = snapshot.agg(F.collect_set("tick").alias("_ticks"))
+        s = (s.crossJoin(F.broadcast(ticks)).withColumn("_closes", closes)
+             .withColumn("emit_tick", F.array_min(F.filter("_ticks", lambda t: t >= F.col("_closes")))).drop("_ticks", "_closes"))
+    return s.where(F.col("emit_tick").isNotNull() if t_end is None else F.col("emit_tick") <= F.lit(int(t_end)))
+
+
+def window_messages(rows: DataFrame) -> DataFrame:
+    """One message per (window, device) of long rows ``(window_start, vin, sensor,
+    value, received_at, produced_at, emit_tick)``: ``(tick, key, value,
+    window_start)``, ``tick`` the flush that emits it, key = vin."""
+    g = rows.groupBy("emit_tick", "window_start", "produced_at", "vin").agg(_entries().alias("_e"))
+    return g.select(F.col("emit_tick").alias("tick"), F.col("vin").alias("key"),
+                    encode_payload(F.col("vin"), F.col("_e"), F.col("produced_at")).alias("value"), "window_start")
+
+
+@register_strategy("window_stream")
+def window_stream(snapshot: DataFrame, period_ms: int | None = None, t_end: int | None = None,
+                  window_ms: int = WINDOW_SIZE_MS, lateness_ms: int = WINDOW_LATENESS_MS) -> DataFrame:
+    """The messages of ``window_last_flush``, keyed by device, with ``window_start``."""
+    return window_messages(window_last_flush(snapshot, period_ms, t_end, window_ms, lateness_ms))

@@ -16,25 +16,3 @@ READING = T.StructType([
 ])
 
 READING_COLUMNS = [f.name for f in READING.fields]
-
-# Sensor dictionary row.
-RESOURCE = T.StructType([
-    T.StructField("resource_id", T.StringType()),
-    T.StructField("resource_name", T.StringType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("state", T.StringType()),
-])
-
-# Long form every kernel works on: one row per (message, sensor).
-#   seq  - arrival order (unique), arr - arrival time in epoch ms
-LONG_FORM = ["vin", "sensor", "value", "received_at", "seq", "arr"]
-
-# Keyed topic record (the columns a Kafka source yields).
-TOPIC_RECORD = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-])

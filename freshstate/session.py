@@ -3,6 +3,7 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,7 +26,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "8g"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -65,33 +66,28 @@ def set_checkpoint_dir(spark: SparkSession, path: str) -> None:
     spark.sparkContext.setCheckpointDir(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/freshstate/{name}-{uuid.uuid4().hex[:12]}"
-
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
-def scale_conf(input_bytes: int, executor_cores_total: int,
-               target_partition_bytes: int = 128 * 1024 * 1024) -> dict:
-    """Settings sized for a cluster run over ``input_bytes`` of input.
 
-    Shuffle partitions start at ~one per ``target_partition_bytes`` of input
-    (at least 2× the cores) and AQE coalesces them down to the advisory size
-    at run time, so every reducer's slice fits executor memory even before
-    the map-side combine shrinks it. File splits match the same size. Skewed
-    partitions are split by AQE (the kernels already pre-aggregate map-side).
-    """
-    parts = max(2 * executor_cores_total, -(-int(input_bytes) // target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.variant.allowDuplicateKeys": "true",
-    }
-
-
-def apply_conf(spark: SparkSession, conf: dict) -> None:
-    for k, v in conf.items():
-        spark.conf.set(k, v)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh sub-folder of the shared checkpoint folder, removed when the
+    driver's Python ends (a returned DataFrame may read it until then)."""
+    path = f"{checkpoint_root(spark)}/freshstate/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _remove_all() -> None:
+    for spark, path in _SCRATCH:
+        if spark.sparkContext._jsc is None:
+            return  # the session has ended before
+        try:
+            remove_scratch(spark, path)
+        except Exception:  # the JVM may be gone already
+            return

@@ -8,25 +8,37 @@ de-duplication is a distributed ``min_by`` / ``max_by`` on that position.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.messages import parsed
+
 _FIELDS = ["resource_id", "resource_name", "operation", "state"]
-_ENTRY = "struct<resource_id:string,resource_name:string,operation:string,state:string,description:string>"
 
 
 def read_resource_entries(spark: SparkSession, path: str, wrapped: bool = True) -> DataFrame:
-    """(pos, resource_id, resource_name, operation, state) in file order.
+    """(pos, resource_id, resource_name, operation, state) in file order; ``pos`` is
+    (file, index), so entries of several files never share one.
 
-    A single JSON document is read by one task; dictionaries are a few hundred
-    entries. Large dictionaries should be stored one entry per line instead.
+    Fails on a file that is not one JSON document of this shape, on a field that
+    is not text, and on a document without entries: an empty dictionary would
+    drop every reading. A single JSON document is read by one task; dictionaries
+    are a few hundred entries.
     """
-    text = spark.read.text(path, wholetext=True)
-    arr_type = f"array<{_ENTRY}>"
-    arr = (F.from_json("value", f"struct<resource_matrix:{arr_type}>")["resource_matrix"] if wrapped
-           else F.from_json("value", arr_type))
-    ex = text.select(F.posexplode(arr).alias("pos", "e"))
-    return ex.select("pos", *[F.coalesce(F.col(f"e.{f}"), F.lit("")).alias(f) for f in _FIELDS])
+    text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    v = parsed("value")
+    entry = "struct<" + ",".join(f"{f}:variant" for f in [*_FIELDS, "description"]) + ">"
+    arr = F.try_variant_get(v, "$.resource_matrix" if wrapped else "$", f"array<{entry}>")
+    texts = F.forall(arr, lambda e: e.isNotNull() & reduce(
+        lambda a, b: a & b, [e[f].isNull() | F.schema_of_variant(e[f]).isin("STRING", "VOID") for f in _FIELDS]))
+    bad = arr.isNull() | (F.size(arr) == 0) | ~F.coalesce(texts, F.lit(False))
+    checked = text.select("file", F.when(bad, F.raise_error(F.concat(F.lit("not a resource dictionary: "), F.col("file"))))
+                          .otherwise(arr).alias("_arr"))
+    ex = checked.select("file", F.posexplode("_arr").alias("_i", "e"))
+    return ex.select(F.struct("file", F.col("_i").alias("index")).alias("pos"),
+                     *[F.coalesce(F.try_variant_get(F.col(f"e.{f}"), "$", "string"), F.lit("")).alias(f) for f in _FIELDS])
 
 
 def dedupe_first(entries: DataFrame) -> DataFrame:

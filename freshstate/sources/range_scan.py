@@ -6,6 +6,8 @@ directories and the time range becomes a pushed-down parquet filter.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,18 +25,24 @@ def range_scan(table: DataFrame, pods, start_ms: int, stop_ms: int,
     return table.where(cond)
 
 
+def time_between(time_col: str, start_ms: int, stop_ms: int | None = None):
+    """``start <= time < stop`` on a raw TIMESTAMP_NTZ column, as literals a parquet scan takes over."""
+    def at(ms: int):
+        moment = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=int(ms))
+        return F.expr(f"timestamp_ntz'{moment.isoformat(sep=' ', timespec='milliseconds')}'")
+    cond = F.col(time_col) >= at(start_ms)
+    return cond if stop_ms is None else cond & (F.col(time_col) < at(stop_ms))
+
+
 def chunk_count(lookback_ms: int, chunk_ms: int) -> int:
-    """Chunks per cycle: int(lookback / chunk), at least 1 (a remainder stays unread)."""
-    return max(1, int(lookback_ms // chunk_ms))
+    """Chunks per cycle: ceil(lookback / chunk); the last one may be short."""
+    return max(1, -(-int(lookback_ms) // int(chunk_ms)))
 
 
 def range_scan_chunks(table: DataFrame, pods, start_ms: int, lookback_ms: int, chunk_ms: int,
                       time_col: str = "arr", pod_col: str = "pod") -> DataFrame:
-    """One cycle: every pod, ``chunk_count`` chunks of ``chunk_ms`` from ``start_ms``.
-    Adds ``chunk``; rows past the last whole chunk are not read."""
-    n = chunk_count(lookback_ms, chunk_ms)
-    stop = start_ms + n * chunk_ms
-    return (range_scan(table, pods, start_ms, stop, time_col, pod_col)
+    """One cycle: every pod, ``[start, start + lookback)`` in chunks of ``chunk_ms``. Adds ``chunk``."""
+    return (range_scan(table, pods, start_ms, start_ms + lookback_ms, time_col, pod_col)
             .withColumn("chunk", floor_div(F.col(time_col) - F.lit(start_ms), chunk_ms)))
 
 

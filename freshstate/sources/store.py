@@ -1,23 +1,25 @@
 """S3 / S5 — the time-series store connector as a Python Data Source.
 
 Batch (``spark.read.format("telemetry_store")``): one input partition per
-pod × chunk of the cycle ``[start, start + n_chunks * chunk)``, read in
-parallel by executors (a sequential cursor becomes a parallel scan).
+pod × chunk of ``[start, start + lookback)``, read in parallel by executors (a
+sequential cursor becomes a parallel scan). The last chunk may be short.
 
 Streaming (``spark.readStream.format("telemetry_store")``): the offset is
-the end of the last whole cycle read, in epoch ms. Each micro-batch reads the
-contiguous range ``[previous end, new end)``, so cycles neither overlap nor
-leave gaps, and the offset log in ``checkpointLocation`` is the resume point
-after a restart. Offsets are committed only after the batch, never before
-delivery.
+the end of the last whole cycle read, in epoch ms. Without ``start_ms`` cycles
+lie on the epoch's grid, so a restart finds the same grid. Each micro-batch
+reads exactly ``[previous end, new end)``, every chunk clipped to it, so cycles
+neither overlap nor leave gaps; the offset log in ``checkpointLocation`` is the
+resume point after a restart. Offsets are committed only after the batch, never
+before delivery. After an outage the range may span many cycles: chunks are
+then read several to a partition, so a batch never has more than
+``max_partitions`` tasks.
 
 The store client is injected: option ``fetch`` names ``module:function``
-with signature ``fetch(pod, lo_ms, hi_ms, measurement, options) ->
-iterable of dict`` (keys ``_time`` epoch ms, ``_value``, ``_field``,
-``vincode``, ``vin``, ``resource_id``). The default ``parquet_fetch`` reads a
-store laid out as parquet partitioned by pod (``store_path`` option). It
-prunes by pod and pushes down the time filter. Rows come back with ``pod``
-and ``_measurement``; pass them to ``range_scan.normalize_records``.
+with signature ``fetch(pod, lo_ms, hi_ms, measurement, options) -> iterable of
+pyarrow.RecordBatch`` with columns ``_time_ms`` (epoch ms), ``_value``,
+``_field``, ``vincode``, ``vin``, ``resource_id``. Batches stay columnar all the
+way to Spark. Rows come back with ``pod`` and ``_measurement``; pass them to
+``range_scan.normalize_records``.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ import importlib
 import time
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, InputPartition,
 )
@@ -37,6 +41,7 @@ SCHEMA = ("_time timestamp, _value string, _field string, vincode string, vin st
 DEFAULT_MEASUREMENT = "telemetry"
 DEFAULT_LOOKBACK_MS = 10_000
 DEFAULT_CHUNK_MS = 2_000
+DEFAULT_MAX_PARTITIONS = 10_000
 
 
 @dataclass
@@ -44,31 +49,17 @@ class StorePartition(InputPartition):
     pod: str
     lo: int
     hi: int
+    chunk: int
 
 
-def chunk_partitions(pods: list[str], start: int, lookback: int, chunk: int) -> list[StorePartition]:
-    n = max(1, lookback // chunk)
-    return [StorePartition(p, start + i * chunk, start + (i + 1) * chunk) for p in pods for i in range(n)]
-
-
-def parquet_fetch(pod: str, lo: int, hi: int, measurement: str, options: dict):
-    """Reference client: a parquet store partitioned by ``pod`` (pyarrow, filter pushdown)."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    import pyarrow.dataset as ds
-    part = ds.partitioning(pa.schema([("pod", pa.string())]), flavor="hive")
-    dset = ds.dataset(options["store_path"], format="parquet", partitioning=part)
-    t = ds.field("_time_ms")
-    flt = (ds.field("pod") == pod) & (t >= lo) & (t < hi)
-    if "_measurement" in dset.schema.names:
-        flt = flt & (ds.field("_measurement") == measurement)
-    cols = ["_time_ms", "_value", "_field", "vincode", "vin", "resource_id"]
-    for batch in dset.to_batches(columns=cols, filter=flt):
-        vals = pc.cast(batch.column("_value"), "string")
-        rows = batch.to_pydict()
-        rows["_value"] = vals.to_pylist()
-        for i in range(batch.num_rows):
-            yield {k: rows[k][i] for k in cols} | {"_time": rows["_time_ms"][i]}
+def chunk_partitions(pods: list[str], lo: int, hi: int, chunk: int,
+                     max_partitions: int = DEFAULT_MAX_PARTITIONS) -> list[StorePartition]:
+    """``[lo, hi)`` of every pod in partitions of one chunk, or of several chunks
+    where there would be more than ``max_partitions`` of them."""
+    chunks = max(0, -(-(hi - lo) // chunk))
+    most = max(1, max_partitions // max(1, len(pods)))
+    span = chunk * max(1, -(-chunks // most))
+    return [StorePartition(p, at, min(at + span, hi), chunk) for p in pods for at in range(lo, hi, span)]
 
 
 def _resolve(path: str):
@@ -76,16 +67,21 @@ def _resolve(path: str):
     return getattr(importlib.import_module(mod), fn)
 
 
-def _rows(fetch_path: str, part: StorePartition, measurement: str, options: dict):
-    import datetime as dt
+_TEXT = ["_value", "_field", "vincode", "vin", "resource_id"]
+
+
+def _batches(fetch_path: str, part: StorePartition, measurement: str, options: dict):
     fetch = _resolve(fetch_path)
-    epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-    for r in fetch(part.pod, part.lo, part.hi, measurement, options):
-        if r.get("_value") is None:
-            continue
-        ts = epoch + dt.timedelta(milliseconds=int(r["_time"]))
-        yield (ts, None if r["_value"] is None else str(r["_value"]), r.get("_field"), r.get("vincode"),
-               r.get("vin"), r.get("resource_id"), part.pod, measurement)
+    for lo in range(part.lo, part.hi, part.chunk):
+        for batch in fetch(part.pod, lo, min(lo + part.chunk, part.hi), measurement, options):
+            batch = batch.filter(pc.is_valid(batch.column("_value")))
+            millis = pc.cast(batch.column("_time_ms"), pa.int64())
+            when = pc.cast(pc.multiply(millis, 1000), pa.timestamp("us", tz="UTC"))
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [when, *[pc.cast(batch.column(c), pa.string()) for c in _TEXT],
+                 pa.array([part.pod] * n, pa.string()), pa.array([measurement] * n, pa.string())],
+                ["_time", *_TEXT, "pod", "_measurement"])
 
 
 class _Opts:
@@ -94,21 +90,30 @@ class _Opts:
         self.pods = [p for p in self.options.get("pods", "").split(",") if p]
         self.lookback = int(self.options.get("lookback_ms", DEFAULT_LOOKBACK_MS))
         self.chunk = int(self.options.get("chunk_ms", DEFAULT_CHUNK_MS))
+        self.max_partitions = int(self.options.get("max_partitions", DEFAULT_MAX_PARTITIONS))
         self.measurement = self.options.get("measurement", DEFAULT_MEASUREMENT)
-        self.fetch = self.options.get("fetch", "freshstate.sources.store:parquet_fetch")
+        if "fetch" not in self.options:
+            raise ValueError("option fetch (module:function) names the store client")
+        self.fetch = self.options["fetch"]
+
+    def partitions(self, lo: int, hi: int) -> list[StorePartition]:
+        return chunk_partitions(self.pods, lo, hi, self.chunk, self.max_partitions)
+
+
+def _now() -> int:
+    return int(time.time() * 1000)
 
 
 class TelemetryStoreReader(DataSourceReader):
     def __init__(self, options):
         self.o = _Opts(options)
-        now = int(time.time() * 1000)
-        self.start = int(self.o.options.get("start_ms", now - self.o.lookback))
+        self.start = int(self.o.options.get("start_ms", _now() - self.o.lookback))
 
     def partitions(self):
-        return chunk_partitions(self.o.pods, self.start, self.o.lookback, self.o.chunk)
+        return self.o.partitions(self.start, self.start + self.o.lookback)
 
     def read(self, partition):
-        yield from _rows(self.o.fetch, partition, self.o.measurement, self.o.options)
+        yield from _batches(self.o.fetch, partition, self.o.measurement, self.o.options)
 
 
 class TelemetryStoreStreamReader(DataSourceStreamReader):
@@ -116,29 +121,23 @@ class TelemetryStoreStreamReader(DataSourceStreamReader):
 
     def __init__(self, options):
         self.o = _Opts(options)
-        now = int(time.time() * 1000)
-        self.start = int(self.o.options.get("start_ms", now - self.o.lookback))
+        grid = (_now() - self.o.lookback) // self.o.lookback * self.o.lookback
+        self.start = int(self.o.options.get("start_ms", grid))
         self.stop = int(self.o.options["stop_ms"]) if "stop_ms" in self.o.options else None
 
     def initialOffset(self):
         return {"end_ms": self.start}
 
     def latestOffset(self):
-        now = int(time.time() * 1000)
-        if self.stop is not None:
-            now = min(now, self.stop)
-        whole = max(0, (now - self.start) // self.o.lookback)
-        return {"end_ms": self.start + whole * self.o.lookback}
+        now = _now() if self.stop is None else min(_now(), self.stop)
+        phase = self.start % self.o.lookback
+        return {"end_ms": max(self.start, (now - phase) // self.o.lookback * self.o.lookback + phase)}
 
     def partitions(self, start, end):
-        lo, hi = int(start["end_ms"]), int(end["end_ms"])
-        parts = []
-        for c in range(lo, hi, self.o.lookback):
-            parts.extend(chunk_partitions(self.o.pods, c, self.o.lookback, self.o.chunk))
-        return parts
+        return self.o.partitions(int(start["end_ms"]), int(end["end_ms"]))
 
     def read(self, partition):
-        yield from _rows(self.o.fetch, partition, self.o.measurement, self.o.options)
+        yield from _batches(self.o.fetch, partition, self.o.measurement, self.o.options)
 
     def commit(self, end):
         pass
