@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge, messages, rollup
-from ..operators.lookup import lookup_left
+from ..operators.lookup import lookup_inner, lookup_left
 from . import telemetry as tv
 from .telemetry import DAY_MS, DICTIONARY_SQL, READINGS_SQL, TELEMETRY_SQL, with_ctes
 
@@ -97,14 +97,32 @@ def q_latest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("latest_merge_incremental", LATEST_SQL)
 def q_latest_merge_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State folded over three arrival-time slices: days [0,10), [10,20), [20,∞)."""
-    rows = tv.readings(spark, sf_dir)
+    from ..sources.range_scan import time_between
+    events = tv.table(spark, sf_dir, "events")
     t1, t2 = ORIGIN_MS + 10 * DAY_MS, ORIGIN_MS + 20 * DAY_MS
-    state = merge.latest_merge(rows.where(F.col("arr") < t1))
-    state = merge.merge_incremental(state, rows.where((F.col("arr") >= t1) & (F.col("arr") < t2)))
-    state = merge.merge_incremental(state, rows.where(F.col("arr") >= t2))
+
+    def rows(where) -> DataFrame:   # the raw time is filtered, so each slice prunes its scan
+        return lookup_inner(tv.telemetry_from_events(events.where(where)), tv.sensor_dictionary(spark))
+    state = merge.latest_merge(rows(~time_between("ts", t1)))
+    state = merge.merge_incremental(state, rows(time_between("ts", t1, t2)))
+    state = merge.merge_incremental(state, rows(time_between("ts", t2)))
     return state.select("vin", "sensor", "value", "received_at", "seq")
 
 
+EXTREME_RA = f"CASE seq % 101 WHEN 0 THEN {2 ** 63 - 1} WHEN 1 THEN {2 ** 62} WHEN 2 THEN -1 ELSE received_at END"
+
+
+@register("latest_merge_extremes", sql(select=f"""
+SELECT vin, sensor, value, received_at, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY vin, sensor ORDER BY received_at DESC, seq DESC) AS rn
+  FROM (SELECT vin, sensor, value, {EXTREME_RA} AS received_at, seq FROM readings) WHERE received_at >= 0)
+WHERE rn = 1"""))
+def q_latest_merge_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 with ``received_at`` at the int64 maximum, at 2^62 and negative among the readings."""
+    rows = tv.readings(spark, sf_dir).withColumn("received_at", F.expr(EXTREME_RA))
+    return merge.latest_merge(rows).select("vin", "sensor", "value", "received_at", "seq")
+
+
 # -- A1 / P5 -----------------------------------------------------------------
 
 @register("batch_last_value", sql(BATCH_LAST_CTE, select="""
@@ -129,18 +147,22 @@ def q_received_at_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- A4 ----------------------------------------------------------------------
 
 @register("device_rollup", sql(LATEST_CTE, select="""
-SELECT vin, count(*) AS n_sensors, max(received_at) AS max_received_at,
-       min(received_at) AS min_received_at
-FROM latest GROUP BY vin"""))
+SELECT vin, count(*) OVER (PARTITION BY vin) AS n_sensors, sensor, value, received_at FROM latest"""))
 def q_device_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     dev = rollup.device_rollup(merge.latest_merge(tv.readings(spark, sf_dir)))
-    vals = F.map_values("metrics")
-    return dev.select(
-        "vin",
-        F.size("metrics").cast("long").alias("n_sensors"),
-        F.array_max(F.transform(vals, lambda m: m["received_at"])).alias("max_received_at"),
-        F.array_min(F.transform(vals, lambda m: m["received_at"])).alias("min_received_at"),
-    )
+    rows = dev.select("vin", F.size("metrics").cast("long").alias("n_sensors"), F.explode("metrics").alias("sensor", "_m"))
+    return rows.select("vin", "n_sensors", "sensor", "_m.value", "_m.received_at")
+
+
+def decoded(msgs: DataFrame, keep: tuple[str, ...], raw: str = "value") -> DataFrame:
+    """Emitted messages back in long form: ``keep``, vin, sensor, value (a double), received_at, produced_at."""
+    return messages.decode_payloads(msgs, raw=raw, keep=keep).withColumn("value", F.try_variant_get("value", "$", "double"))
+
+
+def decoded_batches(msgs: DataFrame, keep: tuple[str, ...], raw: str = "payload") -> DataFrame:
+    """Batched messages back in long form, with ``num_of_data`` and the device's place ``pos``."""
+    return (messages.decode_batched(msgs, raw, keep).withColumn("value", F.try_variant_get("value", "$", "double"))
+            .withColumn("pos", F.col("pos").cast("long")))
 
 
 # -- A6 and replay -----------------------------------------------------------
@@ -161,9 +183,13 @@ def aggregated_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("log_compact", sql(BATCH_LAST_CTE, TOPIC_CTE, COMPACTED_CTE, select="""
-SELECT key, batch_id, "offset", n_sensors FROM compacted"""))
+SELECT c.key, c.batch_id, c."offset", c.n_sensors, b.sensor, b.value, b.received_at, c."offset" AS produced_at
+FROM compacted c JOIN batch_last b ON b.vin = c.key AND b.batch_id = c.batch_id"""))
 def q_log_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.log_compact(aggregated_topic(spark, sf_dir)).select("key", "batch_id", "offset", "n_sensors")
+    """What a compacted topic retains, its payloads decoded."""
+    kept = merge.log_compact(aggregated_topic(spark, sf_dir))
+    return decoded(kept, ("key", "batch_id", "offset", "n_sensors")).select(
+        "key", "batch_id", "offset", "n_sensors", "sensor", "value", "received_at", "produced_at")
 
 
 @register("replay_compacted", sql(BATCH_LAST_CTE, TOPIC_CTE, COMPACTED_CTE, select="""
@@ -206,7 +232,8 @@ def q_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SNAP_PERIOD_MS = 6 * tv.HOUR_MS          # flush tick period of the replay queries
 SNAP_TTL_MS = 12 * tv.HOUR_MS            # idle-device TTL of the replay queries
-SNAP_T_END = 1_706_745_600_000           # 2024-02-01T00:00:00Z, last flush tick replayed
+# every replay runs through the first flush tick after the last arrival
+SNAP_T_END = f"(SELECT (max(arr) // {SNAP_PERIOD_MS} + 1) * {SNAP_PERIOD_MS} FROM readings)"
 VIEW_NOW_MS = ORIGIN_MS + 19 * DAY_MS + 60_000   # state-store read time: 1 min after a tick
 WINDOW_FLUSH_MS = DAY_MS                 # W1 window size for the replay query
 WINDOW_FLUSH_LATENESS_MS = tv.HOUR_MS    # W1 allowed lateness for the replay query
@@ -214,7 +241,7 @@ EVENT_WINDOW_MS = 2 * 60 * 1000          # W2 window size
 BATCH_SIZE = 100                         # A5 devices per message
 
 
-def snapshot_ctes(ttl_ms: int | None) -> list[str]:
+def snapshot_ctes(ttl_ms: int | None, source: str = "readings") -> list[str]:
     """Oracle for T2/T3: join every tick with every earlier message (arr < T)."""
     P = SNAP_PERIOD_MS
     starts = "prev IS NULL" if ttl_ms is None else f"prev IS NULL OR ((prev + {ttl_ms}) // {P} + 1) * {P} <= arr"
@@ -224,8 +251,8 @@ def snapshot_ctes(ttl_ms: int | None) -> list[str]:
   SELECT *, sum(CASE WHEN {starts} THEN 1 ELSE 0 END)
               OVER (PARTITION BY vin ORDER BY arr, seq ROWS UNBOUNDED PRECEDING) AS inc
   FROM (SELECT *, lag(arr) OVER (PARTITION BY vin ORDER BY arr, seq) AS prev
-        FROM readings WHERE vin <> ''))""",
-        f"""ticks AS (SELECT unnest(generate_series((min(arr) // {P} + 1) * {P}, {SNAP_T_END}, {P})) AS t FROM readings)""",
+        FROM {source} WHERE vin <> ''))""",
+        f"""ticks AS (SELECT unnest(generate_series((min(arr) // {P} + 1) * {P}, (max(arr) // {P} + 1) * {P}, {P})) AS t FROM {source})""",
         """seen AS (SELECT tk.t, i.* FROM ticks tk JOIN incs i ON i.arr < tk.t)""",
         """cur AS (SELECT t, vin, max(inc) AS inc FROM seen GROUP BY t, vin)""",
         f"""live AS (
@@ -236,13 +263,13 @@ def snapshot_ctes(ttl_ms: int | None) -> list[str]:
     SELECT s.*, row_number() OVER (PARTITION BY s.t, s.vin, s.sensor
                                    ORDER BY s.received_at DESC, s.seq DESC) AS rn
     FROM seen s JOIN live l ON s.t = l.t AND s.vin = l.vin AND s.inc = l.inc
-    WHERE s.received_at >= 0) WHERE rn = 1)""",
+    WHERE s.received_at >= 0 AND s.sensor IS NOT NULL) WHERE rn = 1)""",
     ]
 
 
 def _snapshots(spark: SparkSession, sf_dir: str, ttl_ms: int | None) -> DataFrame:
     from ..operators.snapshot import snapshots
-    return snapshots(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, ttl_ms, SNAP_T_END)
+    return snapshots(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, ttl_ms, None)
 
 
 @register("flush_snapshots", sql(*snapshot_ctes(None), select="""
@@ -259,37 +286,52 @@ def q_flush_snapshot_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _snapshots(spark, sf_dir, SNAP_TTL_MS)
 
 
-@register("flush_stats", sql(*snapshot_ctes(SNAP_TTL_MS), select="""
-SELECT l.tick, l.vin_count, coalesce(v.value_count, 0) AS value_count
+@register("flush_empty_devices", sql("""allr AS (
+  SELECT t.vin, t.seq, t.arr, t.received_at, d.resource_name AS sensor, t.value
+  FROM tel t LEFT JOIN sensor_dict d ON t.resource_id = d.resource_id)""", *snapshot_ctes(SNAP_TTL_MS, "allr"), select="""
+SELECT t AS tick, vin FROM live EXCEPT SELECT tick, vin FROM snap"""))
+def q_flush_empty_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live devices without a stored sensor (only unknown sensors so far) at every flush."""
+    from ..operators.snapshot import snapshots
+    rows = lookup_left(tv.telemetry(spark, sf_dir), tv.sensor_dictionary(spark))
+    rows = rows.withColumn("sensor", F.when(F.col("sensor") != F.col("resource_id"), F.col("sensor")))
+    out = snapshots(rows, SNAP_PERIOD_MS, SNAP_TTL_MS, None, with_empty_devices=True)
+    return out.where("sensor IS NULL").select("tick", "vin")
+
+
+@register("flush_stats", sql(*snapshot_ctes(SNAP_TTL_MS), select=f"""
+SELECT l.tick, l.vin_count, coalesce(v.value_count, 0) AS value_count,
+       (l.vin_count + {BATCH_SIZE - 1}) // {BATCH_SIZE} AS message_count
 FROM (SELECT t AS tick, count(*) AS vin_count FROM live GROUP BY t) l
 LEFT JOIN (SELECT tick, count(*) AS value_count FROM snap GROUP BY tick) v ON l.tick = v.tick"""))
 def q_flush_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.snapshot import flush_stats
-    return flush_stats(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, SNAP_T_END)
+    return flush_stats(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, None, BATCH_SIZE)
 
 
 @register("state_store_view", sql(*snapshot_ctes(SNAP_TTL_MS), f"""writes AS (
   SELECT 'latest:' || vin AS key, vin, tick AS produced_at, tick + 300000 AS expires_at,
-         count(*) AS n_sensors, max(received_at) AS max_received_at
-  FROM snap WHERE tick <= {VIEW_NOW_MS} GROUP BY tick, vin)""", select=f"""
-SELECT key, vin, produced_at, expires_at, n_sensors, max_received_at FROM (
-  SELECT *, row_number() OVER (PARTITION BY key ORDER BY produced_at DESC) AS rn FROM writes)
-WHERE rn = 1 AND expires_at > {VIEW_NOW_MS}"""))
+         count(*) OVER (PARTITION BY tick, vin) AS n_sensors, sensor, value, received_at
+  FROM snap WHERE tick <= {VIEW_NOW_MS})""", select=f"""
+SELECT key, vin, produced_at, expires_at, n_sensors, sensor, value, received_at FROM (
+  SELECT *, max(produced_at) OVER (PARTITION BY key) AS newest FROM writes)
+WHERE produced_at = newest AND expires_at > {VIEW_NOW_MS}"""))
 def q_state_store_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a reader of the keyed store sees one minute after a flush."""
     from ..operators.snapshot import last_emission
     from ..operators.strategies import state_store_view, state_store_writes
     # only each device's last flush at or before now can be visible
-    last = last_emission(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, SNAP_T_END, VIEW_NOW_MS)
-    return state_store_view(state_store_writes(last), VIEW_NOW_MS).select(
-        "key", "vin", "produced_at", "expires_at", "n_sensors", "max_received_at")
+    last = last_emission(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, None, VIEW_NOW_MS)
+    view = state_store_view(state_store_writes(last), VIEW_NOW_MS)
+    return decoded(view, ("key", "expires_at", "n_sensors")).select(
+        "key", "vin", "produced_at", "expires_at", "n_sensors", "sensor", "value", "received_at")
 
 
 @register("window_flush", sql(*snapshot_ctes(SNAP_TTL_MS), f"""win AS (
   SELECT *, tick - tick % {WINDOW_FLUSH_MS} AS window_start FROM snap)""", select=f"""
-SELECT window_start, vin, sensor, value, received_at, seq, tick,
+SELECT window_start, vin AS key, vin, sensor, value, received_at,
        window_start + {WINDOW_FLUSH_MS} AS produced_at,
-       (window_start + {WINDOW_FLUSH_MS + WINDOW_FLUSH_LATENESS_MS} + {SNAP_PERIOD_MS - 1}) // {SNAP_PERIOD_MS} * {SNAP_PERIOD_MS} AS emit_tick
+       (window_start + {WINDOW_FLUSH_MS + WINDOW_FLUSH_LATENESS_MS} + {SNAP_PERIOD_MS - 1}) // {SNAP_PERIOD_MS} * {SNAP_PERIOD_MS} AS tick
 FROM (SELECT *, max(tick) OVER (PARTITION BY window_start, vin) AS last_tick FROM win)
 WHERE tick = last_tick
   AND (window_start + {WINDOW_FLUSH_MS + WINDOW_FLUSH_LATENESS_MS} + {SNAP_PERIOD_MS - 1}) // {SNAP_PERIOD_MS} * {SNAP_PERIOD_MS} <= {SNAP_T_END}"""))
@@ -297,9 +339,11 @@ def q_window_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flush-time tumbling windows (1 day, 1 h lateness) over the TTL snapshots,
     computed from ranges (windows overlapped), not from every exploded tick."""
     from ..operators.snapshot import window_flush_replay
-    return window_flush_replay(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, SNAP_T_END,
-                               WINDOW_FLUSH_MS, WINDOW_FLUSH_LATENESS_MS).select(
-        "window_start", "vin", "sensor", "value", "received_at", "seq", "tick", "produced_at", "emit_tick")
+    from ..operators.strategies import window_messages
+    rows = window_flush_replay(tv.readings(spark, sf_dir), SNAP_PERIOD_MS, SNAP_TTL_MS, None,
+                               WINDOW_FLUSH_MS, WINDOW_FLUSH_LATENESS_MS)
+    return decoded(window_messages(rows), ("tick", "key", "window_start")).select(
+        "window_start", "key", "vin", "sensor", "value", "received_at", "produced_at", "tick")
 
 
 @register("window_event_time", sql(f"""ew AS (
@@ -316,22 +360,23 @@ def q_window_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("batched_payload", sql(LATEST_CTE, f"""devs AS (
-  SELECT vin, (row_number() OVER (ORDER BY vin) - 1) // {BATCH_SIZE} AS msg_idx
-  FROM (SELECT DISTINCT vin FROM latest))""", select="""
-SELECT msg_idx, count(*) AS num_of_data, min(vin) AS min_vin, max(vin) AS max_vin
-FROM devs GROUP BY msg_idx"""))
+  SELECT vin, n // {BATCH_SIZE} AS msg_idx, n % {BATCH_SIZE} AS pos
+  FROM (SELECT vin, row_number() OVER (ORDER BY vin) - 1 AS n FROM (SELECT DISTINCT vin FROM latest)))""", select=f"""
+SELECT d.msg_idx, count(DISTINCT d.vin) OVER (PARTITION BY d.msg_idx) AS num_of_data, d.pos, d.vin, l.sensor, l.value,
+       l.received_at, {NOW_MS} AS produced_at
+FROM devs d JOIN latest l USING (vin)"""))
 def q_batched_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: the merged state packed 100 devices per message."""
     state = merge.latest_merge(tv.readings(spark, sf_dir))
-    return rollup.batched_payloads(state, BATCH_SIZE, NOW_MS).select(
-        "msg_idx", "num_of_data", "min_vin", "max_vin")
+    return decoded_batches(rollup.batched_payloads(state, BATCH_SIZE, NOW_MS), ("msg_idx",)).select(
+        "msg_idx", "num_of_data", "pos", "vin", "sensor", "value", "received_at", "produced_at")
 
 
 # -- P1-P4 --------------------------------------------------------------------
 
-ROUTE_SQL_CASE = """CASE event_id % 10 WHEN 0 THEN 'flush' WHEN 1 THEN 'flush' WHEN 2 THEN 'skip'
+ROUTE_SQL_CASE = """CASE event_id % 14 WHEN 0 THEN 'flush' WHEN 1 THEN 'flush' WHEN 2 THEN 'skip'
   WHEN 3 THEN 'error' WHEN 4 THEN 'skip' WHEN 5 THEN 'error' WHEN 6 THEN 'error'
-  WHEN 7 THEN 'telemetry' WHEN 8 THEN 'error' ELSE 'telemetry' END"""
+  WHEN 7 THEN 'telemetry' WHEN 8 THEN 'error' WHEN 9 THEN 'telemetry' ELSE 'error' END"""
 
 
 @register("message_route", sql(select=f"""
@@ -343,7 +388,7 @@ def q_message_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("key_extract", sql(select="""
-SELECT seq, CASE WHEN seq % 10 IN (5, 7, 8, 9) THEN vin END AS key FROM tel"""))
+SELECT seq, CASE WHEN seq % 14 IN (5, 7, 8, 9, 12) THEN vin END AS key FROM tel"""))
 def q_key_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .derived import raw_messages
     msgs = raw_messages(tv.telemetry(spark, sf_dir))
@@ -380,40 +425,47 @@ def q_payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STORE_START_MS = ORIGIN_MS + 3 * DAY_MS      # range_scan window
 STORE_STOP_MS = ORIGIN_MS + 27 * DAY_MS
-CHUNK_LOOKBACK_MS = 29 * DAY_MS + 12 * tv.HOUR_MS   # one cycle: 14 chunks of 2 days, remainder unread
+CHUNK_LOOKBACK_MS = 29 * DAY_MS + 12 * tv.HOUR_MS   # one cycle: 14 chunks of 2 days and a short one
 CHUNK_MS = 2 * DAY_MS
 CYCLE_START_MS = ORIGIN_MS + 2 * DAY_MS      # resume point of the incremental cycles
 CYCLE_LOOKBACK_MS = DAY_MS
 CYCLE_CHUNK_MS = 6 * tv.HOUR_MS
 
 
-def pod_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The telemetry rows written as a pod-partitioned parquet table (a fresh
-    folder under the shared checkpoint folder), read back for pruned scans."""
+def _tel_between(spark: SparkSession, sf_dir: str, start_ms: int, stop_ms: int | None = None) -> DataFrame:
+    """Telemetry of a time range; the raw time column is filtered in the scan."""
+    from ..sources.range_scan import time_between
+    return tv.telemetry_from_events(tv.table(spark, sf_dir, "events").where(time_between("ts", start_ms, stop_ms)))
+
+
+def _line_files(spark: SparkSession, sf_dir: str) -> str:
+    """Reading lines derived from events as text files, in arrival order by path."""
     from ..session import scratch_path
-    path = scratch_path(spark, "pod_table")
-    tel = tv.telemetry(spark, sf_dir)
-    tel.write.partitionBy("pod").parquet(path)
-    # the declared schema keeps the partition column a bigint (no type inference)
-    return spark.read.schema(tel.schema).parquet(path)
+    from .derived import reading_lines
+    path = scratch_path(spark, "reading_lines")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (reading_lines(tv.telemetry(spark, sf_dir)).repartitionByRange(n, "seq").sortWithinPartitions("seq")
+     .select("value").write.text(path))
+    return path
 
 
 @register("range_scan", sql(select=f"""
 SELECT seq, vin, pod, arr, resource_id, value FROM tel
-WHERE pod IN (0, 1, 2, 3) AND arr >= {STORE_START_MS} AND arr < {STORE_STOP_MS}"""))
+WHERE pod IN (0, 2) AND arr >= {STORE_START_MS} AND arr < {STORE_STOP_MS}"""))
 def q_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.range_scan import range_scan
-    return range_scan(pod_table(spark, sf_dir), [0, 1, 2, 3], STORE_START_MS, STORE_STOP_MS).select(
+    return range_scan(_tel_between(spark, sf_dir, STORE_START_MS, STORE_STOP_MS), [0, 2], STORE_START_MS, STORE_STOP_MS).select(
         "seq", "vin", "pod", "arr", "resource_id", "value")
 
 
 @register("range_scan_chunks", sql(select=f"""
 SELECT pod, (arr - {ORIGIN_MS}) // {CHUNK_MS} AS chunk, count(*) AS n_rows, min(arr) AS min_arr, max(arr) AS max_arr
-FROM tel WHERE arr >= {ORIGIN_MS} AND arr < {ORIGIN_MS + 14 * CHUNK_MS}
+FROM tel WHERE pod <> 1 AND arr >= {ORIGIN_MS} AND arr < {ORIGIN_MS + CHUNK_LOOKBACK_MS}
 GROUP BY pod, (arr - {ORIGIN_MS}) // {CHUNK_MS}"""))
 def q_range_scan_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.range_scan import range_scan_chunks
-    r = range_scan_chunks(pod_table(spark, sf_dir), [0, 1, 2, 3], ORIGIN_MS, CHUNK_LOOKBACK_MS, CHUNK_MS)
+    r = range_scan_chunks(_tel_between(spark, sf_dir, ORIGIN_MS, ORIGIN_MS + CHUNK_LOOKBACK_MS), [0, 2, 3],
+                          ORIGIN_MS, CHUNK_LOOKBACK_MS, CHUNK_MS)
     return r.groupBy("pod", "chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.min("arr").alias("min_arr"),
                                          F.max("arr").alias("max_arr"))
 
@@ -426,7 +478,7 @@ FROM tel WHERE arr >= {CYCLE_START_MS} GROUP BY 1, 2, 3"""))
 def q_incremental_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 batch form: contiguous 1-day cycles from a resume point, 6-hour chunks."""
     from ..sources.range_scan import cycles
-    c = cycles(pod_table(spark, sf_dir), CYCLE_START_MS, CYCLE_LOOKBACK_MS, CYCLE_CHUNK_MS)
+    c = cycles(_tel_between(spark, sf_dir, CYCLE_START_MS), CYCLE_START_MS, CYCLE_LOOKBACK_MS, CYCLE_CHUNK_MS)
     return c.groupBy("cycle", "pod", "chunk").agg(F.count(F.lit(1)).alias("n_rows"),
                                                  F.min("seq").alias("min_seq"), F.max("seq").alias("max_seq"))
 
@@ -455,16 +507,40 @@ SELECT 'csv_' || CAST(seq AS VARCHAR) AS id, vin AS vincode, resource_id, resour
        CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS value,
        CASE WHEN seq % 9 = 6 THEN -42 ELSE arr END AS captured_ts,
        CASE seq % 9 WHEN 2 THEN 0 WHEN 3 THEN 9223372036854775807 WHEN 4 THEN 0 ELSE received_at END AS ts,
-       'csv' AS source, arr * 1000000 + seq AS ns_ts
+       'csv' AS source, CASE WHEN seq % 7 = 0 THEN 0 ELSE 2000000000000000000 - seq END AS ns_ts
 FROM tel WHERE seq % 9 NOT IN (0, 5)"""))
 def q_csv_scan_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reading lines derived from events are written as text files and read back."""
-    from ..session import scratch_path
+    from ..schemas import READING_COLUMNS
     from ..sources.lines import read_reading_lines
-    from .derived import reading_lines
-    path = scratch_path(spark, "reading_lines")
-    reading_lines(tv.telemetry(spark, sf_dir)).write.text(path)
-    return read_reading_lines(spark, path, max_lines=None)
+    return read_reading_lines(spark, _line_files(spark, sf_dir)).select(*READING_COLUMNS)
+
+
+ROW_CAP = 500
+
+
+@register("csv_row_cap", sql(select=f"""
+SELECT 'csv_' || CAST(seq AS VARCHAR) AS id, vin AS vincode, seq FROM tel
+WHERE seq % 9 NOT IN (0, 5) ORDER BY seq LIMIT {ROW_CAP}"""))
+def q_csv_row_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first valid rows in file order (the cap is the feature)."""
+    from ..sources.lines import read_reading_lines
+    rows = read_reading_lines(spark, _line_files(spark, sf_dir), max_lines=ROW_CAP)
+    return rows.select("id", "vincode", F.substring("id", 5, 20).cast("long").alias("seq"))
+
+
+@register("resource_load_json", sql(select="""
+SELECT resource_id, arg_min(resource_id || '_' || CAST(CAST(substr(vin, 4) AS BIGINT) % 3 AS VARCHAR), seq) AS resource_name,
+       'R' AS operation, 'Active' AS state
+FROM tel GROUP BY resource_id"""))
+def q_resource_load_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary document written by Spark and loaded, the first entry of an id winning."""
+    from ..session import scratch_path
+    from ..sources.dictionary import load_resource_matrix
+    from .derived import dictionary_document
+    path = scratch_path(spark, "dictionary")
+    dictionary_document(tv.telemetry(spark, sf_dir)).write.text(path)
+    return load_resource_matrix(spark, path)
 
 
 @register("resource_dim_first", sql(select="""
@@ -495,56 +571,113 @@ def q_resource_dim_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- T1 / W2 streaming --------------------------------------------------------
 
-STREAM_FILES = 4                                 # micro-batches of the stream_latest replay
+SLICES = 4                                       # runs of the streaming replays, each one micro-batch
 SENTINEL_TS = "2100-01-01 00:00:00"              # event time that closes every real window
 
+# The slice of an event: a quarter of the id range each.
+SLICE_SQL = f"(seq * {SLICES}) // ((SELECT max(seq) FROM tel) + 1)"
+
+
+def _stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a file stream, in place: a folder of files, or one file (by its folder and name)."""
+    root, source = sf_dir.rstrip("/"), spark.readStream.schema(tv.table(spark, sf_dir, name).schema)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return source.parquet(f"{root}/{name}.parquet")
+    return source.option("pathGlobFilter", f"{name}.parquet").parquet(root)
+
+
+def _replay(spark: SparkSession, rows: DataFrame, start) -> None:
+    """Streams ``rows`` in ``SLICES`` runs by ``seq``: each slice is written as files
+    (as many as the session's shuffle partitions) to the folder a file stream reads,
+    and ``start(stream)`` takes it up where the checkpoint left off, so every run
+    after the first is a restart."""
+    from ..session import scratch_path
+    path, top = scratch_path(spark, "stream_in"), rows.agg(F.max("seq")).first()[0]
+    for i in range(SLICES):
+        lo, hi = (None if top is None else -(-i * (top + 1) // SLICES)), (None if top is None else -(-(i + 1) * (top + 1) // SLICES))
+        part = rows if top is None else rows.where((F.col("seq") >= lo) & (F.col("seq") < hi))
+        part.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.mode("append").parquet(path)
+        start(spark.readStream.schema(rows.schema).parquet(path)).awaitTermination()
+
 
-def _stream_input(spark: SparkSession, sf_dir: str, files: int) -> tuple[str, object]:
-    """The telemetry rows written as ``files`` parquet files ordered by arrival
-    (Spark-derived input for a file stream); returns (path, schema)."""
+def _replay_readings(spark: SparkSession, sf_dir: str, name: str, **kw) -> str:
+    """The readings through ``start_latest_state``; returns the state's path."""
     from ..session import scratch_path
-    path = scratch_path(spark, "stream_in")
-    rows = tv.telemetry_from_events(tv.table(spark, sf_dir, "events"), extra=("ts",))
-    rows.repartitionByRange(files, "seq").sortWithinPartitions("seq").write.parquet(path)
-    return path, rows.schema
+    from ..streaming.latest import start_latest_state
+    state, ckpt = scratch_path(spark, f"{name}_state"), scratch_path(spark, f"{name}_ckpt")
+
+    def start(stream):
+        readings = lookup_inner(stream, tv.sensor_dictionary(spark))
+        return start_latest_state(readings.select("vin", "sensor", "value", "received_at", "seq"), state, ckpt, **kw)
+    _replay(spark, tv.telemetry(spark, sf_dir), start)
+    return state
 
 
 @register("stream_latest", LATEST_SQL)
 def q_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file stream (one file per micro-batch) through J1 into the
-    versioned latest-state table via foreachBatch; returns the final state."""
-    from ..operators.lookup import lookup_inner
-    from ..session import scratch_path
-    from ..streaming.latest import read_state, start_latest_state
-    path, schema = _stream_input(spark, sf_dir, STREAM_FILES)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    readings = lookup_inner(stream, tv.sensor_dictionary(spark))
-    state_path = scratch_path(spark, "latest_state")
-    q = start_latest_state(readings.select("vin", "sensor", "value", "received_at", "seq"),
-                           state_path, scratch_path(spark, "latest_ckpt"))
-    q.awaitTermination()
-    return read_state(spark, state_path).where(F.col("sensor").isNotNull()).select(
+    """A file stream, restarted between slices, through J1 into the bucketed
+    latest-state table via foreachBatch; returns the final state."""
+    from ..streaming.latest import read_state
+    state = _replay_readings(spark, sf_dir, "latest")
+    return read_state(spark, state).where(F.col("sensor").isNotNull()).select(
         "vin", "sensor", "value", "received_at", "seq")
 
 
+MINUTE_MS = 60_000
+
+
+@register("stream_latest_ttl", sql(f"sliced AS (SELECT *, {SLICE_SQL} AS slice FROM readings)", """life AS (
+  SELECT vin, max(slice) AS last, bool_or(slice = 0) AND bool_or(slice = 3) AND NOT bool_or(slice IN (1, 2)) AS restarted
+  FROM sliced GROUP BY vin)""", select="""
+SELECT vin, sensor, value, received_at, seq FROM (
+  SELECT s.*, row_number() OVER (PARTITION BY s.vin, s.sensor ORDER BY s.received_at DESC, s.seq DESC) AS rn
+  FROM sliced s JOIN life l USING (vin)
+  WHERE s.received_at >= 0 AND l.last >= 2 AND (NOT l.restarted OR s.slice = 3))
+WHERE rn = 1"""))
+def q_stream_latest_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 in streaming: flushes 10 minutes apart, a 15-minute TTL. A device last seen
+    two flushes ago is gone; one that comes back after that starts empty."""
+    from ..streaming.latest import read_state
+    clock = iter(range(NOW_MS, NOW_MS + 1_000 * MINUTE_MS, 10 * MINUTE_MS))
+    state = _replay_readings(spark, sf_dir, "ttl", ttl_ms=15 * MINUTE_MS, clock=lambda: next(clock))
+    return read_state(spark, state).where(F.col("sensor").isNotNull()).select(
+        "vin", "sensor", "value", "received_at", "seq")
+
+
+@register("stream_topic_merge", sql(select="""
+SELECT vin, resource_id AS sensor, value, received_at, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY vin, resource_id ORDER BY received_at DESC, seq DESC) AS rn
+  FROM tel WHERE seq % 14 IN (7, 9) AND received_at >= 0) WHERE rn = 1"""))
+def q_stream_topic_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge half end to end: topic records through routing, decoding (VARIANT
+    values) and the latest state."""
+    from ..session import scratch_path
+    from ..streaming.latest import read_state
+    from ..streaming.topic_merge import start_merge
+    from .derived import topic_records
+    state, ckpt = scratch_path(spark, "merge_state"), scratch_path(spark, "merge_ckpt")
+    records = topic_records(tv.telemetry(spark, sf_dir)).withColumn("seq", F.col("offset"))
+    _replay(spark, records, lambda stream: start_merge(stream, state, ckpt))
+    return read_state(spark, state).where(F.col("sensor").isNotNull()).select(
+        "vin", "sensor", F.try_variant_get("value", "$", "double").alias("value"), "received_at", "seq")
+
+
 @register("stream_window", REGISTRY["window_event_time"].sql)
 def q_stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watermark (10 s) + 2-minute event-time windows, append mode into a
-    parquet sink. A far-future sentinel row, written last, moves the watermark
-    past every real window; its own window never closes."""
-    from ..operators.lookup import lookup_inner
+    parquet sink. The events are streamed in place; a second stream of one
+    far-future row moves the watermark past every real window, and its own window
+    never closes."""
     from ..session import scratch_path
     from ..streaming.window import windowed_latest
-    path, schema = _stream_input(spark, sf_dir, 1)
+    events = tv.table(spark, sf_dir, "events")
+    end = scratch_path(spark, "sentinel")
     sentinel_ms = F.unix_millis(F.lit(SENTINEL_TS).cast("timestamp"))
-    sentinel = (spark.read.parquet(path).orderBy(F.col("seq").desc()).limit(1)
-                .withColumn("seq", F.col("seq") + 1)
-                .withColumn("arr", sentinel_ms)
-                .withColumn("resource_id", F.lit(tv.SENSOR_DICTIONARY[0][0]))
-                .withColumn("ts", F.lit(SENTINEL_TS).cast("timestamp_ntz")))
-    sentinel.write.mode("append").parquet(path)
-    stream = spark.readStream.schema(schema).parquet(path)
-    readings = lookup_inner(stream, tv.sensor_dictionary(spark)).withColumn(
+    (events.limit(1).withColumn("event_type", F.lit(tv.SENSOR_DICTIONARY[0][0]))
+     .withColumn("ts", F.lit(SENTINEL_TS).cast("timestamp_ntz")).write.parquet(end))
+    stream = _stream_table(spark, sf_dir, "events").unionByName(spark.readStream.schema(events.schema).parquet(end))
+    readings = lookup_inner(tv.telemetry_from_events(stream), tv.sensor_dictionary(spark)).withColumn(
         "event_time", F.timestamp_millis("arr"))
     out = scratch_path(spark, "window_out")
     q = (windowed_latest(readings, "event_time", EVENT_WINDOW_MS, 10_000)
@@ -555,6 +688,30 @@ def q_stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).where(F.col("window_start") < sentinel_ms).select("window_start", "vin", "sensor", "value", "received_at", "seq")
 
 
+# flushes of the W1 stream: two in the first window, one in the second, one after it
+WINDOW_CLOCK = [NOW_MS, NOW_MS + MINUTE_MS, NOW_MS + 150_000, NOW_MS + 300_000]
+
+
+@register("stream_window_flush", sql(f"sliced AS (SELECT *, {SLICE_SQL} AS slice FROM readings)", f"""emitted AS (
+  SELECT * FROM (VALUES (1, {NOW_MS}, {NOW_MS + 150_000}), (2, {NOW_MS + 120_000}, {NOW_MS + 300_000})) AS e(upto, window_start, tick))""",
+                                    select="""
+SELECT tick, window_start, vin AS key, sensor, value, received_at, window_start + 120000 AS produced_at FROM (
+  SELECT e.tick, e.window_start, s.*,
+         row_number() OVER (PARTITION BY e.tick, s.vin, s.sensor ORDER BY s.received_at DESC, s.seq DESC) AS rn
+  FROM emitted e JOIN sliced s ON s.slice <= e.upto WHERE s.received_at >= 0) WHERE rn = 1"""))
+def q_stream_window_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 in streaming: 2-minute flush-time windows, 10 s lateness, over four flushes;
+    the emitted messages, decoded."""
+    from ..session import scratch_path
+    from ..streaming.emitters import WindowStreamEmitter
+    out, clock = scratch_path(spark, "window_messages"), iter(WINDOW_CLOCK)
+    emitter = WindowStreamEmitter(scratch_path(spark, "window_buffer"),
+                                  lambda df, i: df.write.mode("overwrite").parquet(f"{out}/flush={i}"))
+    _replay_readings(spark, sf_dir, "wflush", emitter=emitter, clock=lambda: next(clock))
+    return decoded(spark.read.parquet(out), ("tick", "key", "window_start")).select(
+        "tick", "window_start", "key", "sensor", "value", "received_at", "produced_at")
+
+
 # -- volume: A2 on lineitem ---------------------------------------------------
 
 @register("latest_merge_volume", sql(select="""
@@ -598,31 +755,27 @@ def q_window_device_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("flush_inline", sql(*snapshot_ctes(SNAP_TTL_MS), select="""
-SELECT tick, vin AS key, count(*) AS n_sensors, max(received_at) AS max_received_at, tick AS produced_at
-FROM snap GROUP BY tick, vin"""))
+SELECT tick, vin AS key, sensor, value, received_at, tick AS produced_at FROM snap"""))
 def q_flush_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 inline: one keyed payload per live device per flush, decoded back to scalars."""
+    """T4 inline: one keyed payload per live device per flush, decoded."""
     from ..operators.strategies import emit
     out = emit("inline", _snapshots(spark, sf_dir, SNAP_TTL_MS))
-    dec = messages.with_envelope(out, "value")
-    members = F.map_filter("_dmap", lambda k, v: k != "id")
-    return dec.select(
-        "tick", "key", F.size(members).cast("long").alias("n_sensors"),
-        F.array_max(F.transform(F.map_values(members),
-                                lambda m: F.try_variant_get(m, "$.received_at", "bigint"))).alias("max_received_at"),
-        F.try_variant_get(F.col("_env.produced_at"), "$", "bigint").alias("produced_at"))
+    return decoded(out, ("tick", "key")).select("tick", "key", "sensor", "value", "received_at", "produced_at")
 
 
 @register("batched_flush", sql(*snapshot_ctes(SNAP_TTL_MS), f"""devs AS (
-  SELECT tick, vin, (row_number() OVER (PARTITION BY tick ORDER BY vin) - 1) // {BATCH_SIZE} AS msg_idx
-  FROM (SELECT DISTINCT tick, vin FROM snap))""", select="""
-SELECT tick, msg_idx, count(*) AS num_of_data, min(vin) AS min_vin, max(vin) AS max_vin
-FROM devs GROUP BY tick, msg_idx"""))
+  SELECT tick, vin, n // {BATCH_SIZE} AS msg_idx, n % {BATCH_SIZE} AS pos FROM (
+    SELECT tick, vin, row_number() OVER (PARTITION BY tick ORDER BY vin) - 1 AS n FROM (SELECT DISTINCT tick, vin FROM snap)))""",
+                             select="""
+SELECT d.tick, d.msg_idx, count(DISTINCT d.vin) OVER (PARTITION BY d.tick, d.msg_idx) AS num_of_data, d.pos, d.vin,
+       s.sensor, s.value, s.received_at, d.tick AS produced_at
+FROM devs d JOIN snap s ON s.tick = d.tick AND s.vin = d.vin"""))
 def q_batched_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 log_compacted with batch size 100: every flush packed on its own (A5 per tick)."""
+    """T4 log_compacted with batch size 100: every flush packed on its own (A5 per tick), decoded."""
     from ..operators.strategies import emit
     out = emit("log_compacted", _snapshots(spark, sf_dir, SNAP_TTL_MS), batch_size=BATCH_SIZE)
-    return out.select("tick", "msg_idx", "num_of_data", "min_vin", "max_vin")
+    return decoded_batches(out, ("tick", "msg_idx")).select(
+        "tick", "msg_idx", "num_of_data", "pos", "vin", "sensor", "value", "received_at", "produced_at")
 
 
 # -- volume: T2/T3 replay on lineitem --------------------------------------------
@@ -631,7 +784,6 @@ LI_DAY_MS = DAY_MS
 LI_SEQ_SHIFT = 1 << 40                   # seq = ship day * 2^40 + order * 8 + line (monotone in arrival)
 LI_PERIOD_MS = 30 * DAY_MS               # flush every 30 days
 LI_TTL_MS = 45 * DAY_MS                  # evict suppliers idle for 45 days
-LI_T_END = 915_148_800_000               # 1999-01-01T00:00:00Z
 
 LINEITEM_READINGS_CTE = f"""li AS (
   SELECT 'SUP' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS vin,
@@ -664,7 +816,7 @@ def _li_snapshot_sql() -> str:
   SELECT *, sum(CASE WHEN prev IS NULL OR ((prev + {ttl}) // {P} + 1) * {P} <= arr THEN 1 ELSE 0 END)
               OVER (PARTITION BY vin ORDER BY arr, seq ROWS UNBOUNDED PRECEDING) AS inc
   FROM (SELECT *, lag(arr) OVER (PARTITION BY vin ORDER BY arr, seq) AS prev FROM li))""",
-               f"""ticks AS (SELECT unnest(generate_series((min(arr) // {P} + 1) * {P}, {LI_T_END}, {P})) AS t FROM li)""",
+               f"""ticks AS (SELECT unnest(generate_series((min(arr) // {P} + 1) * {P}, (max(arr) // {P} + 1) * {P}, {P})) AS t FROM li)""",
                """seen AS (SELECT tk.t, i.* FROM ticks tk JOIN incs i ON i.arr < tk.t)""",
                """cur AS (SELECT t, vin, max(inc) AS inc FROM seen GROUP BY t, vin)""",
                f"""live AS (
@@ -683,29 +835,24 @@ SELECT tick, vin, sensor, value, received_at, seq FROM snap""")
 def q_flush_snapshot_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2 + T3 on lineitem: 30-day flushes, 45-day idle TTL, every supplier × line."""
     from ..operators.snapshot import snapshots
-    return snapshots(lineitem_readings(spark, sf_dir), LI_PERIOD_MS, LI_TTL_MS, LI_T_END)
+    return snapshots(lineitem_readings(spark, sf_dir), LI_PERIOD_MS, LI_TTL_MS, None)
 
 
-@register("stream_state_store", sql(LATEST_CTE, select="""
-SELECT 'latest:' || vin AS key, vin, count(*) AS n_sensors, max(received_at) AS max_received_at
-FROM latest GROUP BY vin"""))
+@register("stream_state_store", sql(LATEST_CTE, select=f"""
+SELECT 'latest:' || vin AS key, vin, count(*) OVER (PARTITION BY vin) AS n_sensors, sensor, value, received_at,
+       {NOW_MS + (SLICES - 1) * 1_000} AS produced_at
+FROM latest"""))
 def q_stream_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 in streaming: every micro-batch (flush) upserts ``latest:<vin>`` into
-    the keyed store; the view after the last flush shows every device."""
-    from ..operators.lookup import lookup_inner
+    the keyed store; the view after the last flush shows every device, decoded."""
     from ..session import scratch_path
     from ..streaming.emitters import StateStoreEmitter
-    from ..streaming.latest import start_latest_state
-    path, schema = _stream_input(spark, sf_dir, STREAM_FILES)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    readings = lookup_inner(stream, tv.sensor_dictionary(spark))
     store = StateStoreEmitter(scratch_path(spark, "kv_store"))
     ticks = iter(range(NOW_MS, NOW_MS + 10_000_000, 1_000))   # deterministic flush clock, 1 s apart
-    q = start_latest_state(readings.select("vin", "sensor", "value", "received_at", "seq"),
-                           scratch_path(spark, "kv_state"), scratch_path(spark, "kv_ckpt"),
-                           emitter=store, clock=lambda: next(ticks))
-    q.awaitTermination()
-    return store.view(spark, NOW_MS + STREAM_FILES * 1_000).select("key", "vin", "n_sensors", "max_received_at")
+    _replay_readings(spark, sf_dir, "kv", emitter=store, clock=lambda: next(ticks))
+    view = store.view(spark, NOW_MS + SLICES * 1_000)
+    return decoded(view, ("key", "n_sensors")).select(
+        "key", "vin", "n_sensors", "sensor", "value", "received_at", "produced_at")
 
 
 @register("route_counts", sql(select=f"""
@@ -719,24 +866,25 @@ def q_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("etl_payloads", sql(f"""lines AS (
-  SELECT vin, resource_id, seq, arr * 1000000 + seq AS ns_ts,
+  SELECT vin, resource_id, seq, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS value,
          CASE seq % 9 WHEN 2 THEN {NOW_MS} WHEN 4 THEN {NOW_MS} WHEN 3 THEN 9223372036854775807
               ELSE received_at END AS received_at
   FROM tel WHERE seq % 9 NOT IN (0, 5))""", """named AS (
-  SELECT l.vin, d.resource_name AS sensor, l.received_at, l.ns_ts
+  SELECT l.vin, d.resource_name AS sensor, l.value, l.received_at, l.seq
   FROM lines l JOIN sensor_dict d ON l.resource_id = d.resource_id)""", """last AS (
-  SELECT vin, sensor, received_at FROM (
-    SELECT *, row_number() OVER (PARTITION BY vin, sensor ORDER BY ns_ts DESC) AS rn FROM named)
-  WHERE rn = 1)""", select="""
-SELECT vin AS key, count(*) AS n_sensors, max(received_at) AS max_received_at FROM last GROUP BY vin"""))
+  SELECT vin, sensor, value, received_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY vin, sensor ORDER BY seq DESC) AS rn FROM named)
+  WHERE rn = 1)""", select=f"""
+SELECT vin AS key, count(*) OVER (PARTITION BY vin) AS n_sensors, sensor, value, received_at, {NOW_MS} AS produced_at
+FROM last"""))
 def q_etl_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 -> J1 -> P5 -> A1 -> A4/P3 -> P4: the reading file (written by Spark
-    from events) becomes one keyed payload per device."""
+    """S1 -> J1 -> P5 -> A1 -> A4/P3 -> P4: reading lines, whose own timestamps fall
+    or do not parse, become one keyed payload per device; decoded."""
     from ..operators.etl import etl_messages
-    from ..session import scratch_path
-    from ..sources.lines import read_reading_lines
+    from ..sources.lines import parse_lines
     from .derived import reading_lines
-    path = scratch_path(spark, "etl_lines")
-    reading_lines(tv.telemetry(spark, sf_dir)).write.text(path)
-    msgs = etl_messages(read_reading_lines(spark, path, max_lines=None), tv.sensor_dictionary(spark), NOW_MS)
-    return msgs.select("key", "n_sensors", "max_received_at")
+    lines = parse_lines(reading_lines(tv.telemetry(spark, sf_dir)), keep=("seq",))
+    msgs = etl_messages(lines, tv.sensor_dictionary(spark), NOW_MS, order_col="seq")
+    out = messages.decode_payloads(msgs, raw="value", keep=("key", "n_sensors"))
+    return out.select("key", "n_sensors", "sensor", F.try_variant_get("value", "$", "string").alias("value"),
+                      "received_at", "produced_at")

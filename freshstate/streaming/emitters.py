@@ -3,77 +3,27 @@
 ``LatestStateBatch`` calls ``emitter(snapshot, batch_id, now_ms)`` once per
 micro-batch (= flush) with the full live state as long form ``(tick, vin,
 sensor, value, received_at, seq)``. Emitters that keep state of their own
-(the keyed store, the window buffer) use the same versioned-table layout as
-the latest state: version = batch id, written in overwrite mode, so a retried
-batch rewrites the same version.
+(the keyed store, the window buffer) use the same versioned tables as the
+latest state: version = batch id, so a retried batch rewrites the same version.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions import window_start
 from ..operators.strategies import (
-    STATE_STORE_PREFIX, STATE_STORE_TTL_MS, WINDOW_LATENESS_MS, WINDOW_SIZE_MS, emit, state_store_writes,
+    STATE_STORE_PREFIX, STATE_STORE_TTL_MS, WINDOW_LATENESS_MS, WINDOW_SIZE_MS, emit, state_store_writes, window_messages,
 )
-
-
-_VERSION = re.compile(r"/version=(\d+)/")
-
-
-def read_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Newest version of a versioned table (optionally older than ``before``).
-
-    Versions are found from the file listing (``inputFiles``), not by
-    scanning rows; the read is then pruned to one ``version=`` partition.
-    """
-    try:
-        t = spark.read.parquet(path)
-    except AnalysisException:
-        return None
-    found = {int(m.group(1)) for f in t.inputFiles() if (m := _VERSION.search(f))}
-    if before is not None:
-        found = {v for v in found if v < before}
-    if not found:
-        return None
-    return t.where(F.col("version") == max(found)).drop("version")
-
-
-def write_version(df: DataFrame, path: str, version: int, retain: int | None = 2) -> None:
-    """Write ``version`` (overwrite: a retried batch rewrites it), then drop
-    versions older than the last ``retain`` ones. ``retain >= 2`` keeps the
-    version a retry of this batch would read."""
-    root = path.rstrip("/")
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    if retain is not None:
-        prune_versions(df.sparkSession, root, keep_from=version - max(int(retain), 2) + 1)
-
-
-def prune_versions(spark: SparkSession, path: str, keep_from: int) -> list[int]:
-    """Delete ``version=<v>`` folders with ``v < keep_from`` (Hadoop FileSystem,
-    so it works on any shared store). Returns the removed versions."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    removed = []
-    if not fs.exists(root):
-        return removed
-    for st in fs.listStatus(root):
-        m = _VERSION.search(st.getPath().toString() + "/")
-        if st.isDirectory() and m and int(m.group(1)) < keep_from:
-            fs.delete(st.getPath(), True)
-            removed.append(int(m.group(1)))
-    return sorted(removed)
+from .tables import DEFAULT_BUCKETS, VersionedTable, bucket_of, current_run
 
 
 class TopicEmitter:
-    """``inline`` / ``log_compacted`` messages handed to ``write_fn(df, batch_id)``
-    (e.g. a Kafka or file sink)."""
+    """Messages of a strategy handed to ``write_fn(df, batch_id)`` (e.g. a Kafka or
+    file sink)."""
 
     def __init__(self, strategy: str, write_fn: Callable[[DataFrame, int], None], **options):
         self.strategy, self.write_fn, self.options = strategy, write_fn, options
@@ -86,47 +36,50 @@ class StateStoreEmitter:
     """Upsert ``latest:<vin>`` entries with a TTL into a keyed table.
 
     Each version holds the newest entry per key; entries already expired at
-    ``now`` are dropped, so the table stays bounded by the live keys."""
+    ``now`` are dropped, so the table stays bounded by the live keys. A flush
+    upserts every live device, so every bucket is rewritten."""
 
-    def __init__(self, path: str, ttl_ms: int = STATE_STORE_TTL_MS, prefix: str = STATE_STORE_PREFIX):
-        self.path, self.ttl_ms, self.prefix = path.rstrip("/"), ttl_ms, prefix
+    def __init__(self, path: str, ttl_ms: int = STATE_STORE_TTL_MS, prefix: str = STATE_STORE_PREFIX,
+                 buckets: int = DEFAULT_BUCKETS):
+        self.path, self.ttl_ms, self.prefix, self.buckets = path.rstrip("/"), ttl_ms, prefix, buckets
 
     def __call__(self, snapshot: DataFrame, batch_id: int, now_ms: int) -> None:
-        spark = snapshot.sparkSession
+        table = VersionedTable(snapshot.sparkSession, self.path, current_run(snapshot.sparkSession))
         writes = state_store_writes(snapshot, self.ttl_ms, self.prefix)
-        prev = read_version(spark, self.path, before=batch_id)
+        prev = table.read(batch_id)
         allw = writes if prev is None else prev.unionByName(writes)
         last = allw.groupBy("key").agg(F.max_by(F.struct(*[c for c in allw.columns if c != "key"]),
                                                 F.col("produced_at")).alias("_w"))
-        table = last.select("key", "_w.*").where(F.col("expires_at") > F.lit(int(now_ms)))
-        write_version(table, self.path, batch_id)
+        live = last.select("key", "_w.*").where(F.col("expires_at") > F.lit(int(now_ms)))
+        table.write(live, batch_id, bucket_of("key", self.buckets), list(range(self.buckets)))
 
     def view(self, spark: SparkSession, now_ms: int) -> DataFrame | None:
-        t = read_version(spark, self.path)
+        t = VersionedTable(spark, self.path).read()
         return None if t is None else t.where(F.col("expires_at") > F.lit(int(now_ms)))
 
 
 class WindowStreamEmitter:
     """W1 across micro-batches: the snapshot taken at ``now`` goes to window
     ``now - now % window``; per (window, vin) the last flush wins; windows with
-    ``start + window + lateness <= now`` are emitted (``produced_at = start +
-    window``) and dropped from the buffer."""
+    ``start + window + lateness <= now`` are emitted as messages ``(tick, key,
+    value, window_start)`` (``produced_at = start + window``) and dropped from
+    the buffer."""
 
     def __init__(self, buffer_path: str, write_fn: Callable[[DataFrame, int], None],
-                 window_ms: int = WINDOW_SIZE_MS, lateness_ms: int = WINDOW_LATENESS_MS):
-        self.path, self.write_fn = buffer_path.rstrip("/"), write_fn
+                 window_ms: int = WINDOW_SIZE_MS, lateness_ms: int = WINDOW_LATENESS_MS, buckets: int = DEFAULT_BUCKETS):
+        self.path, self.write_fn, self.buckets = buffer_path.rstrip("/"), write_fn, buckets
         self.window_ms, self.lateness_ms = window_ms, lateness_ms
 
     def __call__(self, snapshot: DataFrame, batch_id: int, now_ms: int) -> None:
-        spark = snapshot.sparkSession
-        cur = (snapshot.withColumn("window_start", window_start(F.lit(int(now_ms)), self.window_ms))
+        table = VersionedTable(snapshot.sparkSession, self.path, current_run(snapshot.sparkSession))
+        cur = (snapshot.withColumn("window_start", window_start(F.lit(int(now_ms)).cast("long"), self.window_ms))
                .withColumn("flush_ts", F.lit(int(now_ms)).cast("long")))
-        prev = read_version(spark, self.path, before=batch_id)
+        prev = table.read(batch_id)
         buf = cur if prev is None else prev.unionByName(cur)
         last = F.max("flush_ts").over(Window.partitionBy("window_start", "vin"))
         buf = buf.withColumn("_last", last).where(F.col("flush_ts") == F.col("_last")).drop("_last")
         closed = F.col("window_start") + F.lit(self.window_ms + self.lateness_ms) <= F.lit(int(now_ms))
-        write_version(buf.where(~closed), self.path, batch_id)
+        table.write(buf.where(~closed), batch_id, bucket_of("vin", self.buckets), list(range(self.buckets)))
         out = (buf.where(closed).withColumn("produced_at", F.col("window_start") + F.lit(self.window_ms))
                .withColumn("emit_tick", F.lit(int(now_ms)).cast("long")))
-        self.write_fn(out, batch_id)
+        self.write_fn(window_messages(out), batch_id)

@@ -1,16 +1,16 @@
 """T1/T2/T3 — latest-value state across micro-batches.
 
-Each micro-batch is a flush: ``foreachBatch`` reads state version *k-1*,
-merges the batch (A3), refreshes ``last_seen`` of every device the batch
-touched, evicts devices idle for more than ``ttl_ms`` (strict), writes version
-*k* (overwrite, so a retried batch rewrites the same version), then hands the
-full snapshot to an emission strategy. The reference emits the entire live
-state at every flush anyway, so rewriting O(state) per trigger adds no
-asymptotic cost. The kernels are the same JVM-only DataFrame code as batch.
-
-State layout: ``<state_path>/version=<batch_id>/`` parquet with rows
-``(vin, sensor, <carry>, received_at, seq, last_seen)``; a device with no
-stored sensor keeps one row with ``sensor`` NULL.
+Each micro-batch is a flush: ``foreachBatch`` reads the state buckets that the
+batch touches (and, with a TTL, those that hold a device due to expire), merges
+the batch (A3), refreshes ``last_seen`` of every device the batch touched,
+evicts devices idle for more than ``ttl_ms`` (strict), and commits those buckets
+as version *k*. A retried batch rewrites the same version. The full snapshot is
+only read when an emission strategy is set. The kernels are the same JVM-only
+DataFrame code as batch.
+
+State rows: ``(vin, sensor, <carry>, received_at, seq, last_seen)``; a device
+with no stored sensor keeps one row with ``sensor`` NULL. See ``tables`` for
+the layout.
 """
 
 from __future__ import annotations
@@ -18,48 +18,66 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.merge import latest_merge
+from ..operators.merge import fixed_width, order_key, winner_aggs
 from ..operators.strategies import emit
-from .emitters import read_version, write_version
+from .tables import DEFAULT_BUCKETS, VersionedTable, bucket_of, current_run
 
 
 def read_state(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame | None:
-    """The newest committed state version (optionally older than ``before``)."""
-    return read_version(spark, state_path, before)
+    """The newest committed state (optionally older than version ``before``)."""
+    return VersionedTable(spark, state_path).read(before)
 
 
 def merge_state(prev: DataFrame | None, batch: DataFrame, now_ms: int, ttl_ms: int | None,
                 carry: tuple[str, ...] = ("value",)) -> DataFrame:
     """One flush: prev ⊕ batch, then eviction. ``batch`` is long form with
-    optional NULL-sensor rows (device refresh only)."""
+    optional NULL-sensor rows (device refresh only).
+
+    One aggregation per (vin, sensor), combined map-side, gives the winner and
+    the last time seen; one window per device, over a row per sensor, spreads
+    the latter and drops idle devices.
+    """
     cols = ["vin", "sensor", *carry, "received_at", "seq"]
-    b = batch.where(F.col("vin").isNotNull() & (F.col("vin") != ""))
-    incoming = b.where(F.col("sensor").isNotNull()).select(*cols)
-    touched = b.groupBy("vin").agg(F.lit(int(now_ms)).cast("long").alias("last_seen"))
-    if prev is None:
-        sensors = latest_merge(incoming, carry=carry)
-        devices = touched
+    rows = (batch.where(F.col("vin").isNotNull() & (F.col("vin") != ""))
+            .select(*cols, F.lit(int(now_ms)).cast("long").alias("last_seen")))
+    if prev is not None:
+        rows = prev.select(*cols, "last_seen").unionByName(rows)
+    stored = F.col("sensor").isNotNull() & (F.col("received_at") >= 0)
+    seen, own = F.max("last_seen").alias("last_seen"), [*carry, "received_at", "seq"]
+    if fixed_width(rows, own):
+        key = F.when(stored, order_key())
+        merged = (rows.groupBy("vin", "sensor").agg(*winner_aggs(own, key), F.max(key).alias("_key"), seen)
+                  .withColumn("_has", F.col("_key").isNotNull()))
     else:
-        sensors = latest_merge(prev.where(F.col("sensor").isNotNull()).select(*cols).unionByName(incoming),
-                               carry=carry)
-        devices = (prev.select("vin", "last_seen").unionByName(touched)
-                   .groupBy("vin").agg(F.max("last_seen").alias("last_seen")))
+        winner = F.max_by(F.when(stored, F.struct(*own)), F.when(stored, F.struct("received_at", "seq")))
+        merged = (rows.groupBy("vin", "sensor").agg(winner.alias("_w"), seen)
+                  .select("vin", "sensor", "_w.*", "last_seen", F.col("_w").isNotNull().alias("_has")))
+    device = Window.partitionBy("vin")
+    merged = (merged.withColumn("last_seen", F.max("last_seen").over(device))
+              .withColumn("_rank", F.row_number().over(device.orderBy(F.col("_has").desc(), "sensor")))
+              .where(F.col("_has") | (F.col("_rank") == 1))
+              .withColumn("sensor", F.when(F.col("_has"), F.col("sensor"))))
     if ttl_ms is not None:
-        devices = devices.where(F.lit(int(now_ms)) - F.col("last_seen") <= F.lit(int(ttl_ms)))
-    return devices.join(sensors, "vin", "left").select(*cols, "last_seen")
+        merged = merged.where(F.lit(int(now_ms)) - F.col("last_seen") <= F.lit(int(ttl_ms)))
+    return merged.select(*cols, "last_seen")
 
 
 class LatestStateBatch:
-    """The ``foreachBatch`` function of the latest-state job."""
+    """The ``foreachBatch`` function of the latest-state job.
+
+    ``stats_fn`` gets one dict per flush (A7): batch, duration_ms, vin_count,
+    value_count and message_count (devices over the strategy's ``batch_size``).
+    """
 
     def __init__(self, state_path: str, ttl_ms: int | None = None, carry: tuple[str, ...] = ("value",),
                  strategy: str | None = None, strategy_options: dict | None = None,
                  emit_fn: Callable[[DataFrame, int], None] | None = None,
                  clock: Callable[[], int] | None = None,
-                 emitter: Callable[[DataFrame, int, int], None] | None = None):
+                 emitter: Callable[[DataFrame, int, int], None] | None = None,
+                 buckets: int = DEFAULT_BUCKETS, stats_fn: Callable[[dict], None] | None = None):
         self.state_path = state_path.rstrip("/")
         self.ttl_ms = ttl_ms
         self.carry = carry
@@ -68,24 +86,47 @@ class LatestStateBatch:
         self.emit_fn = emit_fn
         self.clock = clock or (lambda: int(time.time() * 1000))
         self.emitter = emitter
+        self.buckets = buckets
+        self.stats_fn = stats_fn
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
         spark = batch.sparkSession
         now = self.clock()
-        prev = read_state(spark, self.state_path, before=batch_id)
-        state = merge_state(prev, batch, now, self.ttl_ms, self.carry)
-        write_version(state, self.state_path, batch_id)
-        if self.emitter is None and (self.strategy is None or self.emit_fn is None):
+        bucket = bucket_of("vin", self.buckets)
+        table = VersionedTable(spark, self.state_path, current_run(spark))
+        before = table.manifest(batch_id) or {}
+        batch = batch.persist()
+        try:
+            touched = {r[0] for r in batch.where("vin IS NOT NULL AND vin <> ''").select(bucket).distinct().collect()}
+            oldest = {int(b): seen for b, seen in before.get("oldest", {}).items()}
+            if self.ttl_ms is not None:
+                touched |= {b for b, seen in oldest.items() if now - seen > self.ttl_ms}
+            touched = sorted(touched)
+            state = merge_state(table.read(batch_id, touched), batch, now, self.ttl_ms, self.carry)
+            if self.ttl_ms is not None:
+                state = state.persist()
+                oldest = {b: seen for b, seen in oldest.items() if b not in set(touched)}
+                oldest.update({r.b: r.seen for r in state.groupBy(bucket.alias("b")).agg(F.min("last_seen").alias("seen")).collect()})
+            table.write(state, batch_id, bucket, touched, {"oldest": oldest})
+            state.unpersist()
+        finally:
+            batch.unpersist()
+        emits = self.emitter is not None or (self.strategy is not None and self.emit_fn is not None)
+        if not emits and self.stats_fn is None:
             return
-        # emit from the version just written (lineage cut at the state table)
-        written = spark.read.parquet(f"{self.state_path}/version={batch_id}")
         # every live device, also those without stored sensors (sensor NULL row)
-        snap = (written.select("vin", "sensor", *self.carry, "received_at", "seq")
+        snap = (table.read().select("vin", "sensor", *self.carry, "received_at", "seq")
                 .withColumn("tick", F.lit(int(now)).cast("long")))
         if self.emitter is not None:
             self.emitter(snap, batch_id, now)
-        else:
+        elif emits:
             self.emit_fn(emit(self.strategy, snap, **self.strategy_options), batch_id)
+        if self.stats_fn is not None:
+            values, devices = snap.agg(F.count("sensor"), F.count_distinct("vin")).first()
+            size = max(1, int(self.strategy_options.get("batch_size", getattr(self.emitter, "options", {}).get("batch_size", 1))))
+            self.stats_fn({"batch": batch_id, "duration_ms": int((time.monotonic() - began) * 1000), "vin_count": devices,
+                           "value_count": values, "message_count": -(-devices // size)})
 
 
 def start_latest_state(stream: DataFrame, state_path: str, checkpoint_location: str,

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 def kafka_source_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",
                          group_id: str | None = None, **extra) -> dict:
-    """Read a keyed topic from earliest (replay rebuilds state)."""
+    """Read a keyed topic from earliest (replay rebuilds state). Lost offsets
+    fail the read, Spark's default, unless ``failOnDataLoss`` is passed."""
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets}
     if group_id:
         opts["kafka.group.id"] = group_id
     opts.update({k: str(v) for k, v in extra.items()})
@@ -29,9 +30,8 @@ def kafka_sink_options(bootstrap_servers: str, topic: str, **extra) -> dict:
     return opts
 
 
-def read_topic_stream(spark, bootstrap_servers: str, topic: str, **kw) -> DataFrame:
-    """Keyed topic as a stream of ``(key, value, topic, partition, offset, timestamp)``."""
-    df = spark.readStream.format("kafka").options(**kafka_source_options(bootstrap_servers, topic, **kw)).load()
+def topic_rows(df: DataFrame) -> DataFrame:
+    """A keyed topic's records as ``(key, value, topic, partition, offset, timestamp)`` with text keys and values."""
     return df.select(F.col("key").cast("string"), F.col("value").cast("string"),
                      "topic", "partition", "offset", "timestamp")
 
@@ -41,9 +41,14 @@ def to_topic_rows(df: DataFrame, key_col: str = "key", value_col: str = "value")
     return df.select(F.col(key_col).cast("string").alias("key"), F.col(value_col).cast("string").alias("value"))
 
 
-def write_topic(df: DataFrame, bootstrap_servers: str, topic: str, **extra) -> None:
-    """Batch write to a keyed topic."""
-    to_topic_rows(df).write.format("kafka").options(**kafka_sink_options(bootstrap_servers, topic, **extra)).save()
+def read_topic_stream(spark, bootstrap_servers: str, topic: str, **kw) -> DataFrame:
+    """A keyed topic as a stream of ``topic_rows``."""
+    return topic_rows(spark.readStream.format("kafka").options(**kafka_source_options(bootstrap_servers, topic, **kw)).load())
+
+
+def write_topic(df: DataFrame, bootstrap_servers: str, topic: str, fmt: str = "kafka", **extra) -> None:
+    """Batch write of ``(key, value)`` rows to a keyed topic (``fmt``: the connector)."""
+    to_topic_rows(df).write.format(fmt).options(**kafka_sink_options(bootstrap_servers, topic, **extra)).save()
 
 
 def write_noop(df: DataFrame) -> None:

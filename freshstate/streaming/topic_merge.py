@@ -15,19 +15,22 @@ from pyspark.sql import functions as F
 from ..functions import epoch_millis
 from ..operators.messages import decode_payloads
 from .latest import start_latest_state
+from .stats import observe_routes
 
 
-def decoded_topic(records: DataFrame, carry_variant: bool = True) -> DataFrame:
+def decoded_topic(records: DataFrame, carry_variant: bool = True, observe: str | None = None) -> DataFrame:
     """Topic records ``(key, value, partition, offset, timestamp)`` -> long form.
 
     ``seq`` = offset: one device always lives in one partition (the key is the
     device), so offsets order its messages. ``arr`` = record timestamp (ms).
     ``value`` stays VARIANT (any JSON type, stored as such in the state
-    table); with ``carry_variant=False`` it becomes JSON text.
+    table); with ``carry_variant=False`` it becomes JSON text. ``observe`` names
+    the metric with the route counts of every micro-batch (A7).
     """
     msgs = records.select(F.col("offset").alias("seq"), epoch_millis("timestamp").alias("arr"),
                           F.col("value").cast("string").alias("value"))
-    long = decode_payloads(msgs, raw="value", keep=("seq", "arr"), with_device_rows=True)
+    tap = (lambda routed: observe_routes(routed, observe)) if observe else None
+    long = decode_payloads(msgs, raw="value", keep=("seq", "arr"), with_device_rows=True, tap=tap)
     if not carry_variant:
         long = long.withColumn("value", F.to_json("value"))
     return long.select("vin", "sensor", "value", "received_at", "seq", "arr")
@@ -35,5 +38,6 @@ def decoded_topic(records: DataFrame, carry_variant: bool = True) -> DataFrame:
 
 def start_merge(records: DataFrame, state_path: str, checkpoint_location: str, **kw):
     """Run the merge half on a topic stream; ``kw`` as ``start_latest_state``
-    (``ttl_ms``, ``emitter``, ``trigger``, ``clock``, ...)."""
-    return start_latest_state(decoded_topic(records), state_path, checkpoint_location, **kw)
+    (``ttl_ms``, ``emitter``, ``trigger``, ``clock``, ``stats_fn``, ...). Flush, error
+    and skip counts arrive as observed metric ``route_counts`` (``stats.MetricsCollector``)."""
+    return start_latest_state(decoded_topic(records, observe="route_counts"), state_path, checkpoint_location, **kw)

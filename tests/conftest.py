@@ -6,7 +6,7 @@ import pytest
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, REPO)
 # Python workers (Data Source readers) import the package too
-os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (REPO, os.environ.get("PYTHONPATH", "")) if p)
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (REPO, os.path.join(REPO, "tests"), os.environ.get("PYTHONPATH", "")) if p)
 
 
 @pytest.fixture(scope="session")

@@ -116,3 +116,11 @@ def test_transform_chain(spark):
     out = (rows.transform(lookup_inner, sensor_dictionary(spark))
            .transform(merge.latest_merge).transform(device_rollup)).collect()
     assert len(out) == 1 and dict(out[0].metrics)["page_view"].value == "1"
+
+
+def test_order_key_is_exact_at_the_extremes(spark):
+    top = 2 ** 63 - 1
+    data = [("V", "a", 1.0, top, -(2 ** 63), 0), ("V", "a", 2.0, top, top, 0), ("V", "a", 3.0, top - 1, top, 0),
+            ("W", "a", 4.0, 0, -(2 ** 63), 0), ("W", "a", 5.0, 0, top, 0)]
+    out = merge.latest_merge(spark.createDataFrame(data, LONG.replace("value string", "value double")))
+    assert {r.vin: r.value for r in out.collect()} == {"V": 2.0, "W": 5.0}

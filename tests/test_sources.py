@@ -61,7 +61,7 @@ def test_resource_list_last_wins_blanks_kept(spark, scratch):
 
 def test_chunk_count():
     assert R.chunk_count(10_000, 2_000) == 5
-    assert R.chunk_count(9_000, 2_000) == 4   # remainder unread
+    assert R.chunk_count(9_000, 2_000) == 5   # the last chunk is short
     assert R.chunk_count(1_000, 2_000) == 1
 
 
@@ -94,4 +94,35 @@ def test_line_over_one_mib_fails_the_read(spark, scratch):
     spark.createDataFrame([("a,b,c,d,e,1,2,x,3",), ("x" * (1024 * 1024 + 1),)], "value string") \
         .coalesce(1).write.text(path)
     with pytest.raises(Exception, match="1 MiB"):
-        L.read_reading_lines(spark, path, max_lines=None).collect()
+        L.read_reading_lines(spark, path, strict_line_length=True).collect()
+    rows = L.read_reading_lines(spark, path).collect()     # by default it is a line like any other
+    assert len(rows) == 1
+
+
+def test_bad_dictionaries_fail(spark, scratch):
+    import pytest
+    for text in ('{"resource_matrix": [{"resource_id": "a"', '{"resource_matrix": []}', '{"other": 1}',
+                 '{"resource_matrix": [{"resource_id": 7, "resource_name": "n"}]}', '{"resource_matrix": [null]}'):
+        path = scratch("bad") + ".json"
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+        with pytest.raises(Exception, match="not a resource dictionary"):
+            D.load_resource_matrix(spark, path).collect()
+
+
+def test_line_position_orders_readings(spark, scratch):
+    from freshstate.operators.etl import etl_messages
+    from freshstate.operators.messages import decode_payloads
+    path = scratch("ordered")
+    text = "\n".join(f"i{i},V,r,n,{i},1,{100 - i},csv,{'n/a' if i % 2 else 100 - i}" for i in range(50))
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    dim = spark.createDataFrame([("r", "sensor")], "resource_id string, resource_name string")
+    out = decode_payloads(etl_messages(L.read_reading_lines(spark, path), dim, 7), raw="value", keep=())
+    assert [r.value.toJson() for r in out.collect()] == ['"49"']
+
+
+def test_time_between_is_pushed_down(spark, scratch):
+    path = scratch("times")
+    spark.range(0, 10).selectExpr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id) AS ts", "id").write.parquet(path)
+    df = spark.read.parquet(path).where(R.time_between("ts", 1_704_067_202_000, 1_704_067_205_000))
+    assert sorted(r.id for r in df.collect()) == [2, 3, 4]
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in df._jdf.queryExecution().executedPlan().toString()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from freshstate.sources import store
 from freshstate.sources.range_scan import normalize_records
 
+FETCH = "store_client:parquet_fetch"
 BASE = 1_704_067_200_000
 
 
@@ -25,8 +26,36 @@ def make_store(spark, path, n=400):
 def test_partitions_per_pod_and_chunk():
     parts = store.chunk_partitions(["a", "b"], 0, 10_000, 2_000)
     assert len(parts) == 10 and parts[0].lo == 0 and parts[4].hi == 10_000
-    assert len(store.chunk_partitions(["a"], 0, 9_000, 2_000)) == 4     # remainder unread
-    assert len(store.chunk_partitions(["a"], 0, 1_000, 2_000)) == 1
+    ragged = store.chunk_partitions(["a"], 0, 9_000, 2_000)
+    assert len(ragged) == 5 and ragged[-1].hi == 9_000                  # the last chunk is short
+    short = store.chunk_partitions(["a"], 0, 1_000, 2_000)
+    assert [(p.lo, p.hi) for p in short] == [(0, 1_000)]
+    # a long outage: more chunks to a partition, nothing left out
+    many = store.chunk_partitions(["a", "b"], 0, 86_400_000, 2_000, max_partitions=100)
+    assert len(many) <= 100
+    own = [p for p in many if p.pod == "a"]
+    assert own[0].lo == 0 and own[-1].hi == 86_400_000 and all(x.hi == y.lo for x, y in zip(own, own[1:]))
+
+
+def test_restart_without_start_reads_every_row_once(spark, scratch, monkeypatch):
+    path = scratch("store")
+    make_store(spark, path)
+    clock = {"now": BASE + 31_500}
+    monkeypatch.setattr(store, "_now", lambda: clock["now"])
+    o = {"pods": "0,1,2", "fetch": FETCH, "store_path": path, "lookback_ms": "9000", "chunk_ms": "2000"}
+    first = store.TelemetryStoreStreamReader(o)
+    at, read = first.initialOffset(), []
+    origin = at["end_ms"]
+    for reader, now in ((first, BASE + 31_500), (None, BASE + 44_444), (None, BASE + 90_100)):
+        clock["now"] = now
+        reader = reader or store.TelemetryStoreStreamReader(o)          # a restart: only the offset is known
+        end = reader.latestOffset()
+        for p in reader.partitions(at, end):
+            for b in reader.read(p):
+                read += [int(v) for v in b.column("_value").to_pylist()]
+        at = end
+    want = [i for i in range(400) if origin <= BASE + i * 250 < at["end_ms"]]
+    assert sorted(read) == want and at["end_ms"] <= BASE + 90_100
 
 
 def test_batch_read(spark, scratch):
@@ -34,13 +63,13 @@ def test_batch_read(spark, scratch):
     src = make_store(spark, path)
     store.register(spark)
     df = (spark.read.format("telemetry_store")
-          .option("store_path", path).option("pods", "0,2").option("start_ms", BASE + 10_000)
+          .option("store_path", path).option("fetch", FETCH).option("pods", "0,2").option("start_ms", BASE + 10_000)
           .option("lookback_ms", 50_000).option("chunk_ms", 20_000).load())
-    assert df.rdd.getNumPartitions() == 4           # 2 pods x int(50/20) chunks
+    assert df.rdd.getNumPartitions() == 6           # 2 pods x 3 chunks, the last one short
     got = sorted(int(r._value) for r in df.collect())
     want = sorted(int(r._value) for r in src.where(
         (F.col("pod").isin("0", "2")) & (F.col("_time_ms") >= BASE + 10_000)
-        & (F.col("_time_ms") < BASE + 50_000)).collect())
+        & (F.col("_time_ms") < BASE + 60_000)).collect())
     assert got == want and len(got) > 0
     from freshstate.plans.telemetry import sensor_dictionary
     norm = normalize_records(df, sensor_dictionary(spark)).collect()
@@ -53,7 +82,7 @@ def test_stream_cycles_contiguous(spark, scratch):
     make_store(spark, path)
     store.register(spark)
     stream = (spark.readStream.format("telemetry_store")
-              .option("store_path", path).option("pods", "0,1,2").option("start_ms", BASE)
+              .option("store_path", path).option("fetch", FETCH).option("pods", "0,1,2").option("start_ms", BASE)
               .option("stop_ms", BASE + 100_000).option("lookback_ms", 30_000).option("chunk_ms", 10_000).load())
     out = scratch("out")
     q = (stream.writeStream.format("parquet").option("path", out)

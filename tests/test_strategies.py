@@ -46,7 +46,7 @@ def test_window_flush_last_flush_wins(spark):
     # ticks every 30 s, window 2 min, lateness 10 s
     data = [(0, "V", "s", 1.0, 1, 1), (30_000, "V", "s", 2.0, 2, 2), (60_000, "W", "s", 3.0, 3, 3),
             (150_000, "V", "s", 4.0, 4, 4)]
-    out = ST.window_flush(spark.createDataFrame(data, SNAP), 30_000, 300_000).collect()
+    out = ST.window_last_flush(spark.createDataFrame(data, SNAP), 30_000, 300_000).collect()
     got = {(r.window_start, r.vin): (r.value, r.produced_at, r.emit_tick) for r in out}
     assert got[(0, "V")] == (2.0, 120_000, 150_000)
     assert got[(0, "W")] == (3.0, 120_000, 150_000)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from freshstate.operators import merge
 from freshstate.streaming import latest as SL
 from freshstate.streaming import sinks
+from freshstate.streaming.tables import VersionedTable
 from freshstate.streaming.window import windowed_latest
 
 SCHEMA = "vin string, sensor string, value string, received_at long, seq long, arr long"
@@ -28,8 +29,39 @@ def test_stream_equals_batch(spark, scratch):
     want = {tuple(r) for r in merge.latest_merge(spark.createDataFrame(data, SCHEMA))
             .select("vin", "sensor", "value", "received_at", "seq").collect()}
     assert got == want
-    versions = {r.version for r in spark.read.parquet(state).select("version").distinct().collect()}
-    assert versions == {1, 2}          # three batches, the last two versions retained
+    table = VersionedTable(spark, state)
+    assert table.versions() == [1, 2]          # three batches, the last two versions retained
+
+
+def test_only_touched_buckets_are_rewritten(spark, scratch):
+    fn = SL.LatestStateBatch(scratch("state"), clock=lambda: 0, buckets=32)
+    fn(spark.createDataFrame([(f"V{i}", "s", "1", 1, i, i) for i in range(40)], SCHEMA), 0)
+    fn(spark.createDataFrame([("V3", "s", "2", 2, 99, 99)], SCHEMA), 1)
+    held = VersionedTable(spark, fn.state_path).manifest()["buckets"]
+    assert sorted(held.values()).count(1) == 1 and len(held) > 10
+    got = {r.vin: r.value for r in SL.read_state(spark, fn.state_path).collect()}
+    assert got["V3"] == "2" and len(got) == 40
+    fn(spark.createDataFrame([("V3", "s", "2", 2, 99, 99)], SCHEMA), 1)     # a retried batch rewrites its version
+    assert SL.read_state(spark, fn.state_path).count() == 40
+
+
+def test_rebuild_over_an_existing_path_starts_empty(spark, scratch):
+    state = scratch("state")
+    for vins, ck in ((["OLD", "BOTH"], "ck1"), (["NEW", "BOTH"], "ck2")):
+        src = scratch("src")
+        write_batches(spark, src, [[(v, "s", ck, 1, i, i)] for i, v in enumerate(vins)])
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+        SL.start_latest_state(stream, state, scratch(ck)).awaitTermination()
+    assert {(r.vin, r.value) for r in SL.read_state(spark, state).collect()} == {("NEW", "ck2"), ("BOTH", "ck2")}
+
+
+def test_flush_statistics(spark, scratch):
+    seen = []
+    fn = SL.LatestStateBatch(scratch("state"), strategy="log_compacted", strategy_options={"batch_size": 2},
+                             emit_fn=lambda df, i: df.collect(), clock=lambda: 5, stats_fn=seen.append)
+    fn(spark.createDataFrame([(f"V{i}", s, "1", 1, i, i) for i in range(3) for s in "ab"], SCHEMA), 0)
+    assert [(s["vin_count"], s["value_count"], s["message_count"]) for s in seen] == [(3, 6, 2)]
+    assert seen[0]["duration_ms"] >= 0
 
 
 def test_flush_evicts_idle_devices(spark, scratch):
@@ -69,9 +101,36 @@ def test_window_stream_with_sentinel(spark, scratch):
 def test_kafka_options():
     o = sinks.kafka_source_options("b:9092", "aggregated", group_id="merger")
     assert o["startingOffsets"] == "earliest" and o["subscribe"] == "aggregated" and o["kafka.group.id"] == "merger"
+    assert "failOnDataLoss" not in o       # lost offsets fail the replay, unless a caller says otherwise
+    assert sinks.kafka_source_options("b:9092", "t", failOnDataLoss="false")["failOnDataLoss"] == "false"
     assert sinks.kafka_sink_options("b:9092", "out")["topic"] == "out"
 
 
+def test_write_topic_rows(spark, scratch):
+    path = scratch("sink")
+    sinks.write_topic(spark.createDataFrame([("V1", 1.5, 9)], "key string, value double, other int"), "b:9092", "t",
+                      fmt="parquet", path=path)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("V1", "1.5")]
+
+
+def test_route_counts_are_observed_in_the_merge(spark, scratch):
+    from freshstate.streaming.stats import MetricsCollector
+    seen = MetricsCollector()
+    spark.streams.addListener(seen)
+    try:
+        run_merge(spark, scratch, [msg("V", "a", "1", 1), '{"_flush":true}', "bad", '{"_flush":true} x', "{}"])
+        import time as _t
+        for _ in range(50):
+            found = [e["metrics"]["route_counts"] for e in seen.events if "route_counts" in e["metrics"]]
+            if found:
+                break
+            _t.sleep(0.2)
+    finally:
+        spark.streams.removeListener(seen)
+    total = {k: sum(f[k] for f in found) for k in ("flushes", "errors", "skips", "telemetry")}
+    assert total == {"flushes": 1, "errors": 2, "skips": 1, "telemetry": 1}
+
+
 def test_noop_sink(spark):
     sinks.write_noop(spark.range(10))
 
@@ -104,7 +163,7 @@ def test_window_stream_emitter(spark, scratch):
     from freshstate.streaming.emitters import WindowStreamEmitter
     out = []
     em = WindowStreamEmitter(scratch("buf"), lambda df, i: out.extend(
-        (i, r.window_start, r.vin, r.value, r.produced_at) for r in df.collect()), 120_000, 10_000)
+        (i, r.window_start, r.key, json.loads(r.value)) for r in df.collect()), 120_000, 10_000)
     clock = iter([0, 30_000, 60_000, 150_000])
     fn = SL.LatestStateBatch(scratch("state"), emitter=em, clock=lambda: next(clock))
     fn(spark.createDataFrame([("V", "s", "a", 1, 1, 1)], SCHEMA), 0)
@@ -113,7 +172,8 @@ def test_window_stream_emitter(spark, scratch):
     assert out == []
     fn(spark.createDataFrame([("V", "s", "d", 3, 4, 4)], SCHEMA), 3)
     # window [0, 120 s) closes at 130 s: last flush in it (60 s) wins per device
-    assert sorted(out) == [(3, 0, "V", "b", 120_000), (3, 0, "W", "c", 120_000)]
+    assert sorted((i, w, k, m["data"]["s"]["value"], m["produced_at"]) for i, w, k, m in out) == [
+        (3, 0, "V", "b", 120_000), (3, 0, "W", "c", 120_000)]
 
 
 def test_idle_ticks_flush_and_evict(spark, scratch):
