@@ -33,7 +33,7 @@ _DOCS = 256  # documents of one output batch
 GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: The Unicode white space of the tokenizer library.
-_WS = r"\t-\r \x85\xa0  -     　"
+_WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LOADED: dict = {}
 
 

@@ -157,7 +157,7 @@ def vector_sum(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], np.ndarra
                 [pa.array([k // chunk for k in ks], pa.int32()),
                  pa.array([v[k:k + chunk].tobytes() for k in ks], pa.binary())], ["k", "v"])
 
-    def add(key, rows: Iterator[pd.DataFrame] | pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(min(chunk, length - key[0] * chunk))
         for v in rows["v"]:
             total += np.frombuffer(v, np.float64)

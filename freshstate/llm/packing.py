@@ -4,10 +4,11 @@ Every text is tokenised in Arrow batches; only pieces (ids and lengths) travel
 from there on. Pieces are dealt over groups of a bounded number of tokens and
 each group is packed best-fit decreasing. Dual feasible functions give each
 group a lower bound on its number of sequences: a group that meets its bound is
-certified and stays as it is. Groups with a gap hand the pieces of their open
-(not full) sequences over to an exchange, where they are dealt anew over fewer
-groups and packed again; this repeats until no gap is left that an exchange
-could close, so the gaps of many groups end up in at most one group.
+certified, and only its emptiest sequence, the one the bound rounds up, goes on.
+Groups with a gap hand the pieces of further sequences, their emptiest, over to
+the exchange. There the pieces are dealt anew over fewer groups and packed
+again; this repeats until one group is left, so the gaps of many groups end up in
+at most one.
 """
 
 from __future__ import annotations
@@ -157,7 +158,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
         return 0
     sizes, counts = np.unique(lengths, return_counts=True)
     best = -(-int((sizes * counts).sum()) // capacity)
-    for e in sizes[sizes <= capacity // 2].tolist():
+    for e in {*sizes[sizes <= capacity // 2].tolist(), capacity // 2} - {0}:
         big, kept = sizes > capacity - e, (sizes >= e) & (sizes <= capacity - e)
         best = max(best, int(counts[big].sum()) + -(-int((sizes[kept] * counts[kept]).sum()) // capacity))
     for k in range(2, 21):  # u^(k)(x) = x if (k + 1) x is whole, else floor((k + 1) x) / k, in units of 1 / (k capacity)
@@ -167,7 +168,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-_PACKED = "_key long, length long, _group long, _bin long, _offset long, _open boolean, _gap boolean"
+_PACKED = "_key long, length long, _group long, _bin long, _offset long, _given boolean"
 
 
 def _pack_group(capacity: int):
@@ -175,9 +176,14 @@ def _pack_group(capacity: int):
         lengths = rows["length"].to_numpy()
         bins, offsets = best_fit_decreasing(lengths, capacity)
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
+        gap = len(fill) - lower_bound(lengths, capacity)
+        # what a group hands over: its emptiest sequence, whose room the bound's rounding
+        # hides, and with a gap those too many and as many again to refill
+        given = np.zeros(len(fill), bool)
+        given[np.argsort(fill, kind="stable")[:2 * gap + 1]] = True
+        given &= fill < capacity
         return pd.DataFrame({"_key": rows["_key"], "length": lengths, "_group": rows["_group"], "_bin": bins,
-                             "_offset": offsets, "_open": fill[bins] < capacity,
-                             "_gap": bool(len(fill) > lower_bound(lengths, capacity))})
+                             "_offset": offsets, "_given": given[bins]})
     return run
 
 
@@ -205,10 +211,10 @@ def best_fit_pack(parts: DataFrame, capacity: int = 2048, group_pieces: int = GR
         dealt = todo.withColumn("_group", F.pmod(F.xxhash64("_key", F.lit(r)), F.lit(groups)))
         packed = cut(dealt.groupBy("_group").applyInPandas(_pack_group(capacity), _PACKED))
         # an exchange needs a second group to exchange with
-        ex = packed.where("_gap AND _open")
+        ex = packed.where("_given")
         stats = ex.agg(F.count(F.lit(1)), F.count_distinct("_group")).first()
-        last = groups == 1 or stats[1] < 2 or r == rounds - 1 or stats[0] == left
-        stay = packed if last else packed.where("NOT (_gap AND _open)")
+        last = groups == 1 or stats[1] < 2 or r == rounds - 1
+        stay = packed if last else packed.where("NOT _given")
         done.append(stay.select("_key", (F.lit(r << 58) + F.col("_group") * F.lit(1 << 26) + F.col("_bin")).alias("_sequence"), "_offset"))
         if last:
             break

@@ -74,7 +74,7 @@ def _options(op, arg):
     if op is C.LITERAL:
         return [chr(arg).lower()] if arg < 128 else None
     if op is C.IN and all(o is C.LITERAL and a < 128 for o, a in arg):
-        return sorted({chr(a).lower() for _, a in arg}) if len(arg) <= 4 else None
+        return sorted({chr(a).lower() for _, a in arg}) if len(arg) <= 8 else None
     if op in (C.MAX_REPEAT, C.MIN_REPEAT) and arg[1] <= 3:
         inner = _sequence_options(arg[2])
         if inner:
