@@ -45,7 +45,9 @@ _ENVELOPE = "struct<_flush:variant,num_of_data:variant,produced_at:variant,data:
 
 def with_envelope(messages: DataFrame, raw: str = "value") -> DataFrame:
     """Adds ``_v`` (parsed body), ``_env`` (top-level members, NULL unless the
-    body is an object) and ``_dmap`` (``data`` as map, NULL unless an object).
+    body is an object), ``_dmap`` (``data`` as map, NULL unless an object) and
+    ``_sensors`` (its members but ``id``: key, whether JSON null, and the object's
+    ``value`` and ``received_at``), which the route test and the output share.
 
     Chained projections: each piece is computed once per message (the
     optimizer does not collapse projections that would repeat them), and only
@@ -53,7 +55,11 @@ def with_envelope(messages: DataFrame, raw: str = "value") -> DataFrame:
     """
     a = messages.withColumn("_v", parsed(raw))
     b = a.withColumn("_env", F.try_variant_get("_v", "$", _ENVELOPE))
-    return b.withColumn("_dmap", F.try_variant_get(F.col("_env.data"), "$", "map<string,variant>"))
+    c = b.withColumn("_dmap", F.try_variant_get(F.col("_env.data"), "$", "map<string,variant>"))
+    return c.withColumn("_sensors", F.transform(
+        F.map_entries(F.map_filter("_dmap", lambda k, v: k != "id")), lambda e: F.struct(
+            e["key"].alias("key"), _void(e["value"]).alias("void"),
+            F.try_variant_get(e["value"], "$", "struct<value:variant,received_at:variant>").alias("obj"))))
 
 
 def _void(x: Column) -> Column:
@@ -68,24 +74,19 @@ def _int_or_absent(x: Column) -> Column:
 def _sensor_ok(e: Column) -> Column:
     """A sensor member is JSON null, or an object whose received_at is an integer
     (or absent) and whose value is no number beyond a double's range."""
-    obj = F.try_variant_get(e, "$", "struct<received_at:variant,value:variant>")
+    obj = e["obj"]
     number = F.when(F.schema_of_variant(obj["value"]) == "DOUBLE", F.try_variant_get(obj["value"], "$", "double"))
     finite = F.coalesce(F.abs(number) < F.lit(float("inf")), F.lit(True))
-    return _void(e) | (obj.isNotNull() & _int_or_absent(obj["received_at"]) & finite)
+    return e["void"] | (obj.isNotNull() & _int_or_absent(obj["received_at"]) & finite)
 
 
-def _cols(v=None, env=None, dmap=None):
-    return (F.col("_v") if v is None else v, F.col("_env") if env is None else env,
-            F.col("_dmap") if dmap is None else dmap)
-
-
-def flush_col(env: Column | None = None) -> Column:
+def flush_col() -> Column:
     """``_flush`` is the JSON boolean ``true`` (the string "true" is not)."""
-    f = (F.col("_env") if env is None else env)["_flush"]
+    f = F.col("_env._flush")
     return F.coalesce((F.schema_of_variant(f) == "BOOLEAN") & F.try_variant_get(f, "$", "boolean"), F.lit(False))
 
 
-def error_col(v: Column | None = None, env: Column | None = None, dmap: Column | None = None) -> Column:
+def error_col() -> Column:
     """True when the message cannot be decoded as a single-device payload.
 
     Rules: the body is an object (or JSON null); ``num_of_data`` and
@@ -93,10 +94,10 @@ def error_col(v: Column | None = None, env: Column | None = None, dmap: Column |
     payload, an error to the merger); ``data.id`` is a string; every other
     member of ``data`` is an object with an integer ``received_at`` (or null).
     """
-    v, env, dmap = _cols(v, env, dmap)
+    v, env, dmap = F.col("_v"), F.col("_env"), F.col("_dmap")
     data = env["data"]
     id_v = F.element_at(dmap, F.lit("id"))
-    bad_sensor = F.exists(F.map_entries(dmap), lambda e: (e["key"] != "id") & ~_sensor_ok(e["value"]))
+    bad_sensor = F.exists("_sensors", lambda e: ~_sensor_ok(e))
     return (
         (env.isNull() & ~_void(v))
         | ~_int_or_absent(env["num_of_data"])
@@ -107,26 +108,24 @@ def error_col(v: Column | None = None, env: Column | None = None, dmap: Column |
     )
 
 
-def device_id_col(dmap: Column | None = None) -> Column:
+def device_id_col() -> Column:
     """``data.id`` as a string, '' when absent or null."""
-    dmap = F.col("_dmap") if dmap is None else dmap
-    return F.coalesce(F.try_variant_get(F.element_at(dmap, F.lit("id")), "$", "string"), F.lit(""))
+    return F.coalesce(F.try_variant_get(F.element_at("_dmap", F.lit("id")), "$", "string"), F.lit(""))
 
 
-def route_col(v: Column | None = None, env: Column | None = None, dmap: Column | None = None) -> Column:
+def route_col() -> Column:
     """Flush / error / skip / telemetry, tested in that order."""
-    v, env, dmap = _cols(v, env, dmap)
-    return (F.when(v.isNull(), F.lit(ROUTE_ERROR))
-            .when(flush_col(env), F.lit(ROUTE_FLUSH))
-            .when(error_col(v, env, dmap), F.lit(ROUTE_ERROR))
-            .when(device_id_col(dmap) == "", F.lit(ROUTE_SKIP))
+    return (F.when(F.col("_v").isNull(), F.lit(ROUTE_ERROR))
+            .when(flush_col(), F.lit(ROUTE_FLUSH))
+            .when(error_col(), F.lit(ROUTE_ERROR))
+            .when(device_id_col() == "", F.lit(ROUTE_SKIP))
             .otherwise(F.lit(ROUTE_TELEMETRY)))
 
 
 def with_route(messages: DataFrame, raw: str = "value", keep_parsed: bool = False) -> DataFrame:
-    """Adds ``route``; with ``keep_parsed`` the ``_v/_env/_dmap`` columns stay."""
+    """Adds ``route``; with ``keep_parsed`` the columns of ``with_envelope`` stay."""
     out = with_envelope(messages, raw).withColumn("route", route_col())
-    return out if keep_parsed else out.drop("_v", "_env", "_dmap")
+    return out if keep_parsed else out.drop("_v", "_env", "_dmap", "_sensors")
 
 
 def decode_payloads(messages: DataFrame, raw: str = "value",
@@ -146,22 +145,22 @@ def decode_payloads(messages: DataFrame, raw: str = "value",
     # below the projections and re-evaluate the parse and envelope extraction.
     routed = with_route(messages.select(*keep, raw), raw, keep_parsed=True)
     routed = tap(routed) if tap else routed
-    entries = F.map_entries(F.map_filter("_dmap", lambda k, v: k != "id"))
+    entries = F.col("_sensors")
     if with_device_rows:
-        none = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")))
-        entries = F.when(F.size(entries) == 0, none).otherwise(entries)
+        entries = F.when(F.size("_sensors") == 0, F.array(F.struct(
+            F.lit(None).cast("string").alias("key"), F.lit(False).alias("void"),
+            F.lit(None).cast("struct<value:variant,received_at:variant>").alias("obj")))).otherwise(entries)
     base = routed.select(
         *keep, device_id_col().alias("vin"),
         F.coalesce(F.try_variant_get(F.col("_env.produced_at"), "$", "bigint"), F.lit(0)).alias("produced_at"),
         F.when(F.col("route") == ROUTE_TELEMETRY, entries).alias("_m"))
     exploded = (base.select(*keep, "vin", "produced_at", F.explode_outer("_m").alias("_e"))
                 .where(F.col("_e").isNotNull()))
-    metric = F.try_variant_get(F.col("_e.value"), "$", "struct<value:variant,received_at:bigint>")
     return exploded.select(
         *keep, "vin", F.col("_e.key").alias("sensor"),
-        metric["value"].alias("value"),
+        F.col("_e.obj.value").alias("value"),
         F.when(F.col("_e.key").isNull(), F.lit(None).cast("long"))
-         .otherwise(F.coalesce(metric["received_at"], F.lit(0))).alias("received_at"),
+         .otherwise(F.coalesce(F.try_variant_get("_e.obj.received_at", "$", "bigint"), F.lit(0))).alias("received_at"),
         "produced_at",
     )
 
@@ -228,4 +227,4 @@ def key_extract(messages: DataFrame, raw: str = "payload") -> DataFrame:
     e = with_envelope(messages, raw)
     id_v = F.element_at(F.col("_dmap"), F.lit("id"))
     ok = F.col("_dmap").isNotNull() & (F.schema_of_variant(id_v) == "STRING")
-    return e.withColumn("key", F.when(ok, F.try_variant_get(id_v, "$", "string"))).drop("_v", "_env", "_dmap")
+    return e.withColumn("key", F.when(ok, F.try_variant_get(id_v, "$", "string"))).drop("_v", "_env", "_dmap", "_sensors")
