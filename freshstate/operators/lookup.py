@@ -1,35 +1,33 @@
 """J1 / J2 — sensor-dictionary lookups.
 
 The dictionary is a dimension of a few hundred rows. It is broadcast only
-after its row count is checked against ``max_broadcast_rows``; beyond that
-the join stays a shuffle join and AQE may still convert it at run time.
+after its size is measured against ``max_bytes``; beyond that the join stays a
+shuffle join and AQE may still convert it.
 """
 
 from __future__ import annotations
 
-import weakref
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+_ROW_BYTES = 32   # of a row besides its text
 
-# per session: semantic hash of a checked plan -> its bounded row count
-_CHECKED: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
 
+def bounded_broadcast(dim: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(dim)`` if its rows hold at most ``max_bytes`` bytes, else ``dim``.
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it holds at most ``max_rows`` rows, else ``dim``.
-
-    The check runs a count over ``limit(max_rows + 1)`` so it stays cheap even
-    when the side turns out to be large; the result is remembered per session
-    for the same plan (same semantic hash).
+    Measured at every call, over at most as many rows as ``max_bytes`` could
+    hold, so it stays cheap even when the side turns out to be large, and a
+    dictionary that has grown since the last call is seen to have grown.
     """
-    memo = _CHECKED.setdefault(dim.sparkSession, {})
-    key = (dim.semanticHash(), max_rows)
-    if key not in memo:
-        memo[key] = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if memo[key] <= max_rows else dim
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.simpleString() in ("string", "binary") else F.lit(16)
+             for f in dim.schema.fields]
+    width = reduce(lambda a, b: a + b, texts, F.lit(_ROW_BYTES))
+    size = dim.limit(max_bytes // _ROW_BYTES + 1).agg(F.sum(width.cast("long"))).first()[0]
+    return F.broadcast(dim) if (size or 0) <= max_bytes else dim
 
 
 def _names(dim: DataFrame, active_only: bool) -> DataFrame:
@@ -40,21 +38,21 @@ def _names(dim: DataFrame, active_only: bool) -> DataFrame:
 
 
 def lookup_inner(rows: DataFrame, dim: DataFrame, active_only: bool = False,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Keep rows whose ``resource_id`` is in the dictionary; ``sensor`` = dictionary name.
 
     The reference's comment says inactive resources are dropped but its code
     never reads ``state``: inactive resources pass unless ``active_only``.
     """
-    names = bounded_broadcast(_names(dim, active_only), max_broadcast_rows)
+    names = bounded_broadcast(_names(dim, active_only), max_bytes)
     return (rows.join(names, "resource_id", "inner")
             .withColumn("sensor", F.col("_dict_name")).drop("_dict_name"))
 
 
 def lookup_left(rows: DataFrame, dim: DataFrame, active_only: bool = False,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Keep every row; ``sensor`` = dictionary name, falling back to the id."""
-    names = bounded_broadcast(_names(dim, active_only), max_broadcast_rows)
+    names = bounded_broadcast(_names(dim, active_only), max_bytes)
     return (rows.join(names, "resource_id", "left")
             .withColumn("sensor", F.coalesce(F.col("_dict_name"), F.col("resource_id")))
             .drop("_dict_name"))
