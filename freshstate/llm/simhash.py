@@ -2,7 +2,7 @@
 
 Terms (three words in a row) are hashed to 128 bits; every occurrence votes for
 or against each bit with its weight, and the signs of the sums are the
-fingerprint. Votes are counted two to a 64-bit sum, in Spark's own aggregation.
+fingerprint. Several votes share a 64-bit sum in Spark's own aggregation.
 
 Searching: a fingerprint is cut into blocks; two fingerprints within the chosen
 radius agree on all but at most that many blocks, so a table for every choice
@@ -11,6 +11,7 @@ of the agreeing blocks, keyed by them, holds each such pair in one bucket.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,32 +28,45 @@ MAX_BUCKETS = 1 << 16
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text_col: str, words: int = WORDS,
-                 weight: Column | None = None) -> DataFrame:
+                 weight: Callable[[Column], Column] | None = None, max_weight: int = 1) -> DataFrame:
     """``keys`` and ``fingerprint`` (32 hex digits), one row per distinct key.
 
     A term is each word and the ``words - 1`` after it (fewer at the end). Every
-    occurrence votes with ``weight`` (an expression over ``_term``, a struct of
-    the words; default 1, so that a term weighs as often as it occurs). Bits
+    occurrence votes with the ``weight`` of its first word, an integer from 0 to
+    ``max_weight``; default 1, so that a term weighs as often as it occurs. Bits
     without a majority are 0; a null or empty text has fingerprint zero. ``keys``
-    must identify a text: rows with equal keys vote together.
+    must identify a text.
+
+    Words are hashed before they are combined, so that what is exploded are
+    numbers. Votes are counted in two steps, so that the step that sees every term
+    keeps few sums: over runs of at most 127 votes eight bits share a 64-bit sum, a
+    byte each; then the runs' bytes are added, two bits to a 64-bit sum.
     """
     cols = [f"_w{i}" for i in range(words)]
-    base = rows.select(*keys, F.split(F.trim(F.regexp_replace(whole_text(text_col), r"\s+", " ")), " ").alias("_w0"))
+    split = rows.select(*keys, F.split(F.trim(F.regexp_replace(whole_text(text_col), r"\s+", " ")), " ").alias("_s"))
+    own = (lambda w: F.lit(1)) if weight is None else (lambda w: F.least(F.greatest(weight(w), F.lit(0)), F.lit(max_weight)))
+    base = split.select(*keys, F.transform("_s", lambda w: F.when(w != "", F.xxhash64(w))).alias("_w0"),
+                        *([] if weight is None else [F.transform("_s", lambda w: own(w).cast("long")).alias("_own")]))
     zipped = base.select(*keys, F.arrays_zip("_w0", *[
-        F.slice("_w0", i + 1, F.size("_w0")).alias(c) for i, c in enumerate(cols) if i]).alias("_z"))
-    terms = zipped.select(*keys, F.explode("_z").alias("_term"))
+        F.slice("_w0", i + 1, F.size("_w0")).alias(c) for i, c in enumerate(cols) if i], *([] if weight is None else ["_own"])).alias("_z"))
+    terms = zipped.select(*keys, F.posexplode("_z").alias("_pos", "_term"))
     parts = [F.col(f"_term.{c}") for c in cols]
-    w = F.when(F.col("_term._w0") == "", F.lit(0)).otherwise(F.lit(1) if weight is None else weight).cast("long")
-    hashed = terms.select(*keys, F.xxhash64(*parts).alias("_a"), F.xxhash64(F.lit(77), *parts).alias("_b"), w.alias("_v"))
-    # bit i and bit i + 32 of a hash share one sum: the low and the high half of it
-    pair = F.lit((1 << _HALF) + 1)
-    sums = [F.sum(F.shiftrightunsigned(h, i).bitwiseAND(pair) * F.col("_v")).alias(f"{h}{i}")
-            for h in ("_a", "_b") for i in range(_HALF)]
-    votes = hashed.groupBy(*keys).agg(F.sum("_v").alias("_all"), *sums)
+    vote = F.when(parts[0].isNull(), F.lit(0)).otherwise(F.lit(1) if weight is None else F.col("_term._own")).cast("long")
+    run = F.call_function("div", F.col("_pos"), F.lit(127 // max_weight))
+    hashed = terms.select(*keys, run.alias("_run"), F.xxhash64(*parts).alias("_a"),
+                          F.xxhash64(F.lit(77), *parts).alias("_b"), vote.alias("_v"))
+    bytes_of_ones = F.lit(0x0101010101010101)
+    first = [F.sum(F.shiftrightunsigned(h, i).bitwiseAND(bytes_of_ones) * F.col("_v")).alias(f"{h}{i}")
+             for h in ("_a", "_b") for i in range(8)]
+    runs = hashed.groupBy(*keys, "_run").agg(F.sum("_v").alias("_all"), *first)
+    pair = F.lit((0xFF << 32) + 0xFF)  # bits n and n + 32: byte j and byte j + 4 of the sum over n's shift
+    second = [F.sum(F.shiftrightunsigned(f"{h}{i}", 8 * j).bitwiseAND(pair)).alias(f"{h}_{i + 8 * j}")
+              for h in ("_a", "_b") for i in range(8) for j in range(4)]
+    votes = runs.groupBy(*keys).agg(F.sum("_all").alias("_all"), *second)
 
     def word(h: str, shift: int) -> Column:
-        bits = [F.when(F.shiftrightunsigned(f"{h}{i}", shift).bitwiseAND(F.lit((1 << _HALF) - 1)) * 2 > F.col("_all"),
-                       F.lit(1 << i)).otherwise(F.lit(0)) for i in range(_HALF)]
+        bits = [F.when(F.shiftrightunsigned(f"{h}_{n}", shift).bitwiseAND(F.lit((1 << _HALF) - 1)) * 2 > F.col("_all"),
+                       F.lit(1 << n)).otherwise(F.lit(0)) for n in range(_HALF)]
         total = bits[0]
         for b in bits[1:]:
             total = total.bitwiseOR(b)
@@ -82,9 +96,8 @@ def near_fingerprints(fps: DataFrame, radius: int = 8, blocks: int | None = None
 
     ``blocks`` (default ``radius + 2``) over ``radius`` give one permuted table per
     choice of ``blocks - radius`` agreeing blocks; more blocks make keys longer
-    and buckets smaller. Equal fingerprints count once. Within a bucket the
-    pairs of its first choice only are kept, so each pair comes out once.
-    Nulls are left out; an empty table gives no rows.
+    and buckets smaller. Equal fingerprints count once, whatever the number of
+    their documents. Nulls are left out; an empty table gives no rows.
     """
     n = blocks or radius + 2
     if not radius < n <= BITS // 4:

@@ -116,13 +116,29 @@ def test_next_text_over_many_buckets(spark, monkeypatch):
 def test_votes_by_hand(spark):
     # with one term each sign is the hash's bit; weights multiply votes
     df = spark.createDataFrame([(1, "a b c"), (2, "a b c a b c")], "doc_id long, text string")
-    one = S.fingerprints(df, ["doc_id"], "text", words=1, weight=F.when(F.col("_term._w0") == "a", 10).otherwise(1))
+    one = S.fingerprints(df, ["doc_id"], "text", words=1, weight=lambda w: F.when(w == "a", 10).otherwise(1), max_weight=10)
     only_a = S.fingerprints(spark.createDataFrame([(1, "a")], "doc_id long, text string"), ["doc_id"], "text", words=1)
     assert {r.fingerprint for r in one.collect()} == {only_a.first().fingerprint}
-    h = spark.sql("select xxhash64('a') a, xxhash64(77, 'a') b").first()
+    h = spark.sql("select xxhash64(xxhash64('a')) a, xxhash64(77, xxhash64('a')) b").first()
     assert only_a.first().fingerprint == f"{h.a & (1 << 64) - 1:016x}{h.b & (1 << 64) - 1:016x}"
 
 
+def test_votes_of_a_long_text(spark):
+    # more votes than one run counts, against the same count in Python
+    words = [f"w{k * k % 700}" for k in range(3000)]
+    df = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    got = int(S.fingerprints(df, ["doc_id"], "text").first().fingerprint, 16)
+    terms = [tuple(words[k:k + 3]) for k in range(3000)]
+    h = {t: r for t in set(terms) for r in ()}
+    rows = spark.createDataFrame([(*t, *[None] * (3 - len(t))) for t in sorted(set(terms))], "a string, b string, c string")
+    for r in rows.selectExpr(
+            "a", "b", "c", *[f"if({c} is null, null, xxhash64({c})) h{c}" for c in "abc"]).selectExpr(
+            "a", "b", "c", "xxhash64(ha, hb, hc) x", "xxhash64(77, ha, hb, hc) y").collect():
+        h[tuple(v for v in (r.a, r.b, r.c) if v is not None)] = ((r.x & (1 << 64) - 1) << 64) | (r.y & (1 << 64) - 1)
+    want = sum(1 << n for n in range(128) if 2 * sum(h[t] >> n & 1 for t in terms) > len(terms))
+    assert got == want
+
+
 def test_block_tables_find_every_pair(spark):
     import random
     rnd = random.Random(5)
