@@ -470,9 +470,11 @@ def _block_links(blocks: DataFrame, sets: DataFrame, threshold: int, unit_tokens
     # one representative of each component of a unit, across the units of its block
     ids = large.select("id", "block", "units")
     label = _labels(ids.select("id"), links)
+    # (where these are many, in units again: this step only spares the next one work)
     pivots = large.join(label.where("id = comp").select("id"), "id", "left_semi")
-    across = cut(_join_units(pivots.withColumn("unit", F.lit(0)), threshold)) if pivots.limit(1).count() else links.limit(0)
-    links = links.unionByName(across)
+    spread = pivots.groupBy("block").agg(F.ceil(F.sum(F.octet_length("tokens") / 8) / unit_tokens).cast("int").alias("_units"))
+    pivots = pivots.join(spread, "block").withColumn("unit", F.pmod(F.xxhash64("id", F.lit(2)), F.col("_units")).cast("int"))
+    links = links.unionByName(cut(_join_units(pivots, threshold)))
     # what is not in the block's largest component, against the whole block
     label = cut(_labels(ids.select("id"), links).join(ids, "id"))
     sizes = label.groupBy("block", "comp").agg(F.count(F.lit(1)).alias("_c"))
