@@ -206,159 +206,6 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return ToxicityModel(words[best], weights, bias, prior, mean, scale)
 
 
-def score(self, doc: np.ndarray, num: np.ndarray, count: np.ndarray, size: np.ndarray) -> np.ndarray:
-        z = self.bias + np.bincount(doc, weights=self.weights[num] * np.log2(1 + count), minlength=len(size))
-        z += self.weights[-1] * (np.log1p(size) - self.length_mean) / self.length_scale
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-
-def _terms(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, term hash) of every word and word prefix."""
-    words, count, *prefixes = word_hashes(buf, off, letters=True, prefixes=PREFIXES)
-    doc = np.repeat(np.arange(len(count)), count)
-    return np.tile(doc, 1 + len(prefixes)), np.concatenate([words, *prefixes])
-
-
-def _matches(texts: pa.Array, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, term number, count) of the given terms in the texts, each pair
-    once, and the number of words of every text."""
-    buf, off = text_buffer(texts)
-    size = np.zeros(len(off) - 1)
-    pairs, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    most = max(1, len(words))
-    for a, b in slices(off):
-        doc, h = _terms(buf[off[a]:off[b]], off[a:b + 1] - off[a])
-        size[a:b] = np.bincount(doc, minlength=b - a) / (1 + len(PREFIXES))
-        if not len(words) or not len(h):
-            continue
-        at = np.minimum(np.searchsorted(words, h), len(words) - 1)
-        hit = np.flatnonzero(words[at] == h)
-        pair, n = np.unique((doc[hit] + a) * most + at[hit], return_counts=True)
-        pairs.append(pair)
-        counts.append(n)
-    pair = np.concatenate(pairs)
-    return pair // most, pair % most, np.concatenate(counts), size
-
-
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per term of a batch, and as term 0 all of them; of texts with the
-    same terms one counts."""
-    for batch in batches:
-        buf, off = text_buffer(batch.column(0))
-        seen, terms = set(), [np.zeros(1, np.uint64)[:0]]
-        for a, b in slices(off):
-            doc, h = _terms(buf[off[a]:off[b]], off[a:b + 1] - off[a])
-            order = np.argsort(doc, kind="stable")
-            ends = np.searchsorted(doc[order], np.arange(b - a + 1))
-            for lo, hi in zip(ends[:-1], ends[1:]):
-                own = np.unique(h[order[lo:hi]])
-                if own.tobytes() not in seen:
-                    seen.add(own.tobytes())
-                    terms += [own, np.zeros(1, np.uint64)]
-        term, n = np.unique(np.concatenate(terms), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
-
-
-def _sample_rows(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: np.ndarray) -> np.ndarray:
-    """log2(1 + count) of every term and log(1 + words), for the documents in ``ids``, a bounded list."""
-    width = len(words) + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc, num, count, size = _matches(batch.column(0), words)
-            x = np.zeros((batch.num_rows, width), np.float32)
-            x[doc, num] = np.log2(1 + count)
-            x[:, -1] = np.log1p(size)
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(r.tobytes()) for r in x], pa.binary())], ["x"])
-
-    rows = (docs.join(F.broadcast(ids), docs[id_col] == ids["_sample"], "left_semi")
-            .select(whole_text(text_col).alias("_text")).mapInArrow(run, "x binary").collect())
-    return np.frombuffer(b"".join(zlib.decompress(r.x) for r in rows), np.float32).reshape(-1, width).copy()
-
-
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 500,
-             rate: float = 0.05, decay: float = 3e-3) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative PU risk of the logistic
-    loss plus ``decay`` times the squared weights (Adam on full batches)."""
-    k = positive.shape[1]
-    theta, m, v = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
-    theta[-1] = np.log(prior / (1 - prior))
-
-    def grad(x: np.ndarray, pull: np.ndarray) -> np.ndarray:
-        return np.append(x.T @ pull, pull.sum()) / max(1, len(x))
-
-    def sigmoid(z: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-    for t in range(1, steps + 1):
-        zp = positive @ theta[:-1].astype(np.float32) + theta[-1]
-        zu = unlabelled @ theta[:-1].astype(np.float32) + theta[-1]
-        as_negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        g_negative = grad(unlabelled, sigmoid(zu)) - prior * grad(positive, sigmoid(zp))
-        if as_negative >= 0:
-            g = prior * grad(positive, sigmoid(zp) - 1) + g_negative
-        else:
-            g = -g_negative
-        g[:-1] += 2 * decay * theta[:-1]
-        m = 0.9 * m + 0.1 * g
-        v = 0.999 * v + 0.001 * g * g
-        theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    return theta[:-1], float(theta[-1])
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", usable: Column | None = None) -> ToxicityModel:
-    """Fits the classifier. ``usable``: which label rows may be learnt from.
-
-    Unlabelled text is drawn from all rows of ``docs``, whatever their label. The class prior is the share of positives among the
-    usable labels. Without positives (or documents) every score is the prior.
-    """
-    lab = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    if usable is not None:
-        lab = lab.where(usable)
-    n_pos, n_lab = lab.agg(F.sum((F.col(label_col) == 1).cast("long")), F.count(F.lit(1))).first()
-    prior = min(max((n_pos or 0) / n_lab, 1e-4), 0.9) if n_lab else 0.05
-    empty = ToxicityModel(np.zeros(0, np.uint64), np.zeros(1), float(np.log(prior / (1 - prior))), prior)
-    if not n_pos:
-        return empty
-
-    def some(ids: DataFrame, most: int) -> DataFrame:
-        # at most `most` ids: small enough to broadcast
-        rows = ids.select(F.col(id_col).alias("_sample")).distinct().orderBy(F.xxhash64("_sample"), "_sample").limit(most)
-        return docs.sparkSession.createDataFrame(rows.collect(), rows.schema)
-
-    confirmed = some(lab.where(F.col(label_col) == 1), MAX_POSITIVE)
-    toxic = docs.join(F.broadcast(confirmed), docs[id_col] == confirmed["_sample"], "left_semi")
-    counted = (toxic.select(whole_text(text_col).alias("_text")).mapInArrow(_term_counts, "h long, n long")
-               .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS))
-    top = sorted((r.h & (1 << 64) - 1, r.n) for r in counted.orderBy(F.desc("n"), "h").limit(CANDIDATES + 1).collect())
-    if len(top) < 2 or top[0][0]:
-        return empty
-    confirmed_docs, words, n = top[0][1], np.array([h for h, _ in top[1:]], np.uint64), np.array([n for _, n in top[1:]])
-    k = len(words)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros(k + 1)
-        for batch in batches:
-            total[:k] += np.bincount(_matches(batch.column(0), words)[1], minlength=k)
-            total[k] += batch.num_rows
-        return total
-
-    everywhere = vector_sum(docs.select(whole_text(text_col).alias("_text")), count, k + 1)
-    p1, p0 = n / confirmed_docs, everywhere[:k] / everywhere[k]
-    z = (p1 - p0) / np.sqrt(np.maximum(p0 * (1 - p0), 1e-9) / confirmed_docs + 1e-9)
-    z[p1 < LEAST_LIFT * p0] = 0
-    best = np.sort(np.argsort(-z, kind="stable")[:TERMS])
-    best = best[z[best] >= LEAST_Z]
-    if not len(best):
-        return empty
-    positive = _sample_rows(docs, confirmed, id_col, text_col, words[best])
-    # text taken without regard to its labels, so that it holds toxic text at the prior's rate
-    unlabelled = _sample_rows(docs, some(docs, MAX_UNLABELLED), id_col, text_col, words[best])
-    weights, bias = fit_nnpu(positive, unlabelled, prior)
-    return ToxicityModel(words[best], weights, bias, prior)
-
-
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",
           keep_cols: tuple[str, ...] | None = None) -> DataFrame:
     """``keep_cols`` (default: the id) and ``score`` for every row, 0 to 1.

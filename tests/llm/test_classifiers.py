@@ -131,3 +131,12 @@ def test_toxicity_without_positives(spark):
         assert len({r.score for r in T.score(docs, model).collect()}) == 1
     empty = docs.limit(0)
     assert T.score(empty, T.train(empty, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))).count() == 0
+
+
+def test_toxicity_length_is_standardised(spark):
+    rows, labels = toxic_fixture()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = T.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    lengths = np.log1p([len(t.replace(",", "").split()) for _, t in rows])
+    assert model.length_mean == pytest.approx(lengths.mean(), rel=1e-3)
+    assert model.length_scale == pytest.approx(lengths.std(), abs=1e-4)
