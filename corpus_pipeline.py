@@ -29,9 +29,12 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below ``TOXIC_SCORE``; learnt from the same label rows as the operator's query."""
+    """Documents below ``TOXIC_SCORE``; learnt from the same label rows as the operator's query.
+    All of them, if no term could be learnt: every score would be the prior."""
     usable = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), usable=usable)
+    if not len(model.words):
+        return docs
     scored = toxicity.score(docs, model, keep_cols=tuple(docs.columns))
     return scored.where(F.col("score") < TOXIC_SCORE).select(*docs.columns)
 

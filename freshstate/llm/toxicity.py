@@ -8,8 +8,8 @@ max(0, (loss of unlabelled as negative) - p * (loss of positives as negative));
 where the second term would turn negative, the step goes the other way, so the
 classifier cannot gain by fitting the positives hidden among the unlabelled.
 
-Counts cover all documents: the candidate terms come from the confirmed
-documents, and every document is counted for each of them. Only the fit uses a
+Counts cover all documents, of equal texts one: the candidate terms come from the
+confirmed documents, and every text is counted for each of them. Only the fit uses a
 bounded sample (``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents, in the order
 of a hash of their ids).
 """
@@ -32,8 +32,9 @@ MAX_UNLABELLED = 30_000
 #: Candidate terms (by documents of the confirmed class) and terms of the classifier.
 CANDIDATES = 16_384
 TERMS = 192
-#: A term needs so many confirmed documents, such a z-value against all documents,
-#: and must be so many times as frequent among the confirmed.
+#: A term needs so many distinct confirmed texts, such a z-value against all distinct
+#: texts, and must be so many times as frequent among the confirmed (less, where the
+#: toxic share is so large that a toxic term could hardly reach it).
 LEAST_DOCS, LEAST_Z, LEAST_LIFT = 5, 5.0, 3.0
 PREFIXES = (5, 7)
 
@@ -84,21 +85,22 @@ def _matches(texts: pa.Array, words: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return pair // most, pair % most, np.concatenate(counts), size
 
 
+def _distinct(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:
+    """``_text`` and its content hash in two numbers (equal texts agree in both), after ``more``."""
+    text = whole_text(text_col)
+    return docs.select(*more, text.alias("_text"), F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2"))
+
+
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per term of a batch, and as term 0 all of them; of texts with the
-    same terms one counts."""
+    """Documents per term of a batch, and as term 0 all of them."""
     for batch in batches:
         buf, off = text_buffer(batch.column(0))
-        seen, terms = set(), [np.zeros(1, np.uint64)[:0]]
+        terms = [np.zeros(batch.num_rows, np.uint64)]
         for a, b in slices(off):
             doc, h = _terms(buf[off[a]:off[b]], off[a:b + 1] - off[a])
             order = np.argsort(doc, kind="stable")
             ends = np.searchsorted(doc[order], np.arange(b - a + 1))
-            for lo, hi in zip(ends[:-1], ends[1:]):
-                own = np.unique(h[order[lo:hi]])
-                if own.tobytes() not in seen:
-                    seen.add(own.tobytes())
-                    terms += [own, np.zeros(1, np.uint64)]
+            terms += [np.unique(h[order[lo:hi]]) for lo, hi in zip(ends[:-1], ends[1:])]
         term, n = np.unique(np.concatenate(terms), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
@@ -173,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     confirmed = some(lab.where(F.col(label_col) == 1), MAX_POSITIVE)
     toxic = docs.join(F.broadcast(confirmed), docs[id_col] == confirmed["_sample"], "left_semi")
-    counted = (toxic.select(whole_text(text_col).alias("_text")).mapInArrow(_term_counts, "h long, n long")
+    counted = (_distinct(toxic, text_col).dropDuplicates(["_h1", "_h2"]).select("_text").mapInArrow(_term_counts, "h long, n long")
                .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS))
     top = sorted((r.h & (1 << 64) - 1, r.n) for r in counted.orderBy(F.desc("n"), "h").limit(CANDIDATES + 1).collect())
     if len(top) < 2 or top[0][0]:
@@ -181,17 +183,36 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     confirmed_docs, words, n = top[0][1], np.array([h for h, _ in top[1:]], np.uint64), np.array([n for _, n in top[1:]])
     k = len(words)
 
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, num, _, _ = _matches(batch.column(0), words)
+            order = np.argsort(doc, kind="stable")
+            ends = np.searchsorted(doc[order], np.arange(batch.num_rows + 1))
+            num = num[order].astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([num[lo:hi].tobytes() for lo, hi in zip(ends[:-1], ends[1:])], pa.binary())],
+                                             ["_h1", "_h2", "nums"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros(k + 1)
         for batch in batches:
-            total[:k] += np.bincount(_matches(batch.column(0), words)[1], minlength=k)
+            total[:k] += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint16), minlength=k)
             total[k] += batch.num_rows
         return total
 
-    everywhere = vector_sum(docs.select(whole_text(text_col).alias("_text")), count, k + 1)
+    # both sides count distinct texts: what is shuffled here is a text's hash and candidate numbers
+    once = (_distinct(docs, text_col).mapInArrow(found, "_h1 long, _h2 long, nums binary")
+            .groupBy("_h1", "_h2").agg(F.first("nums").alias("nums")).select("nums"))
+    everywhere = vector_sum(once, count, k + 1)
+    # a term of toxic texts only is 1 / share times as frequent among them as in all distinct
+    # texts: the limit is never more than half of that (in logarithms)
+    told = lab.groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) == 1).cast("int")).alias("_toxic"))
+    share = (_distinct(docs, text_col, F.col(id_col).alias("_id")).drop("_text").join(told, "_id")
+             .groupBy("_h1", "_h2").agg(F.max("_toxic").alias("_toxic")).agg(F.avg("_toxic")).first()[0])
+    share = min(share or 0.0, 0.9)
     p1, p0 = n / confirmed_docs, everywhere[:k] / everywhere[k]
-    z = (p1 - p0) / np.sqrt(np.maximum(p0 * (1 - p0), 1e-9) / confirmed_docs + 1e-9)
-    z[p1 < LEAST_LIFT * p0] = 0
+    # counts are whole numbers: half a document less (continuity correction)
+    z = (p1 - p0 - 0.5 / confirmed_docs) / np.sqrt(np.maximum(p0 * (1 - p0), 1e-9) / confirmed_docs + 1e-9)
+    z[p1 < min(LEAST_LIFT, max(share, 1e-9) ** -0.5) * p0] = 0
     best = np.sort(np.argsort(-z, kind="stable")[:TERMS])
     best = best[z[best] >= LEAST_Z]
     if not len(best):

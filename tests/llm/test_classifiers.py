@@ -133,6 +133,30 @@ def test_toxicity_without_positives(spark):
     assert T.score(empty, T.train(empty, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))).count() == 0
 
 
+def test_toxicity_of_copied_texts(spark):
+    # a fourth of the rows are copies of one toxic text: its terms must still be learnt
+    rows, labels = toxic_fixture()
+    copied = rows[8][1]
+    rows += [(1000 + i, copied) for i in range(200)]
+    labels += [(1000 + i, 1) for i in range(0, 200, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    models = [T.train(docs.repartition(n), lab) for n in (1, 7)]
+    assert (models[0].words == models[1].words).all()  # whatever the batches
+    for r in T.score(docs, models[0], keep_cols=("doc_id", "text")).collect():
+        assert (r.score >= 0.3) == ("Vilething" in r.text), (r.doc_id, r.score)
+
+
+def test_toxicity_of_half_the_texts(spark):
+    rows, labels = toxic_fixture()
+    rows = [(i, t + " Vilething scumbag") if i % 2 else (i, t) for i, t in rows if i % 8]
+    labels = [(i, i % 2) for i, _ in labels if i % 8]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = T.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    for r in T.score(docs, model, keep_cols=("doc_id", "text")).collect():
+        assert (r.score >= 0.3) == ("Vilething" in r.text), (r.doc_id, r.score)
+
+
 def test_toxicity_length_is_standardised(spark):
     rows, labels = toxic_fixture()
     docs = spark.createDataFrame(rows, "doc_id long, text string")

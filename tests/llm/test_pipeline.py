@@ -52,3 +52,10 @@ def test_odd_tables(spark, scratch):
     for _, stage in C.STAGES:
         out = stage(spark, docs, sf)
         assert out.count() == 0
+
+
+def test_nothing_learnt_rejects_nothing(spark, scratch):
+    sf = scratch("unlearnt")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(8)], "doc_id long, text string")
+    spark.createDataFrame([(i, 1) for i in range(3)], "doc_id long, toxic int").write.parquet(f"{sf}/labels.parquet")
+    assert C.drop_toxic(spark, docs, sf).count() == 8
