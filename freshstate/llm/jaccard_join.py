@@ -116,20 +116,20 @@ def _bitmap(tokens: np.ndarray) -> bytes:
 
 
 def _describe(width: int, threshold: int, common: np.ndarray, cls: np.ndarray):
-    """(id, n, set key) of every text, with prefix and bitmap at the first text of
-    a task that has this set."""
+    """(id, n, set key) of every text, with prefix and bitmap at the first text with
+    an id of a task that has this set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
             ns, k1, k2, prefix, sig = [], [], [], [], []
-            for s in shingle_sets(batch.column(1), width):
+            for own, s in zip(batch.column(0).is_valid().to_pylist(), shingle_sets(batch.column(1), width)):
                 n = len(s)
                 with np.errstate(over="ignore"):
                     key = mix64(np.array([np.bitwise_xor.reduce(s) + np.uint64(n) if n else 0, mix64(s).sum() if n else 0], np.uint64))
                 ns.append(n)
                 k1.append(int(key[0].view(np.int64)))
                 k2.append(int(key[1].view(np.int64)))
-                if not n or key.tobytes() in seen:
+                if not n or not own or key.tobytes() in seen:
                     prefix.append(None)
                     sig.append(None)
                     continue

@@ -99,6 +99,15 @@ def test_odd_rows(spark):
     assert J.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_a_row_without_id_comes_first(spark):
+    # one task, so that the row without an id is the first with its set
+    base = [f"w{i}" for i in range(100)]
+    data = [(None, " ".join(base)), (1, " ".join(base)), (2, " ".join(base)), (3, " ".join(base[:-2] + ["z1", "z2"])), (None, "x"), (4, "x"), (5, "x")]
+    df = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    got = sorted((tuple(r) for r in J.jaccard_components(df).collect()), key=str)
+    assert got == brute(data) and {(2, 96, 1), (3, 96, 1), (5, 1, 4)} <= set(got)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 60), min_size=1, max_size=60), min_size=2, max_size=25), st.sampled_from([50, 75, 90]))
 def test_traversal_keeps_every_link(sets, threshold):
