@@ -41,11 +41,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id."""
-    kept = exact_dedup.exact_dedup(docs).where("kept")
-    out = _only(docs, kept)
+    text_hash = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    # ids may repeat or be null, so the decision holds for an id with a text
+    kept = (exact_dedup.exact_dedup(docs.select("doc_id", "text", text_hash.alias("_hash")), keep_cols=("_hash",)).where("kept")
+            .select(F.col("doc_id").alias("_kept_id"), F.col("_hash").alias("_kept_hash")).distinct())
+    hashed = docs.withColumn("_text_hash", text_hash)
+    out = hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["_kept_id"]) & (hashed["_text_hash"] == kept["_kept_hash"]), "left_semi")
     if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         # an id that repeats: rows with the same id and text are one
-        out = out.withColumn("_text_hash", F.sha2(F.coalesce("text", F.lit("")), 256)).dropDuplicates(["doc_id", "_text_hash"])
+        out = out.dropDuplicates(["doc_id", "_text_hash"])
     return out.select(*docs.columns)
 
 

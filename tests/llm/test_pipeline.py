@@ -59,3 +59,10 @@ def test_nothing_learnt_rejects_nothing(spark, scratch):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(8)], "doc_id long, text string")
     spark.createDataFrame([(i, 1) for i in range(3)], "doc_id long, toxic int").write.parquet(f"{sf}/labels.parquet")
     assert C.drop_toxic(spark, docs, sf).count() == 8
+
+
+def test_copies_with_null_and_repeated_ids(spark):
+    rows = [(9, "A"), (None, "A"), (None, "B"), (7, "C"), (7, "A"), (8, "C"), (7, "D"), (None, "B")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in C.drop_copies(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(9, "A"), (None, "B"), (8, "C"), (7, "D")], key=str)
