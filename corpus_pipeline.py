@@ -35,8 +35,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), usable=usable)
     if not len(model.words):
         return docs
-    scored = toxicity.score(docs, model, keep_cols=tuple(docs.columns))
-    return scored.where(F.col("score") < TOXIC_SCORE).select(*docs.columns)
+    # the documents may have a column of the name that the operator adds
+    names = [f"_doc_{i}" for i in range(len(docs.columns))]
+    scored = toxicity.score(docs.toDF(*names), model, text_col=names[docs.columns.index("text")], keep_cols=tuple(names))
+    return scored.where(F.col("score") < TOXIC_SCORE).select(*names).toDF(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

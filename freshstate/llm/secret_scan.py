@@ -230,7 +230,11 @@ def redact(docs: DataFrame, rules: tuple[SecretRule, ...] = BASE_RULES + MORE_RU
     All rows and columns stay. A null text stays null. ``size_col``, if it is a
     column, is set to the new number of code points where the text changed.
     """
-    cols = [c for c in docs.columns]
+    names = docs.columns
+    # the documents may have columns of the names used here
+    cols = [f"_doc_{i}" for i in range(len(names))]
+    docs, text_col = docs.toDF(*cols), cols[names.index(text_col)]
+    size_col = cols[names.index(size_col)] if size_col in names else None
     found = secret_scan(docs, rules, cols[0], text_col, tuple(cols[1:]))
     merged = F.expr("""aggregate(secrets, array(struct(0L AS s, 0L AS e)), (a, x) ->
         if(x.start < element_at(a, -1).e,
@@ -245,4 +249,4 @@ def redact(docs: DataFrame, rules: tuple[SecretRule, ...] = BASE_RULES + MORE_RU
     if size_col in cols:
         kind = docs.schema[size_col].dataType
         out = out.withColumn(size_col, F.when(hit, F.char_length(text_col).cast(kind)).otherwise(F.col(size_col)))
-    return out.select(*cols)
+    return out.select(*cols).toDF(*names)

@@ -66,3 +66,12 @@ def test_copies_with_null_and_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((tuple(r) for r in C.drop_copies(spark, docs, SF).collect()), key=str)
     assert got == sorted([(9, "A"), (None, "B"), (8, "C"), (7, "D")], key=str)
+
+
+def test_columns_named_like_those_of_the_operators(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "2.5D AS score", "'s' AS secrets", "'m' AS _m")
+    for stage in (C.drop_toxic, C.mark_secrets):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        plain = stage(spark, docs.drop("score", "secrets", "_m"), SF)
+        assert sorted(map(tuple, out.collect())) == sorted((*r, 2.5, "s", "m") for r in plain.collect())
