@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,34 +142,59 @@ def word_hashes(buf: np.ndarray, off: np.ndarray, letters: bool = False,
 
 # ---- sums of fixed-size vectors over all partitions -----------------------
 
+#: Partitions whose vectors are added together first.
+_FAN_IN = 64
+
+
 def vector_sum(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
-               length: int, chunk: int = 8192) -> np.ndarray:
-    """Sum over all partitions of ``fn(batches)``, a float64 vector of ``length``.
+               length: int, chunk: int = 8192, dtype=np.float64) -> np.ndarray:
+    """Sum over all partitions of ``fn(batches)``, a vector of ``length`` numbers of ``dtype``.
 
-    Each partition sends its vector as chunks, the chunks are added by Spark,
-    and only the one summed vector (a size fixed by ``length``) reaches the driver.
+    Each partition sends its vector as chunks. Chunks are added in two levels: those
+    of ``_FAN_IN`` partitions first, then the sums; both read their chunks as a
+    sorted stream and hold one of them. Only the one summed vector (a size fixed
+    by ``length``) reaches the driver.
     """
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = np.asarray(fn(batches), np.float64)
+        v = np.asarray(fn(batches), dtype)
         if v.any():
             ks = [k for k in range(0, length, chunk) if v[k:k + chunk].any()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k // chunk for k in ks], pa.int32()),
-                 pa.array([v[k:k + chunk].tobytes() for k in ks], pa.binary())], ["k", "v"])
-
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(min(chunk, length - key[0] * chunk))
-        for v in rows["v"]:
-            total += np.frombuffer(v, np.float64)
-        return pd.DataFrame({"k": [key[0]], "v": [total.tobytes()]})
-
-    schema = "k int, v binary"
-    out = np.zeros(length)
-    for r in df.mapInArrow(part, schema).groupBy("k").applyInPandas(add, schema).collect():
-        out[r.k * chunk:r.k * chunk + chunk] = np.frombuffer(r.v, np.float64)
+                [pa.array([TaskContext.get().partitionId() // _FAN_IN] * len(ks), pa.int32()), pa.array([k // chunk for k in ks], pa.int32()),
+                 pa.array([v[k:k + chunk].tobytes() for k in ks], pa.binary())], ["g", "k", "v"])
+
+    out = np.zeros(length, dtype)
+    once = add_chunks(df.mapInArrow(part, "g int, k int, v binary"), dtype)
+    for r in add_chunks(once.withColumn("g", F.lit(0)), dtype).collect():
+        out[r.k * chunk:r.k * chunk + chunk] = np.frombuffer(r.v, dtype)
     return out
 
 
+def add_chunks(rows: DataFrame, dtype=np.float64) -> DataFrame:
+    """``(g, k, v)`` with one row per ``(g, k)``, its vectors ``v`` (bytes) added."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total = None, None
+        for batch in batches:
+            done = []
+            for g, k, v in zip(*(c.to_pylist() for c in batch.columns)):
+                if (g, k) != key:
+                    if key is not None:
+                        done.append((*key, total.tobytes()))
+                    key, total = (g, k), np.frombuffer(v, dtype).copy()
+                else:
+                    total += np.frombuffer(v, dtype)
+            if done:
+                yield _chunk_rows(done)
+        if key is not None:
+            yield _chunk_rows([(*key, total.tobytes())])
+    return rows.repartition("g", "k").sortWithinPartitions("g", "k").mapInArrow(run, "g int, k int, v binary")
+
+
+def _chunk_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    g, k, v = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(k, pa.int32()), pa.array(v, pa.binary())], ["g", "k", "v"])
+
+
 # ---- connected components --------------------------------------------------
 
 class Forest:

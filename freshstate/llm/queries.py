@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
-from . import bpe, jaccard_join, line_dedup, packing, quality, secret_scan, simhash, toxicity, url_filter
+from . import bpe, centroids, jaccard_join, line_dedup, packing, quality, secret_scan, simhash, toxicity, url_filter
 from .common import table, whole_text
 
 QUERIES: dict = {}
@@ -176,3 +176,40 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=_fold(4) != 2)
     return toxicity.score(docs, model).select(
         "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in 16 clusters after three rounds."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _clustering_sql(k: int = 16, rounds: int = 3) -> str:
+    """Lloyd's rounds one after the other: every vector against every centroid."""
+    parts = ["""kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, v
+  FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, v, min(struct_pack(d := d, c := c)) AS best
+  FROM (SELECT k.vec_id, k.v, c.c, CAST(list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+        FROM kept k, c{r} c) GROUP BY vec_id, v)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(n.v, o.v) AS v FROM c{r} o LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v
+    FROM (SELECT best.c AS c, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+          FROM a{r}, unnest(range(1, 65)) AS t(i) GROUP BY ALL) GROUP BY c) n USING (c))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT a.vec_id, CAST(a.best.c AS INTEGER) AS cluster, a.best.d AS distance,
+       CAST(sum(a.best.d) OVER (PARTITION BY a.best.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.best.d) OVER () AS BIGINT) AS inertia,
+       sha256(list_aggregate(c.v, 'string_agg', ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.c = a.best.c"""
+
+
+ORACLE_SQL["op13_centroid_clustering"] = _clustering_sql()
