@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
-from . import bpe, centroids, jaccard_join, line_dedup, packing, quality, secret_scan, simhash, toxicity, url_filter
+from . import bpe, centroids, decontaminate, jaccard_join, line_dedup, packing, quality, secret_scan, simhash, toxicity, url_filter
 from .common import table, whole_text
 
 QUERIES: dict = {}
@@ -178,6 +178,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@_query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside ten-word windows of benchmark items."""
+    out = decontaminate.decontaminate(table(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_WORD_LIST = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              "'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+ORACLE_SQL["op12_decontamination"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_WORD_LIST} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORD_LIST} AS w FROM benchmark),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[p + 1:p + 10], ' ') AS win
+  FROM items, unnest(range(0, greatest(len(w) - 9, 1))) AS t(p) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, p, n, array_to_string(w[p + 1:p + n], ' ') AS win
+  FROM d, lengths, unnest(range(0, len(w) - n + 1)) AS t(p)),
+hits AS MATERIALIZED (SELECT doc_id, item, p, n FROM places JOIN windows USING (win, n)),
+words AS (SELECT doc_id, count(DISTINCT p + k) AS n_hit FROM hits, unnest(range(0, n)) AS t(k) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.items, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words h USING (doc_id) LEFT JOIN named n USING (doc_id)"""
+
+
 @_query
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings in 16 clusters after three rounds."""
