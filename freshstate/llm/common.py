@@ -89,6 +89,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _OTHER = np.ones(256, bool)  # what is no letter; bytes of other scripts count as letters
 _OTHER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
+_NO_TERM = _OTHER.copy()  # as before, but digits count too
+_NO_TERM[48:58] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -107,18 +109,18 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def word_hashes(buf: np.ndarray, off: np.ndarray, letters: bool = False,
+def word_hashes(buf: np.ndarray, off: np.ndarray, letters: bool = False, digits: bool = False,
                 prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """64-bit hashes of the words of every document, in order, and the words per document.
 
     A word is a run of bytes other than 0x20 and 0x09-0x0D, or with ``letters`` a
-    run of letters; A-Z count as a-z. For each length in ``prefixes`` a further
+    run of letters, with ``digits`` of letters and digits; A-Z count as a-z. For each length in ``prefixes`` a further
     array follows: the hash of every word's first bytes.
     """
     n = len(off) - 1
     if not len(buf):
         return (np.zeros(0, np.uint64), np.zeros(n, np.int64), *[np.zeros(0, np.uint64) for _ in prefixes])
-    word = ~(_OTHER if letters else _SPACE)[buf]
+    word = ~(_NO_TERM if digits else _OTHER if letters else _SPACE)[buf]
     first = word.copy()
     first[1:] &= ~word[:-1]
     cuts = off[:-1][off[:-1] < len(buf)]

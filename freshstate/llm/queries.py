@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
-from . import bpe, centroids, decontaminate, jaccard_join, line_dedup, packing, quality, secret_scan, simhash, toxicity, url_filter
+from . import bpe, centroids, decontaminate, jaccard_join, line_dedup, packing, quality, ranked_search, secret_scan, simhash, toxicity, url_filter
 from .common import table, whole_text
 
 QUERIES: dict = {}
@@ -178,6 +178,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+#: Runs of digits, letters and characters beyond ASCII, A-Z as a-z.
+_WORD_LIST = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+
+@_query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return ranked_search.ranked_search(table(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op11_ranked_search"] = f"""
+WITH terms AS MATERIALIZED (SELECT doc_id, unnest({_WORD_LIST}) AS term FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+whole AS (SELECT count(*) AS big_n, sum(n) AS big_l FROM sizes),
+tfs AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+asked AS (SELECT DISTINCT item_id, unnest({_WORD_LIST}) AS term FROM benchmark),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, whole GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM asked JOIN tfs USING (term) JOIN weighed USING (term) JOIN sizes USING (doc_id), whole
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10"""
+
+
 @_query
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words inside ten-word windows of benchmark items."""
@@ -186,8 +215,6 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-_WORD_LIST = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
-              "'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 ORACLE_SQL["op12_decontamination"] = f"""
 WITH d AS MATERIALIZED (SELECT doc_id, {_WORD_LIST} AS w FROM documents),
 items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORD_LIST} AS w FROM benchmark),

@@ -1,0 +1,129 @@
+"""Ranked search against scoring every document for every query, and its bounds."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from freshstate.llm import ranked_search as R
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def term_list(text):
+    return TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items, k=10):
+    tfs = [(i, Counter(term_list(t))) for i, t in docs]
+    tfs = [(i, c, sum(c.values())) for i, c in tfs if c]
+    big_n, big_l = len(tfs), sum(n for _, _, n in tfs)
+    df = Counter(t for _, c, _ in tfs for t in c)
+    asked = {}
+    for i, t in items:
+        asked.setdefault(i, set()).update(term_list(t))
+    out = []
+    for i, terms in asked.items():
+        ranked = []
+        for d, c, n in tfs:
+            m = 100 - 90 + (90 * n * big_n) // big_l
+            s = sum(math.floor(1000 * math.log((2 * big_n + 2) / (2 * df[t] + 1))) * ((10 ** 9 * c[t]) // (1000 * c[t] + 8 * m)) for t in terms if t in c)
+            if s > 0:
+                ranked.append((-s, d is None, d or 0, d))
+        out += [(i, r, d, -s) for r, (s, _, _, d) in enumerate(sorted(ranked, key=lambda x: x[:3])[:k], 1)]
+    return sorted(out, key=str)
+
+
+def found(spark, docs, items, **kw):
+    d = spark.createDataFrame([(i, t, "x", 3) for i, t in docs], "doc_id long, text string, ids string, score int")
+    b = spark.createDataFrame([(i, t, 4) for i, t in items], "item_id long, text string, rank int")
+    out = R.ranked_search(d, b, **kw)
+    assert out.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
+def corpus(seed, n=300):
+    rnd = random.Random(seed)
+    vocab = [f"w{i}" for i in range(400)] + ["ñandú", "É", "x1"]
+    shares = [1 / (i + 1) for i in range(len(vocab))]
+    topics = [rnd.sample(vocab, 25) for _ in range(6)]
+    docs = []
+    for d in range(n):
+        w = rnd.choices(vocab, shares, k=rnd.randrange(0, 60)) + rnd.choices(rnd.choice(topics), k=rnd.randrange(0, 15))
+        rnd.shuffle(w)
+        docs.append((d * 3, " ".join(w)))
+    items = [(i, " ".join(rnd.sample(vocab, 3) + rnd.sample(rnd.choice(topics), rnd.randrange(1, 12)))) for i in range(25)]
+    return docs + [(900_000 + k, docs[5][1]) for k in range(40)], items
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_scoring_everything(spark, seed):
+    docs, items = corpus(seed)
+    assert found(spark, docs, items) == brute(docs, items)
+
+
+def test_small_shards_blocks_and_query_blocks(spark, monkeypatch):
+    """Many shards, blocks of two documents, a pass for every few queries, few results."""
+    docs, items = corpus(3, 150)
+    for name, value in (("SHARD_POSTINGS", 400), ("BLOCK", 2), ("QUERIES", 9), ("SEEDS", 5)):
+        monkeypatch.setattr(R, name, value)
+    assert found(spark, docs, items, k=3) == brute(docs, items, 3)
+
+
+def test_odd_rows(spark):
+    """Nulls, empty texts, ties, repeated rows and ids, equal vectors, shared item ids, terms beyond ASCII."""
+    docs = [(1, "alpha beta"), (1, "alpha beta"), (None, "alpha beta"), (5, "beta alpha"), (4, "ALPHA, beta!"), (9, None), (8, ""), (7, " .,"),
+            (3, "gamma É é ñ"), (2, "gamma é É ñ"), (6, "alpha " * 500), (11, "unseen words here")]
+    items = [(1, "alpha"), (2, "beta GAMMA"), (2, "ñ"), (None, "é"), (3, None), (4, "nothing"), (5, "alpha alpha beta")]
+    for k in (1, 3, 10):
+        assert found(spark, docs, items, k=k) == brute(docs, items, k)
+
+
+def test_empty_tables(spark):
+    docs, items = corpus(4, 20)
+    assert found(spark, [], items) == [] and found(spark, docs, []) == [] and found(spark, [(1, None)], items) == []
+
+
+def test_text_ids(spark):
+    d = spark.createDataFrame([("b", "alpha"), ("a", "alpha"), ("c", "beta")], "doc_id string, text string")
+    b = spark.createDataFrame([("q", "alpha")], "item_id string, text string")
+    assert [tuple(r)[:3] for r in R.ranked_search(d, b).orderBy("rank").collect()] == [("q", 1, "a"), ("q", 2, "b")]
+
+
+def test_summaries_bound_every_score_and_blocks_are_skipped():
+    docs, items = corpus(5, 600)
+    block = R.query_block([t for _, t in items])
+    facts = [x for x in R.document_terms(pa.array([t for _, t in docs])) if x[0]]
+    big_n, big_l = len(facts), sum(n for n, _, _ in facts)
+    terms, adds, block.df = [], [], np.zeros(len(block.terms), np.int64)
+    for n, h, tf in facts:
+        at = np.minimum(np.searchsorted(block.terms, h), len(block.terms) - 1)
+        hit = block.terms[at] == h
+        if hit.any():
+            terms.append(at[hit].astype(np.int32).tobytes())
+            adds.append(R.contributions(tf[hit], n, big_n, big_l).astype(np.int32).tobytes())
+            block.df[at[hit]] += 1
+    block.weight = R.weights(block.df, big_n)
+    searcher = R.Searcher(block, 10, np.zeros(len(block.queries), np.int64))
+    shard = R.Shard(terms, adds, searcher.axes)
+    for q, ts in enumerate(block.queries):
+        searcher.weight[ts] = block.weight[ts]
+        for p, t in enumerate(shard.present.tolist()):
+            if t not in ts:
+                continue
+            of, heads, term, high, begins = shard.blocks(p, searcher.useful(t) if p not in shard.made else None)
+            assert sorted(of.tolist()) == sorted(shard.posted[shard.ends[p]:shard.ends[p + 1]].tolist())
+            assert np.diff(np.append(heads, len(of))).max() <= R.BLOCK
+            bound = np.add.reduceat(searcher.weight[term] * high, begins)
+            score = searcher.score(shard, of)
+            assert (score <= np.repeat(bound, np.diff(np.append(heads, len(of))))).all()
+        searcher.weight[ts] = 0
+    searcher.scored = searcher.skipped = 0
+    list(searcher.search(shard, np.ones(shard.docs, np.int64)))
+    again = R.Searcher(block, 10, searcher.floor)  # with the thresholds of a first round
+    list(again.search(shard, np.ones(shard.docs, np.int64)))
+    assert again.scored < searcher.scored and again.skipped > 0
