@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (Forest, components, cut, maybe_in, mix64, slices, tasks, text_buffer,
+from .common import (Forest, components, cut, maybe_in, mix64, map_texts, slices, tasks, text_buffer,
                      whole_text, word_hashes)
 
 SHINGLE = 5
@@ -99,7 +99,7 @@ def _common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
         if held:
             yield flush()
 
-    top = (texts.mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    top = (map_texts(texts, run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "t").limit(COMMON).collect())
     token = np.array([r.t for r in top], np.int64).view(np.uint64)
     cls = np.array([r.n for r in top], np.int64)
@@ -116,8 +116,8 @@ def _bitmap(tokens: np.ndarray) -> bytes:
 
 
 def _describe(width: int, threshold: int, common: np.ndarray, cls: np.ndarray):
-    """(id, n, set key) of every text, with prefix and bitmap at the first text with
-    an id of a task that has this set."""
+    """Of every (id, text, text hashes): id, n, set key and the hashes, with prefix and
+    bitmap at the first text with an id of a task that has this set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
@@ -145,9 +145,9 @@ def _describe(width: int, threshold: int, common: np.ndarray, cls: np.ndarray):
                 prefix.append(first.view(np.int64))
                 sig.append(_bitmap(s))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ns, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                [batch.column(0), pa.array(ns, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), *batch.columns[2:],
                  pa.array(prefix, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                ["id", "n", "k1", "k2", "prefix", "sig"])
+                ["doc", "n", "k1", "k2", "t1", "t2", "prefix", "sig"])
     return run
 
 
@@ -495,6 +495,16 @@ def _block_links(blocks: DataFrame, sets: DataFrame, threshold: int, unit_tokens
     return links.unionByName(_join_units(to_units.unionByName(all_rows), threshold, sided=True))
 
 
+def _same_document(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Star edges between the classes of rows that share an id, for ids with several sets."""
+    key = F.struct("k1", "k2")
+    several = (usable.groupBy("doc").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+               .where("_lo <> _hi").select("doc"))
+    of = cut(usable.select("doc", "k1", "k2").join(several, "doc", "left_semi").distinct()
+             .join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc", "rep"))
+    return of.join(of.groupBy("doc").agg(F.min("rep").alias("a")), "doc").where("rep <> a").select("a", F.col("rep").alias("b"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
                        width: int = SHINGLE, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
     """``id_col, n_shingles, component_id`` for every row.
@@ -503,15 +513,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``component_id`` is the smallest id reachable by links, itself included. A
     null, empty or wordless text has an empty set and links with nothing. A row
     with a null id links with nothing and has a null component. Rows that share
-    an id are one document for the links. An empty table gives no rows.
+    an id and have words are in one component, with all their links. Ids may be of any
+    type that has an order. An empty table gives no rows. Other columns are ignored.
+
+    Within, every row has a number of its own, and one row's number stands for each
+    class of equal sets; ids only name the components.
     """
     spark: SparkSession = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    text = whole_text(text_col)
+    rows = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
     common, cls = _common_shingles(rows.select("text"), width)
-    facts = cut(rows.mapInArrow(_describe(width, threshold, common, cls),
-                                "id long, n int, k1 long, k2 long, prefix array<long>, sig binary"))
-    usable = facts.where("n > 0 AND id IS NOT NULL")
-    classes = cut(usable.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("_c"),
+    facts = cut(map_texts(rows, _describe(width, threshold, common, cls),
+                          f"doc {kind}, n int, k1 long, k2 long, t1 long, t2 long, prefix array<long>, sig binary")
+                .withColumn("id", F.monotonically_increasing_id()))
+    usable = facts.where("n > 0 AND doc IS NOT NULL")
+    classes = cut(usable.groupBy("k1", "k2").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("_c"),
                                                  F.min(F.when(F.col("prefix").isNotNull(), F.col("id"))).alias("rep")))
     reps = usable.where("prefix IS NOT NULL").join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     posted = (reps.select(F.explode("prefix").alias("token"), "id")
@@ -529,29 +546,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return df.select(key, "ids").mapInArrow(run, "gid long, id long")
 
     small = ids_of(groups.where("whole").select("ids").distinct().withColumn("gid", F.xxhash64("ids")), "gid")
-    signed = reps.groupBy("id").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
-    members = small.join(signed, "id").select("gid", "id", "n", "sig")
+    members = small.join(reps.select("id", "n", "sig"), "id").select("gid", "id", "n", "sig")
     near = (members.repartition(tasks(spark), "gid").sortWithinPartitions("gid", "id")
             .mapInArrow(_possible_links(threshold), "a long, b long"))
     # groups in parts are handed on whole
     parts = ids_of(groups.where("NOT whole"), "token")
     star = parts.join(parts.groupBy("gid").agg(F.min("id").alias("a")), "gid").select("a", F.col("id").alias("b"))
     block = components(near.unionByName(star))
-    sized = cut(block.join(signed.select("id", "n"), block["node"] == F.col("id")).select(F.col("comp").alias("block"), "id", "n"))
+    sized = cut(block.join(reps.select("id", "n", "doc", "t1", "t2"), block["node"] == F.col("id"))
+                .select(F.col("comp").alias("block"), "id", "n", F.xxhash64("doc", "t1", "t2").alias("source"), "t1", "t2"))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), width)], pa.binary())], ["id", "tokens"])
-
-    kept = maybe_in(rows, F.xxhash64("id"), sized, F.xxhash64("id")).where("_maybe").select("id", "text")
-    sets = kept.mapInArrow(tokens, "id long, tokens binary").dropDuplicates(["id"])
-    links = _block_links(sized, sets, threshold, unit_tokens)
+                [*batch.columns[:3], pa.array([s.tobytes() for s in shingle_sets(batch.column(3), width)], pa.binary())], ["source", "t1", "t2", "tokens"])
+
+    # the texts of representatives, found again by document and content
+    source = F.xxhash64("doc", "t1", "t2")
+    kept = maybe_in(rows, source, sized, F.col("source")).where("_maybe").select(source.alias("source"), "t1", "t2", "text")
+    sets = (map_texts(kept, tokens, "source long, t1 long, t2 long, tokens binary").dropDuplicates(["source", "t1", "t2"])
+            .join(sized.select("source", "t1", "t2", "id"), ["source", "t1", "t2"]).select("id", "tokens"))
+    links = _block_links(sized.select("block", "id", "n"), sets, threshold, unit_tokens).unionByName(_same_document(usable, classes))
     label = components(links).withColumnsRenamed({"node": "rep", "comp": "label"})
     named = classes.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     first = named.groupBy("label").agg(F.min("least").alias("component_id"))
     resolved = cut(named.join(first, "label").where("component_id <> least OR _c > 1").select("k1", "k2", "component_id"))
-    return (facts.select("id", "n", "k1", "k2").join(resolved, ["k1", "k2"], "left")
-            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                    F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-                    .otherwise(F.col("id")).alias("component_id")))
+    return (facts.select("doc", "n", "k1", "k2").join(resolved, ["k1", "k2"], "left")
+            .select(F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+                    F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.coalesce("component_id", "doc"))
+                    .otherwise(F.col("doc")).alias("component_id")))

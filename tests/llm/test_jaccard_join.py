@@ -99,6 +99,24 @@ def test_odd_rows(spark):
     assert J.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_rows_that_share_an_id(spark):
+    """Different texts of one id unite all that links with any of them."""
+    rnd = random.Random(8)
+    a, b = ([f"{k}{rnd.randrange(10 ** 6)}" for _ in range(200)] for k in "ab")
+    near_a, near_b = a[:-3] + ["x", "y", "z"], ["p", "q"] + b[2:]
+    data = [(7, " ".join(a)), (7, " ".join(b)), (8, " ".join(near_a)), (9, " ".join(near_b)), (7, None), (7, "other words")]
+    assert joined(spark, data) == brute(data)
+    assert {r[2] for r in joined(spark, data)} == {7}
+    crowd = data + [(7, f"one more text {k}") for k in range(60)] + [(100 + k, f"one more text {k}") for k in range(60)]
+    assert joined(spark, crowd) == brute(crowd)
+
+
+def test_text_ids(spark):
+    words = [f"w{k}" for k in range(100)]
+    df = spark.createDataFrame([("b", " ".join(words)), ("a", " ".join(words[:-1])), ("c", "alone"), (None, "alone")], "doc_id string, text string")
+    assert {tuple(r) for r in J.jaccard_components(df).collect()} == {("b", 96, "a"), ("a", 95, "a"), ("c", 1, "c"), (None, 1, None)}
+
+
 def test_a_row_without_id_comes_first(spark):
     # one task, so that the row without an id is the first with its set
     base = [f"w{i}" for i in range(100)]
