@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import map_texts, whole_text
 
 #: Entries of the per-process cache of encoded words (about 300 bytes each).
 CACHE_ENTRIES = 400_000
@@ -284,13 +284,16 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     names = ["id", "ids"] + (["decoded"] if with_decoded else [])
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"id {id_type}, ids array<int>" + (", decoded binary" if with_decoded else "")
-    return (docs.select(F.col(id_col), whole_text(text_col).alias("_text")).mapInArrow(run, schema)
+    return (map_texts(docs.select(F.col(id_col), whole_text(text_col).alias("_text")), run, schema)
             .withColumnRenamed("id", id_col))
 
 
 def decode_documents(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """``id_col, decoded binary``: the bytes of each row's ids; null ids decode to
-    no bytes, an id outside the vocabulary fails."""
+    """``id_col, decoded binary``: the bytes of each row's ids.
+
+    Null or no ids decode to no bytes, an id outside the vocabulary (or null) fails;
+    lists of any length are decoded whole; repeated rows are decoded each, null row ids
+    pass; an empty table gives no rows; other columns are ignored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = {i: t for t, i in read_ranks(path).items()}
         for batch in batches:

@@ -32,6 +32,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of an Arrow batch that holds texts: bounds what a Python worker and the
+#: buffers before it hold at once.
+TEXT_ROWS = 10_000
+
+
+def map_texts(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` over rows with whole texts, in batches of at most ``TEXT_ROWS`` rows.
+
+    Spark takes the size of batches from the session when the result is computed, so
+    a larger setting of the session is lowered for good."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= TEXT_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

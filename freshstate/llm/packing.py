@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, whole_text
+from .common import cut, map_texts, whole_text
 
 #: Entries of the per-process word cache (about 150 bytes each).
 CACHE_ENTRIES = 600_000
@@ -99,7 +99,11 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
            capacity: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` (and the ids, little-endian
     unsigned 32-bit, with ``with_ids``): every document's ids and ``end_id``,
-    cut into pieces of at most ``capacity`` ids. Null text counts as empty."""
+    cut into pieces of at most ``capacity`` ids.
+
+    Null and empty texts are ``end_id`` alone; very long texts are tokenised whole and
+    cut; repeated rows and ids (null too) are cut each, in the order of their rows; an
+    empty table gives no rows; other columns are ignored."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +128,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                                              names + (["ids"] if with_ids else []))
 
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    return docs.select(F.col(id_col), whole_text(text_col).alias("_text")).mapInArrow(run, schema)
+    return map_texts(docs.select(F.col(id_col), whole_text(text_col).alias("_text")), run, schema)
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,13 +192,14 @@ def _pack_group(capacity: int):
 
 
 def best_fit_pack(parts: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIECES,
-                  rounds: int = 8) -> DataFrame:
+                  rounds: int | None = None) -> DataFrame:
     """``parts`` with ``sequence_id long`` and ``offset long``: places in sequences of
     ``capacity``, gapless from 0, no sequence over ``capacity``.
 
     ``parts`` needs ``length`` (1 to ``capacity``; a null or smaller length takes no
     place and gets a null sequence, a larger one fails). Equal lengths are
-    interchangeable. An empty table gives no rows. Columns of ``parts`` named
+    interchangeable. Pieces are exchanged until one group is left, fewer than two have
+    a gap, or an exchange no longer lessens what is handed over (or ``rounds`` are over). An empty table gives no rows. Columns of ``parts`` named
     sequence_id or offset are replaced; names starting with ``_`` are reserved.
     """
     parts = cut(parts.drop("sequence_id", "offset").withColumn("_key", F.monotonically_increasing_id()))
@@ -205,20 +210,18 @@ def best_fit_pack(parts: DataFrame, capacity: int = 2048, group_pieces: int = GR
         raise ValueError(f"a piece is longer than {capacity}; cut it first")
     full = sized.where(F.col("length") == capacity).select(
         "_key", (-F.col("_key") - 1).alias("_sequence"), F.lit(0).cast("long").alias("_offset"))
-    done, todo, left = [full], sized.where(f"length between 1 and {capacity - 1}"), total
-    for r in range(rounds):
+    done, todo, left, numbered, last, r = [full], sized.where(f"length between 1 and {capacity - 1}"), total, 0, False, 0
+    while not last:
         groups = max(1, -(-left // group_pieces))
         dealt = todo.withColumn("_group", F.pmod(F.xxhash64("_key", F.lit(r)), F.lit(groups)))
         packed = cut(dealt.groupBy("_group").applyInPandas(_pack_group(capacity), _PACKED))
         # an exchange needs a second group to exchange with
         ex = packed.where("_given")
         stats = ex.agg(F.count(F.lit(1)), F.count_distinct("_group")).first()
-        last = groups == 1 or stats[1] < 2 or r == rounds - 1
+        last = groups == 1 or stats[1] < 2 or (r > 0 and stats[0] >= left) or r + 1 == rounds
         stay = packed if last else packed.where("NOT _given")
-        done.append(stay.select("_key", (F.lit(r << 58) + F.col("_group") * F.lit(1 << 26) + F.col("_bin")).alias("_sequence"), "_offset"))
-        if last:
-            break
-        todo, left = ex.select("_key", "length"), stats[0]
+        done.append(stay.select("_key", ((F.col("_group") + numbered) * F.lit(1 << 26) + F.col("_bin")).alias("_sequence"), "_offset"))
+        todo, left, numbered, r = ex.select("_key", "length"), stats[0], numbered + groups, r + 1
     places = done[0]
     for d in done[1:]:
         places = places.unionByName(d)

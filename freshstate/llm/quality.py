@@ -3,8 +3,8 @@
 Every document is reduced to a few statistics of its bytes, words and lines.
 Random Fourier features approximate a Gaussian kernel over them; each partition
 sums its share of the normal equations, the sums give ridge scores, and an
-isotonic (monotone) map fitted on rows the ridge did not see turns the scores
-into probabilities.
+isotonic (monotone) map fitted on scores of rows that the scoring ridge did not see turns
+scores into probabilities.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, text_buffer, vector_sum, whole_text, word_hashes
+from .common import cut, map_texts, slices, text_buffer, vector_sum, whole_text, word_hashes
 
 FEATURES = 256
 RIDGE = 1e-3
+FOLDS = 5
 #: Bins of the calibration: bounds what reaches the driver.
 BINS = 512
 
@@ -115,13 +116,16 @@ def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, stats binary`` (doubles) for every row: the one pass over the texts."""
+    """``id_col, stats binary`` (doubles) for every row: the one pass over the texts.
+
+    Null and empty texts have statistics of zero; long texts are read whole; repeated
+    rows and null ids pass; an empty table gives no rows; other columns are ignored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = document_statistics(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "stats"])
     kind = docs.schema[id_col].dataType.simpleString()
-    return cut(docs.select(id_col, whole_text(text_col).alias("_text")).mapInArrow(run, f"id {kind}, stats binary")
+    return cut(map_texts(docs.select(id_col, whole_text(text_col).alias("_text")), run, f"id {kind}, stats binary")
                .withColumnRenamed("id", id_col))
 
 
@@ -131,16 +135,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def train(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
           usable: Column | None = None, seed: int = 5) -> QualityModel:
-    """Fits ridge scores on four fifths of the usable labelled rows (by a hash of
-    the id) and the calibration on the rest; with few rows, both on all of them.
+    """Fits ridge scores on all usable labelled rows, and the calibration on
+    out-of-fold scores: rows fall into ``FOLDS`` folds by a hash of the id, and each
+    fold is scored by the ridge of the others (the sums of all less its own).
 
-    Null labels and ids are left out. Without any label every score is 0.5.
+    Null labels and ids are left out; an id with several labels has the largest; of
+    repeated documents each counts. A fold whose others are empty has scores of
+    zero. Without any label every score is 0.5.
     """
     lab = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if usable is not None:
         lab = lab.where(usable)
     lab = lab.groupBy(id_col).agg(F.max(label_col).cast("double").alias("_y"))
-    rows = cut(stats.join(lab, id_col).select("stats", "_y", (F.pmod(F.xxhash64(id_col), F.lit(5)) == 0).alias("_held")))
+    rows = cut(stats.join(lab, id_col).select("stats", "_y", F.pmod(F.xxhash64(id_col), F.lit(FOLDS)).cast("int").alias("_fold")))
     k = STATISTICS
 
     def moments(batches):
@@ -160,32 +167,36 @@ def train(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
     d = FEATURES + 1
 
     def equations(batches):
-        total = np.zeros((d, d + 1))
+        total = np.zeros((FOLDS, d, d + 1))
         for batch in batches:
             z = fourier(_matrix(batch.column(0)), mean, scale, freq, phase)
-            y = np.asarray(batch.column(1))
-            total += np.column_stack([z.T @ z, z.T @ y])
+            y, fold = np.asarray(batch.column(1)), np.asarray(batch.column(2))
+            for f in np.unique(fold).tolist():
+                own = z[fold == f]
+                total[f] += np.column_stack([own.T @ own, own.T @ y[fold == f]])
         return total.ravel()
 
-    held = rows.where("_held")
-    some = held.agg(F.count(F.lit(1)), F.count_distinct("_y")).first()
-    fit, cal = (rows.where("NOT _held"), held) if some[0] >= 200 and some[1] > 1 else (rows, rows)
-    eq = vector_sum(fit.select("stats", "_y"), equations, d * (d + 1)).reshape(d, d + 1)
-    m = eq[-1, d - 1]
-    if not m:
+    eq = vector_sum(rows.select("stats", "_y", "_fold"), equations, FOLDS * d * (d + 1)).reshape(FOLDS, d, d + 1)
+    if not eq[:, -1, d - 1].sum():
         return QualityModel(mean, scale, freq, phase, np.zeros(d), np.array([-1.0, 1.0]), np.array([0.5, 0.5]))
-    weights = np.linalg.solve(eq[:, :d] + RIDGE * m * np.eye(d) / FEATURES, eq[:, d])
+
+    def ridge(sums: np.ndarray) -> np.ndarray:
+        m = sums[-1, d - 1]
+        return np.linalg.solve(sums[:, :d] + RIDGE * m * np.eye(d) / FEATURES, sums[:, d]) if m else np.zeros(d)
+
+    weights, others = ridge(eq.sum(axis=0)), np.stack([ridge(eq.sum(axis=0) - eq[f]) for f in range(FOLDS)])
     grid = np.linspace(-0.5, 1.5, BINS + 1)
 
     def histogram(batches):
         total = np.zeros((2, BINS))
         for batch in batches:
-            z = fourier(_matrix(batch.column(0)), mean, scale, freq, phase) @ weights
+            z = fourier(_matrix(batch.column(0)), mean, scale, freq, phase)
+            z = (z * others[np.asarray(batch.column(2))]).sum(axis=1)
             i = np.clip(np.searchsorted(grid, z, "right") - 1, 0, BINS - 1)
             total += [np.bincount(i, minlength=BINS), np.bincount(i, weights=np.asarray(batch.column(1)), minlength=BINS)]
         return total.ravel()
 
-    count, ones = vector_sum(cal.select("stats", "_y"), histogram, 2 * BINS).reshape(2, BINS)
+    count, ones = vector_sum(rows.select("stats", "_y", "_fold"), histogram, 2 * BINS).reshape(2, BINS)
     seen = count > 0
     middle = (grid[:-1] + grid[1:]) / 2
     flat = isotonic(ones[seen] / count[seen], count[seen])

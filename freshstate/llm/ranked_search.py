@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, slices, tasks, text_buffer, vector_sum, whole_text, word_hashes
+from .common import cut, map_texts, mix64, slices, tasks, text_buffer, vector_sum, whole_text, word_hashes
 
 #: Documents and postings of one shard, at most (a document is never split).
 SHARD_DOCS, SHARD_POSTINGS = 4096, 2_000_000
@@ -117,8 +117,8 @@ def describe(docs: DataFrame, id_col: str, text_col: str, terms: np.ndarray) ->
                 tfs.append(tf[hit].astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(nums, pa.binary()), pa.array(tfs, pa.binary())],
                                              ["id", "n", "terms", "tfs"])
-    return (docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("_text"))
-            .mapInArrow(run, f"id {kind}, n long, terms binary, tfs binary").where("n > 0"))
+    return (map_texts(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("_text")),
+                      run, f"id {kind}, n long, terms binary, tfs binary").where("n > 0"))
 
 
 def build_index(facts: DataFrame, block: QueryBlock, n_docs: int, n_terms: int, k: int) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_buffer, whole_text
+from .common import map_texts, slices, text_buffer, whole_text
 
 
 @dataclass(frozen=True)
@@ -199,8 +199,11 @@ def secret_scan(docs: DataFrame, rules: tuple[SecretRule, ...] = BASE_RULES + MO
     Positions are code points, the end exclusive, ordered by start, then by the
     order of the rules. Null or empty text has no secrets; very long texts are
     scanned whole; repeated rows are scanned each; null ids pass. An empty table
-    gives no rows. ``keep_cols`` may include the text column itself.
+    gives no rows. ``keep_cols`` may include the text column itself, but not a column
+    named ``secrets``.
     """
+    if "secrets" in (id_col, *keep_cols):
+        raise ValueError("a kept column is named secrets, like the result: rename it first")
     queries = [trigram_query(r) for r in rules]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +223,7 @@ def secret_scan(docs: DataFrame, rules: tuple[SecretRule, ...] = BASE_RULES + MO
     out_names = [f"c{i}" for i in range(len(cols))] + ["secrets"]
     schema = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(cols))
     out = docs.select(whole_text(text_col).alias("_text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    return out.mapInArrow(run, f"{schema}, secrets array<struct<kind:string,start:bigint,end:bigint>>").toDF(*cols, "secrets")
+    return map_texts(out, run, f"{schema}, secrets array<struct<kind:string,start:bigint,end:bigint>>").toDF(*cols, "secrets")
 
 
 def redact(docs: DataFrame, rules: tuple[SecretRule, ...] = BASE_RULES + MORE_RULES, text_col: str = "text",

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_buffer, vector_sum, whole_text, word_hashes
+from .common import map_texts, slices, text_buffer, vector_sum, whole_text, word_hashes
 
 MAX_POSITIVE = 20_000
 MAX_UNLABELLED = 30_000
@@ -106,7 +106,8 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sample_rows(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: np.ndarray) -> np.ndarray:
-    """log2(1 + count) of every term and log(1 + words), for the documents in ``ids``, a bounded list."""
+    """log2(1 + count) of every term and log(1 + words), one row for each of ``ids``, a
+    bounded list that has a document (of an id's texts the one with the least hash)."""
     width = len(words) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,8 +118,10 @@ def _sample_rows(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, wo
             x[:, -1] = np.log1p(size)
             yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(r.tobytes()) for r in x], pa.binary())], ["x"])
 
-    rows = (docs.join(F.broadcast(ids), docs[id_col] == ids["_sample"], "left_semi")
-            .select(whole_text(text_col).alias("_text")).mapInArrow(run, "x binary").collect())
+    text = whole_text(text_col)
+    texts = (docs.join(F.broadcast(ids), docs[id_col] == ids["_sample"], "left_semi")
+             .groupBy(id_col).agg(F.min_by(text, F.xxhash64(text)).alias("_text")).select("_text"))
+    rows = map_texts(texts, run, "x binary").collect()
     return np.frombuffer(b"".join(zlib.decompress(r.x) for r in rows), np.float32).reshape(-1, width).copy()
 
 
@@ -158,6 +161,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Unlabelled text is drawn from all rows of ``docs``, whatever their label. The class prior is the share of positives among the
     usable labels. Without positives (or documents) every score is the prior.
+
+    Null labels and label rows without an id are left out; null and empty texts have no
+    terms; long texts are read whole; equal texts count once; of texts that share an id one is learnt from.
     """
     lab = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if usable is not None:
@@ -175,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     confirmed = some(lab.where(F.col(label_col) == 1), MAX_POSITIVE)
     toxic = docs.join(F.broadcast(confirmed), docs[id_col] == confirmed["_sample"], "left_semi")
-    counted = (_distinct(toxic, text_col).dropDuplicates(["_h1", "_h2"]).select("_text").mapInArrow(_term_counts, "h long, n long")
+    counted = (map_texts(_distinct(toxic, text_col).dropDuplicates(["_h1", "_h2"]).select("_text"), _term_counts, "h long, n long")
                .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS))
     top = sorted((r.h & (1 << 64) - 1, r.n) for r in counted.orderBy(F.desc("n"), "h").limit(CANDIDATES + 1).collect())
     if len(top) < 2 or top[0][0]:
@@ -200,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return total
 
     # both sides count distinct texts: what is shuffled here is a text's hash and candidate numbers
-    once = (_distinct(docs, text_col).mapInArrow(found, "_h1 long, _h2 long, nums binary")
+    once = (map_texts(_distinct(docs, text_col), found, "_h1 long, _h2 long, nums binary")
             .groupBy("_h1", "_h2").agg(F.first("nums").alias("nums")).select("nums"))
     everywhere = vector_sum(once, count, k + 1)
     # a term of toxic texts only is 1 / share times as frequent among them as in all distinct
@@ -236,11 +242,14 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     empty table gives no rows.
     """
     cols = list(keep_cols if keep_cols is not None else (id_col,))
+    if "score" in cols:
+        raise ValueError("a kept column is named score, like the result: rename it first")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(model.score(*_matches(batch.column(0), model.words)))], names)
 
     names = [f"c{i}" for i in range(len(cols))] + ["score"]
     schema = "".join(f"c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(cols)) + "score double"
-    return (docs.select(whole_text(text_col).alias("_text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-            .mapInArrow(run, schema).toDF(*cols, "score"))
+    return map_texts(docs.select(whole_text(text_col).alias("_text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)]),
+                     run, schema).toDF(*cols, "score")
