@@ -34,7 +34,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 #: Rows of an Arrow batch that holds texts: bounds what a Python worker and the
 #: buffers before it hold at once.
-TEXT_ROWS = 10_000
+TEXT_ROWS = 1000
 
 
 def map_texts(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
