@@ -18,7 +18,10 @@ from ..functions import window_start
 from ..operators.strategies import (
     STATE_STORE_PREFIX, STATE_STORE_TTL_MS, WINDOW_LATENESS_MS, WINDOW_SIZE_MS, emit, state_store_writes, window_messages,
 )
-from .tables import DEFAULT_BUCKETS, VersionedTable, bucket_of, current_run
+from .tables import VersionedTable, bucket_of, current_run
+
+#: Buckets of the keyed store: what a point read divides the table by.
+STORE_BUCKETS = 64
 
 
 class TopicEmitter:
@@ -35,27 +38,35 @@ class TopicEmitter:
 class StateStoreEmitter:
     """Upsert ``latest:<vin>`` entries with a TTL into a keyed table.
 
-    Each version holds the newest entry per key; entries already expired at
-    ``now`` are dropped, so the table stays bounded by the live keys. A flush
-    upserts every live device, so every bucket is rewritten."""
+    A flush appends its entries to the buckets of their keys; all of them expire at
+    the same time, so a later flush drops them as folders, unread. A key's newest
+    entry counts."""
 
     def __init__(self, path: str, ttl_ms: int = STATE_STORE_TTL_MS, prefix: str = STATE_STORE_PREFIX,
-                 buckets: int = DEFAULT_BUCKETS):
+                 buckets: int = STORE_BUCKETS):
         self.path, self.ttl_ms, self.prefix, self.buckets = path.rstrip("/"), ttl_ms, prefix, buckets
 
     def __call__(self, snapshot: DataFrame, batch_id: int, now_ms: int) -> None:
         table = VersionedTable(snapshot.sparkSession, self.path, current_run(snapshot.sparkSession))
+        held = (table.manifest(batch_id) or {}).get("expires", {})
+        over = {v for v, at in held.items() if at <= now_ms}
         writes = state_store_writes(snapshot, self.ttl_ms, self.prefix)
-        prev = table.read(batch_id)
-        allw = writes if prev is None else prev.unionByName(writes)
-        last = allw.groupBy("key").agg(F.max_by(F.struct(*[c for c in allw.columns if c != "key"]),
-                                                F.col("produced_at")).alias("_w"))
-        live = last.select("key", "_w.*").where(F.col("expires_at") > F.lit(int(now_ms)))
-        table.write(live, batch_id, bucket_of("key", self.buckets), list(range(self.buckets)))
-
-    def view(self, spark: SparkSession, now_ms: int) -> DataFrame | None:
-        t = VersionedTable(spark, self.path).read()
-        return None if t is None else t.where(F.col("expires_at") > F.lit(int(now_ms)))
+        left = {v: at for v, at in held.items() if v not in over}
+        table.commit(writes.withColumn("bucket", bucket_of("key", self.buckets)).repartition("bucket"), batch_id,
+                     facts={"n": self.buckets, "expires": {**left, str(batch_id): int(now_ms) + self.ttl_ms}},
+                     expired={int(v) for v in over})
+
+    def view(self, spark: SparkSession, now_ms: int, key: str | None = None) -> DataFrame | None:
+        """The entries visible at ``now_ms``; with ``key`` that one, from its bucket alone."""
+        table = VersionedTable(spark, self.path)
+        m = table.manifest()
+        if m is None:
+            return None
+        own = None if key is None else [spark.range(1).select(bucket_of(F.lit(key), m["n"])).first()[0]]
+        rows = table.read(buckets=own)
+        rows = rows.where((F.col("expires_at") > F.lit(int(now_ms))) & (F.lit(True) if key is None else F.col("key") == key))
+        last = rows.groupBy("key").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "key"]), F.col("produced_at")).alias("_w"))
+        return last.select("key", "_w.*")
 
 
 class WindowStreamEmitter:
@@ -63,23 +74,28 @@ class WindowStreamEmitter:
     ``now - now % window``; per (window, vin) the last flush wins; windows with
     ``start + window + lateness <= now`` are emitted as messages ``(tick, key,
     value, window_start)`` (``produced_at = start + window``) and dropped from
-    the buffer."""
+    the buffer.
+
+    Each open window is a folder to which a flush appends its snapshot, so a flush
+    writes its snapshot and nothing else; the last flush of every device is found
+    when the window closes, and the folder goes."""
 
     def __init__(self, buffer_path: str, write_fn: Callable[[DataFrame, int], None],
-                 window_ms: int = WINDOW_SIZE_MS, lateness_ms: int = WINDOW_LATENESS_MS, buckets: int = DEFAULT_BUCKETS):
-        self.path, self.write_fn, self.buckets = buffer_path.rstrip("/"), write_fn, buckets
+                 window_ms: int = WINDOW_SIZE_MS, lateness_ms: int = WINDOW_LATENESS_MS):
+        self.path, self.write_fn = buffer_path.rstrip("/"), write_fn
         self.window_ms, self.lateness_ms = window_ms, lateness_ms
 
     def __call__(self, snapshot: DataFrame, batch_id: int, now_ms: int) -> None:
+        now, size = int(now_ms), self.window_ms
         table = VersionedTable(snapshot.sparkSession, self.path, current_run(snapshot.sparkSession))
-        cur = (snapshot.withColumn("window_start", window_start(F.lit(int(now_ms)).cast("long"), self.window_ms))
-               .withColumn("flush_ts", F.lit(int(now_ms)).cast("long")))
-        prev = table.read(batch_id)
-        buf = cur if prev is None else prev.unionByName(cur)
+        held = (table.manifest(batch_id) or {"parts": {}})["parts"]
+        closed = [int(w) for w in held if (int(w) + 1) * size + self.lateness_ms <= now]
+        rows = snapshot.withColumn("flush_ts", F.lit(now).cast("long"))
+        # emitted before the commit: a batch that fails in between is retried with the folders still there
+        done = table.read(batch_id, closed) if closed else rows.limit(0)
+        start = window_start("flush_ts", size)
         last = F.max("flush_ts").over(Window.partitionBy("window_start", "vin"))
-        buf = buf.withColumn("_last", last).where(F.col("flush_ts") == F.col("_last")).drop("_last")
-        closed = F.col("window_start") + F.lit(self.window_ms + self.lateness_ms) <= F.lit(int(now_ms))
-        table.write(buf.where(~closed), batch_id, bucket_of("vin", self.buckets), list(range(self.buckets)))
-        out = (buf.where(closed).withColumn("produced_at", F.col("window_start") + F.lit(self.window_ms))
-               .withColumn("emit_tick", F.lit(int(now_ms)).cast("long")))
+        out = (done.withColumn("window_start", start).withColumn("_last", last).where(F.col("flush_ts") == F.col("_last")).drop("_last")
+               .withColumn("produced_at", F.col("window_start") + F.lit(size)).withColumn("emit_tick", F.lit(now).cast("long")))
         self.write_fn(window_messages(out), batch_id)
+        table.commit(rows.withColumn("bucket", F.lit(now // size)), batch_id, dropped=closed)

@@ -1,16 +1,23 @@
 """T1/T2/T3 — latest-value state across micro-batches.
 
-Each micro-batch is a flush: ``foreachBatch`` reads the state buckets that the
-batch touches (and, with a TTL, those that hold a device due to expire), merges
-the batch (A3), refreshes ``last_seen`` of every device the batch touched,
-evicts devices idle for more than ``ttl_ms`` (strict), and commits those buckets
-as version *k*. A retried batch rewrites the same version. The full snapshot is
-only read when an emission strategy is set. The kernels are the same JVM-only
-DataFrame code as batch.
+Each micro-batch is a flush. ``foreachBatch`` reduces the batch to one row per
+(device, sensor) and appends these rows to the state's buckets as version *k*:
+what a flush writes follows its batch, and it reads no state. The live state is
+merged when it is read: the greatest (received_at, seq) per sensor, among the rows
+of the device's last incarnation. Every row carries the flush that wrote it
+(``last_seen``) and the flush before that (``prior``), and that is enough for
+eviction: a device was dropped between two of its rows if the later row's prior
+flush came more than ``ttl_ms`` after the earlier row (some flush saw it idle for
+too long), and it is dropped now if the newest flush did.
+
+A bucket whose appended parts outweigh its base is folded at the next flush: its
+merged live rows replace it. A bucket without a row for longer than the TTL is
+dropped unread. When buckets grow beyond ``SPLIT_BYTES`` on average, their number
+is doubled by one full fold. A retried batch rewrites the same version.
 
 State rows: ``(vin, sensor, <carry>, received_at, seq, last_seen)``; a device
 with no stored sensor keeps one row with ``sensor`` NULL. See ``tables`` for
-the layout.
+the layout. The kernels are the same JVM-only DataFrame code as batch.
 """
 
 from __future__ import annotations
@@ -23,28 +30,50 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import fixed_width, order_key, winner_aggs
 from ..operators.strategies import emit
-from .tables import DEFAULT_BUCKETS, VersionedTable, bucket_of, current_run
+from . import tables
+from .tables import DEFAULT_BUCKETS, VersionedTable, bucket_of, current_run, outgrown
+
+_FACTS = {"last_seen", "prior"}
 
 
 def read_state(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame | None:
-    """The newest committed state (optionally older than version ``before``)."""
-    return VersionedTable(spark, state_path).read(before)
+    """The live rows of the newest committed state (optionally older than version ``before``)."""
+    return _live(VersionedTable(spark, state_path), before)
 
 
-def merge_state(prev: DataFrame | None, batch: DataFrame, now_ms: int, ttl_ms: int | None,
-                carry: tuple[str, ...] = ("value",)) -> DataFrame:
-    """One flush: prev ⊕ batch, then eviction. ``batch`` is long form with
-    optional NULL-sensor rows (device refresh only).
+def _live(table: VersionedTable, before: int | None = None) -> DataFrame | None:
+    m = table.manifest(before)
+    if m is None:
+        return None
+    rows = table.read(before)
+    return merge_rows(rows, m["now"], m["ttl"], _carry(rows))
+
+
+def _carry(rows: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in rows.columns if c not in {"vin", "sensor", "received_at", "seq"} | _FACTS)
+
 
-    One aggregation per (vin, sensor), combined map-side, gives the winner and
-    the last time seen; one window per device, over a row per sensor, spreads
-    the latter and drops idle devices.
+def _last_incarnation(rows: DataFrame, ttl_ms: int) -> DataFrame:
+    """Rows since the device was last dropped, told by the flushes that its rows name."""
+    flushes = Window.partitionBy("vin").orderBy("last_seen")
+    before = F.max("last_seen").over(flushes.rangeBetween(Window.unboundedPreceding, -1))
+    starts = rows.withColumn("_start", F.when(F.col("prior") - before > F.lit(int(ttl_ms)), F.col("last_seen")))
+    first = F.coalesce(F.max("_start").over(Window.partitionBy("vin")), F.col("last_seen"))
+    return starts.withColumn("_first", first).where(F.col("last_seen") >= F.col("_first")).drop("_start", "_first")
+
+
+def merge_rows(rows: DataFrame, now_ms: int, ttl_ms: int | None, carry: tuple[str, ...] = ("value",),
+               buckets: int | None = None) -> DataFrame:
+    """The live rows among appended ones (``last_seen`` and, with a TTL, ``prior`` given).
+
+    One aggregation per (vin, sensor), combined map-side, gives the winner and the last
+    time seen; one window per device, over a row per sensor, spreads the latter and drops
+    idle devices. With ``buckets`` the result has a column ``bucket`` and lies together by
+    it: the window and a bucketed write then need no further shuffle.
     """
     cols = ["vin", "sensor", *carry, "received_at", "seq"]
-    rows = (batch.where(F.col("vin").isNotNull() & (F.col("vin") != ""))
-            .select(*cols, F.lit(int(now_ms)).cast("long").alias("last_seen")))
-    if prev is not None:
-        rows = prev.select(*cols, "last_seen").unionByName(rows)
+    if ttl_ms is not None and "prior" in rows.columns:
+        rows = _last_incarnation(rows, ttl_ms)
     stored = F.col("sensor").isNotNull() & (F.col("received_at") >= 0)
     seen, own = F.max("last_seen").alias("last_seen"), [*carry, "received_at", "seq"]
     if fixed_width(rows, own):
@@ -55,14 +84,31 @@ def merge_state(prev: DataFrame | None, batch: DataFrame, now_ms: int, ttl_ms: i
         winner = F.max_by(F.when(stored, F.struct(*own)), F.when(stored, F.struct("received_at", "seq")))
         merged = (rows.groupBy("vin", "sensor").agg(winner.alias("_w"), seen)
                   .select("vin", "sensor", "_w.*", "last_seen", F.col("_w").isNotNull().alias("_has")))
-    device = Window.partitionBy("vin")
+    device, out = Window.partitionBy("vin"), [*cols, "last_seen"]
+    if buckets is not None:
+        merged, device, out = merged.withColumn("bucket", bucket_of("vin", buckets)).repartition("bucket"), Window.partitionBy("bucket", "vin"), [*out, "bucket"]
     merged = (merged.withColumn("last_seen", F.max("last_seen").over(device))
               .withColumn("_rank", F.row_number().over(device.orderBy(F.col("_has").desc(), "sensor")))
               .where(F.col("_has") | (F.col("_rank") == 1))
               .withColumn("sensor", F.when(F.col("_has"), F.col("sensor"))))
     if ttl_ms is not None:
         merged = merged.where(F.lit(int(now_ms)) - F.col("last_seen") <= F.lit(int(ttl_ms)))
-    return merged.select(*cols, "last_seen")
+    return merged.select(*out)
+
+
+def _batch_rows(batch: DataFrame, now_ms: int, carry: tuple[str, ...]) -> DataFrame:
+    return (batch.where(F.col("vin").isNotNull() & (F.col("vin") != ""))
+            .select("vin", "sensor", *carry, "received_at", "seq", F.lit(int(now_ms)).cast("long").alias("last_seen")))
+
+
+def merge_state(prev: DataFrame | None, batch: DataFrame, now_ms: int, ttl_ms: int | None,
+                carry: tuple[str, ...] = ("value",)) -> DataFrame:
+    """One flush over live rows: prev ⊕ batch, then eviction. ``batch`` is long form with
+    optional NULL-sensor rows (device refresh only)."""
+    rows = _batch_rows(batch, now_ms, carry)
+    if prev is not None:
+        rows = prev.select(*rows.columns).unionByName(rows)
+    return merge_rows(rows, now_ms, ttl_ms, carry)
 
 
 class LatestStateBatch:
@@ -93,30 +139,13 @@ class LatestStateBatch:
         began = time.monotonic()
         spark = batch.sparkSession
         now = self.clock()
-        bucket = bucket_of("vin", self.buckets)
         table = VersionedTable(spark, self.state_path, current_run(spark))
-        before = table.manifest(batch_id) or {}
-        batch = batch.persist()
-        try:
-            touched = {r[0] for r in batch.where("vin IS NOT NULL AND vin <> ''").select(bucket).distinct().collect()}
-            oldest = {int(b): seen for b, seen in before.get("oldest", {}).items()}
-            if self.ttl_ms is not None:
-                touched |= {b for b, seen in oldest.items() if now - seen > self.ttl_ms}
-            touched = sorted(touched)
-            state = merge_state(table.read(batch_id, touched), batch, now, self.ttl_ms, self.carry)
-            if self.ttl_ms is not None:
-                state = state.persist()
-                oldest = {b: seen for b, seen in oldest.items() if b not in set(touched)}
-                oldest.update({r.b: r.seen for r in state.groupBy(bucket.alias("b")).agg(F.min("last_seen").alias("seen")).collect()})
-            table.write(state, batch_id, bucket, touched, {"oldest": oldest})
-            state.unpersist()
-        finally:
-            batch.unpersist()
+        self._append(table, batch, batch_id, now)
         emits = self.emitter is not None or (self.strategy is not None and self.emit_fn is not None)
         if not emits and self.stats_fn is None:
             return
         # every live device, also those without stored sensors (sensor NULL row)
-        snap = (table.read().select("vin", "sensor", *self.carry, "received_at", "seq")
+        snap = (_live(table).select("vin", "sensor", *self.carry, "received_at", "seq")
                 .withColumn("tick", F.lit(int(now)).cast("long")))
         if self.emitter is not None:
             self.emitter(snap, batch_id, now)
@@ -129,6 +158,34 @@ class LatestStateBatch:
                            "value_count": values, "message_count": -(-devices // size)})
 
 
+    def _append(self, table: VersionedTable, batch: DataFrame, batch_id: int, now: int) -> None:
+        """Commits the batch as version ``batch_id``; folds and drops buckets that are due."""
+        m = table.manifest(batch_id) or {"parts": {}, "buckets": {}, "n": self.buckets, "now": None, "times": {}}
+        n, parts = m["n"], m["parts"]
+        total = sum(size for p in parts.values() for _, size in p)
+        split = total > tables.SPLIT_BYTES * n
+        # the last flush has dropped all that these hold
+        idle = [] if self.ttl_ms is None else [int(b) for b, v in m["buckets"].items() if m["now"] - m["times"][str(v)] > self.ttl_ms]
+        fold = sorted(int(b) for b, p in parts.items() if int(b) not in idle and (split or outgrown(p)))
+        n = 2 * n if split else n
+        prior = F.lit(m["now"]).cast("long").alias("prior")
+        batch = batch.persist() if fold else batch
+        try:
+            delta = merge_rows(_batch_rows(batch, now, self.carry), now, None, self.carry, n)
+            out = delta.select("*", prior)
+            if fold:
+                own = out if split else out.where(F.col("bucket").isin(fold))
+                rows = table.read(batch_id, fold).unionByName(own.drop("bucket"))
+                folded = merge_rows(rows, now, self.ttl_ms, self.carry, n).withColumn("prior", F.lit(None).cast("long"))
+                out = folded if split else out.where(~F.col("bucket").isin(fold)).unionByName(folded)
+            times = {str(v): m["times"][str(v)] for v in m["buckets"].values()}
+            table.commit(out, batch_id, None if split else fold,
+                         {"n": n, "now": now, "ttl": self.ttl_ms, "times": {**times, str(batch_id): now}}, dropped=idle)
+        finally:
+            if fold:
+                batch.unpersist()
+
+
 def start_latest_state(stream: DataFrame, state_path: str, checkpoint_location: str,
                        trigger: dict | None = None, query_name: str | None = None, **kw):
     """Start the job; ``trigger`` e.g. ``{"processingTime": "30 seconds"}`` (the
