@@ -9,6 +9,8 @@ type — which no fixed StructType can hold.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,17 +29,19 @@ def _is_int_or_absent(t: Column) -> Column:
     return t.isNull() | t.isin("VOID", "TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
-def parsed(raw) -> Column:
-    """VARIANT of a message body (string or binary); NULL unless it is exactly one JSON document.
+def with_body(messages: DataFrame, raw: str = "value", name: str = "_v") -> DataFrame:
+    """Adds the VARIANT of a message body (string or binary); NULL unless it is exactly one JSON document.
 
-    ``try_parse_json`` ignores what follows the first document. A body is one
-    document if it makes an array of one element, and of two with another one
-    after it: text that closes the array early cannot give both lengths.
+    A parse alone ignores what follows the first document. So the body is parsed once,
+    as the first element of an array whose second one is a marker made up for this
+    call: only one whole document leaves an array of exactly these two.
     """
-    text = col(raw).cast("string")
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
-    return F.when((alone == 1) & (followed == 2), F.try_parse_json(text))
+    marker = uuid.uuid4().hex
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col(raw).cast("string"), F.lit(f',"{marker}"]')))
+    alone = ((F.try_variant_get("_whole", "$[1]", "string") == marker)
+             & F.try_variant_get("_whole", "$[2]", "variant").isNull())
+    return (messages.withColumn("_whole", whole)
+            .withColumn(name, F.when(alone, F.try_variant_get("_whole", "$[0]", "variant"))).drop("_whole"))
 
 
 _ENVELOPE = "struct<_flush:variant,num_of_data:variant,produced_at:variant,data:variant>"
@@ -53,8 +57,7 @@ def with_envelope(messages: DataFrame, raw: str = "value") -> DataFrame:
     optimizer does not collapse projections that would repeat them), and only
     small scalars are ever passed to ``schema_of_variant``.
     """
-    a = messages.withColumn("_v", parsed(raw))
-    b = a.withColumn("_env", F.try_variant_get("_v", "$", _ENVELOPE))
+    b = with_body(messages, raw).withColumn("_env", F.try_variant_get("_v", "$", _ENVELOPE))
     c = b.withColumn("_dmap", F.try_variant_get(F.col("_env.data"), "$", "map<string,variant>"))
     return c.withColumn("_sensors", F.transform(
         F.map_entries(F.map_filter("_dmap", lambda k, v: k != "id")), lambda e: F.struct(
@@ -199,7 +202,7 @@ def decode_batched(messages: DataFrame, raw: str = "payload", keep: tuple[str, .
     """Batched payloads (A5) -> long form ``(keep, num_of_data, pos, vin, sensor, value,
     received_at, produced_at)``, ``pos`` the device's place in the message. A
     device without sensors yields one row with ``sensor`` NULL."""
-    env = messages.select(*keep, F.try_variant_get(parsed(raw), "$", _ENVELOPE).alias("_env"))
+    env = with_body(messages.select(*keep, raw), raw).select(*keep, F.try_variant_get("_v", "$", _ENVELOPE).alias("_env"))
     devices = env.select(*keep, F.try_variant_get("_env.num_of_data", "$", "bigint").alias("num_of_data"),
                          F.try_variant_get("_env.produced_at", "$", "bigint").alias("produced_at"),
                          F.posexplode(F.try_variant_get("_env.data", "$", "array<map<string,variant>>")).alias("pos", "_d"))

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.messages import parsed
+from ..operators.messages import with_body
 
 _FIELDS = ["resource_id", "resource_name", "operation", "state"]
 
@@ -28,13 +28,12 @@ def read_resource_entries(spark: SparkSession, path: str, wrapped: bool = True)
     are a few hundred entries.
     """
     text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    v = parsed("value")
     entry = "struct<" + ",".join(f"{f}:variant" for f in [*_FIELDS, "description"]) + ">"
-    arr = F.try_variant_get(v, "$.resource_matrix" if wrapped else "$", f"array<{entry}>")
+    arr = F.try_variant_get("_v", "$.resource_matrix" if wrapped else "$", f"array<{entry}>")
     texts = F.forall(arr, lambda e: e.isNotNull() & reduce(
         lambda a, b: a & b, [e[f].isNull() | F.schema_of_variant(e[f]).isin("STRING", "VOID") for f in _FIELDS]))
     bad = arr.isNull() | (F.size(arr) == 0) | ~F.coalesce(texts, F.lit(False))
-    checked = text.select("file", F.when(bad, F.raise_error(F.concat(F.lit("not a resource dictionary: "), F.col("file"))))
+    checked = with_body(text).select("file", F.when(bad, F.raise_error(F.concat(F.lit("not a resource dictionary: "), F.col("file"))))
                           .otherwise(arr).alias("_arr"))
     ex = checked.select("file", F.posexplode("_arr").alias("_i", "e"))
     return ex.select(F.struct("file", F.col("_i").alias("index")).alias("pos"),
