@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ceil_div, col, window_start
+from .asof import count_before
 from .messages import encode_payload, sensor_entry
-from .rollup import batched_payloads
+from .rollup import batched_payloads, global_index
 
 StrategyFn = Callable[..., DataFrame]
 
@@ -109,10 +110,9 @@ def window_last_flush(snapshot: DataFrame, period_ms: int | None = None, t_end:
     if period_ms is not None:
         s = s.withColumn("emit_tick", ceil_div(closes, period_ms) * period_ms)
     else:
-        # one row: the flush ticks, as many as there were flushes
-        ticks = snapshot.agg(F.collect_set("tick").alias("_ticks"))
-        s = (s.crossJoin(F.broadcast(ticks)).withColumn("_closes", closes)
-             .withColumn("emit_tick", F.array_min(F.filter("_ticks", lambda t: t >= F.col("_closes")))).drop("_ticks", "_closes"))
+        ticks = global_index(snapshot.select(F.col("tick").alias("_flush")).distinct(), ["_flush"], index_col="_before")
+        s = (count_before(s.withColumn("_closes", closes), "_closes", ticks, "_flush", "_before")
+             .join(ticks.withColumnRenamed("_flush", "emit_tick"), "_before", "left").drop("_before", "_closes"))
     return s.where(F.col("emit_tick").isNotNull() if t_end is None else F.col("emit_tick") <= F.lit(int(t_end)))
 
 

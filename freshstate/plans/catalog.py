@@ -865,6 +865,34 @@ def q_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
+TRIGGER_TTL_MS = 3 * tv.HOUR_MS          # idle devices are gone after three hours
+
+
+@register("flush_on_trigger", sql("""flushes AS (
+  SELECT row_number() OVER (ORDER BY seq) AS flush, seq, arr AS tick FROM tel WHERE seq % 14 IN (0, 1))""", """sent AS (
+  SELECT *, lag(arr) OVER w AS prev, lag(seq) OVER w AS prev_seq FROM tel WHERE seq % 14 IN (7, 9) WINDOW w AS (PARTITION BY vin ORDER BY seq))""",
+                                  f"""dropped AS (
+  SELECT DISTINCT s.seq FROM sent s JOIN flushes f ON f.seq > s.prev_seq AND f.seq < s.seq AND f.tick - s.prev > {TRIGGER_TTL_MS})""",
+                                  """incs AS (
+  SELECT s.*, count(d.seq) OVER (PARTITION BY s.vin ORDER BY s.seq) AS inc FROM sent s LEFT JOIN dropped d USING (seq))""",
+                                  f"""lives AS (
+  SELECT f.flush, f.tick, f.seq AS at, i.vin, arg_max(i.inc, i.seq) AS inc, max(i.arr) AS seen
+  FROM flushes f JOIN incs i ON i.seq < f.seq GROUP BY ALL HAVING f.tick - max(i.arr) <= {TRIGGER_TTL_MS})""", select="""
+SELECT flush, tick, vin, sensor, value, received_at, seq FROM (
+  SELECT l.flush, l.tick, l.vin, i.resource_id AS sensor, i.value, i.received_at, i.seq,
+         row_number() OVER (PARTITION BY l.flush, l.vin, i.resource_id ORDER BY i.received_at DESC, i.seq DESC) AS rn
+  FROM lives l JOIN incs i ON i.vin = l.vin AND i.inc = l.inc AND i.seq < l.at WHERE i.received_at >= 0) WHERE rn = 1"""))
+def q_flush_on_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 / P1 with the flushes that the message stream itself asks for: raw messages are
+    routed, `_flush` messages are the ticks, telemetry between them is decoded."""
+    from ..operators.snapshot import snapshots_on
+    from .derived import raw_messages
+    msgs = raw_messages(tv.telemetry(spark, sf_dir), ("arr",))
+    ticks = messages.with_route(msgs).where(F.col("route") == messages.ROUTE_FLUSH).select("seq", F.col("arr").alias("at"))
+    rows = messages.decode_payloads(msgs, with_device_rows=True).withColumn("value", F.try_variant_get("value", "$", "double"))
+    return snapshots_on(rows, ticks, TRIGGER_TTL_MS)
+
+
 @register("etl_payloads", sql(f"""lines AS (
   SELECT vin, resource_id, seq, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS value,
          CASE seq % 9 WHEN 2 THEN {NOW_MS} WHEN 4 THEN {NOW_MS} WHEN 3 THEN 9223372036854775807
