@@ -916,3 +916,37 @@ def q_etl_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = messages.decode_payloads(msgs, raw="value", keep=("key", "n_sensors"))
     return out.select("key", "n_sensors", "sensor", F.try_variant_get("value", "$", "string").alias("value"),
                       "received_at", "produced_at")
+
+
+@register("stream_etl", sql(f"""lines AS (
+  SELECT vin, resource_id, seq, {SLICE_SQL} AS slice, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS value,
+         CASE WHEN seq % 9 IN (2, 4) THEN NULL WHEN seq % 9 = 3 THEN 9223372036854775807 ELSE received_at END AS received_at
+  FROM tel WHERE seq % 9 NOT IN (0, 5))""", f"""named AS (
+  SELECT l.vin, d.resource_name AS sensor, l.value, l.slice, l.seq, coalesce(l.received_at, {NOW_MS} + l.slice * 1000) AS received_at
+  FROM lines l JOIN sensor_dict d ON l.resource_id = d.resource_id)""", """newest AS (SELECT vin, max(slice) AS slice FROM named GROUP BY vin)""",
+                            """last AS (
+  SELECT vin, sensor, value, received_at, slice FROM (
+    SELECT n.*, row_number() OVER (PARTITION BY vin, sensor ORDER BY seq DESC) AS rn FROM named n JOIN newest USING (vin, slice))
+  WHERE rn = 1)""", select=f"""
+SELECT vin AS key, slice AS epoch, sensor, value, received_at, {NOW_MS} + slice * 1000 AS produced_at FROM last"""))
+def q_stream_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ETL half as a stream: reading files arrive in four lots, each a micro-batch after
+    a restart; every lot's last values go to a compacted topic, whose last message of
+    each device is decoded."""
+    from ..session import scratch_path
+    from ..streaming.etl import line_stream, start_etl
+    from ..streaming.keyed_topic import _EPOCH_BITS, CompactedTopic
+    from .derived import reading_lines
+    path, ckpt = scratch_path(spark, "etl_lines"), scratch_path(spark, "etl_ckpt")
+    topic, clock = CompactedTopic(scratch_path(spark, "etl_topic")), iter(range(NOW_MS, NOW_MS + 1_000_000, 1000))
+    tel = tv.telemetry(spark, sf_dir)
+    top = tel.agg(F.max("seq")).first()[0]
+    for i in range(SLICES):
+        part = tel if top is None else tel.where(F.expr(f"(seq * {SLICES}) div {top + 1}") == i)
+        # lines in arrival order by path; the files of a lot sort after those of the lot before
+        (reading_lines(part).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "seq").sortWithinPartitions("seq")
+         .select("value").write.text(f"{path}/lot={i}"))
+        start_etl(line_stream(spark, f"{path}/lot=*"), tv.sensor_dictionary(spark), topic.publish, ckpt, clock=lambda: next(clock)).awaitTermination()
+    held = topic.latest(spark).withColumn("epoch", F.shiftright("offset", _EPOCH_BITS))
+    out = messages.decode_payloads(held, raw="value", keep=("key", "epoch"))
+    return out.select("key", "epoch", "sensor", F.try_variant_get("value", "$", "string").alias("value"), "received_at", "produced_at")

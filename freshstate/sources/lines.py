@@ -39,11 +39,11 @@ def parse_lines(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...]
     return df.select(*keep, *out)
 
 
-def _located(raw: DataFrame) -> DataFrame:
+def located(raw: DataFrame, file: str = "_metadata.file_path", block: str = "_metadata.file_block_start") -> DataFrame:
     """Lines with ``line_pos``: file path, block start and ordinal order them as the
     files do (an ordinal rises within a block, which one task reads from its start)."""
     return raw.select(F.col("value"), F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col(file).alias("file"), F.col(block).alias("block"),
         F.monotonically_increasing_id().alias("ordinal")).alias("line_pos"))
 
 
@@ -63,7 +63,7 @@ def read_reading_lines(spark: SparkSession, paths: str | list[str], max_lines: i
     which blocks are needed, and only their rows are numbered.
     """
     def rows(files) -> DataFrame:
-        return parse_lines(_located(spark.read.text(files)), keep=("line_pos",), strict_line_length=strict_line_length)
+        return parse_lines(located(spark.read.text(files)), keep=("line_pos",), strict_line_length=strict_line_length)
 
     if max_lines is None:
         return rows(paths)

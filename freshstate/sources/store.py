@@ -27,11 +27,13 @@ from __future__ import annotations
 import importlib
 import time
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql.datasource import (
-    DataSource, DataSourceReader, DataSourceStreamReader, InputPartition,
+    DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
+    LessThanOrEqual,
 )
 
 SCHEMA = ("_time timestamp, _value string, _field string, vincode string, vin string, "
@@ -104,13 +106,47 @@ def _now() -> int:
     return int(time.time() * 1000)
 
 
+def _millis(t: datetime, up: bool = False) -> int:
+    """Epoch ms at or before ``t`` (at or after it with ``up``); UTC if it names no zone."""
+    since = (t if t.tzinfo else t.replace(tzinfo=timezone.utc)) - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return -(-since // timedelta(milliseconds=1)) if up else since // timedelta(milliseconds=1)
+
+
 class TelemetryStoreReader(DataSourceReader):
+    """Filters on the pod, the time and the measurement narrow what is fetched: pods that
+    are not asked for and chunks wholly outside the time range have no partition.
+    Chunks stay whole, so Spark evaluates the time filters again on their rows."""
+
     def __init__(self, options):
         self.o = _Opts(options)
         self.start = int(self.o.options.get("start_ms", _now() - self.o.lookback))
+        self.lo, self.hi = self.start, self.start + self.o.lookback
+
+    def pushFilters(self, filters):
+        for f in filters:
+            name = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
+            if name == "pod" and isinstance(f, (EqualTo, In)):
+                asked = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.o.pods = [p for p in self.o.pods if p in asked]
+                continue
+            if name == "_measurement" and isinstance(f, (EqualTo, In)):
+                if self.o.measurement not in ([f.value] if isinstance(f, EqualTo) else f.value):
+                    self.o.pods = []
+                continue
+            if name == "_time" and isinstance(getattr(f, "value", None), datetime):
+                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                    self.lo = max(self.lo, _millis(f.value))
+                if isinstance(f, LessThan):
+                    self.hi = min(self.hi, _millis(f.value, up=True))
+                if isinstance(f, (LessThanOrEqual, EqualTo)):
+                    self.hi = min(self.hi, _millis(f.value) + 1)
+            yield f
 
     def partitions(self):
-        return self.o.partitions(self.start, self.start + self.o.lookback)
+        # whole chunks of the range's own grid that overlap what is asked for
+        first = self.start + (self.lo - self.start) // self.o.chunk * self.o.chunk
+        last = self.start - (self.start - self.hi) // self.o.chunk * self.o.chunk
+        return self.o.partitions(first, min(last, self.start + self.o.lookback))
 
     def read(self, partition):
         yield from _batches(self.o.fetch, partition, self.o.measurement, self.o.options)
@@ -159,4 +195,6 @@ class TelemetryStoreDataSource(DataSource):
 
 
 def register(spark) -> None:
+    """Makes the connector known to the session, and lets filters reach it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TelemetryStoreDataSource)

@@ -77,6 +77,40 @@ def test_batch_read(spark, scratch):
     assert {r.vincode[0] for r in norm} == {"V", "W"}   # empty vincode falls back to vin
 
 
+def test_filters_narrow_what_is_fetched(spark, scratch):
+    """Pods and chunks outside the filters have no partition; rows are those of a filter after the scan."""
+    path = scratch("store")
+    src = make_store(spark, path)
+    store.register(spark)
+
+    def read():
+        return (spark.read.format("telemetry_store").option("store_path", path).option("fetch", FETCH).option("pods", "0,1,2")
+                .option("start_ms", BASE + 1_000).option("lookback_ms", 90_000).option("chunk_ms", 10_000).load())
+    lo, hi = BASE + 23_250, BASE + 41_000
+    t = F.unix_millis("_time")
+    df = read().where((F.col("pod") == "1") & (F.col("_time") >= F.timestamp_millis(F.lit(lo))) & (F.col("_time") < F.timestamp_millis(F.lit(hi))))
+    got = sorted(int(r._value) for r in df.collect())
+    assert got == sorted(int(r._value) for r in src.where((F.col("pod") == "1") & F.col("_time_ms").between(lo, hi - 1)).collect()) and got
+    assert got == sorted(int(r._value) for r in read().where(F.concat("pod", F.lit("")) == "1").where(t.between(lo, hi - 1)).collect())
+    assert df.rdd.getNumPartitions() == 2            # chunks from 21 s and from 31 s on of one pod
+    assert read().where(F.col("pod").isin("0", "2", "9")).rdd.getNumPartitions() == 18
+    assert read().where("_measurement = 'other'").count() == 0
+
+
+def test_pushed_filters_pick_chunks():
+    from datetime import datetime, timedelta, timezone
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThanOrEqual
+    o = {"pods": "a,b,c", "fetch": FETCH, "start_ms": "5000", "lookback_ms": "20000", "chunk_ms": "2000"}
+    at = lambda ms: datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=ms)
+    r = store.TelemetryStoreReader(o)
+    time = [GreaterThan(("_time",), at(8_999)), LessThanOrEqual(("_time",), at(11_000))]
+    assert list(r.pushFilters([In(("pod",), ("a", "c")), *time])) == time     # pods are settled, times are checked again
+    assert [(p.pod, p.lo, p.hi) for p in r.partitions()] == [(p, lo, lo + 2_000) for p in "ac" for lo in (7_000, 9_000, 11_000)]
+    none = store.TelemetryStoreReader(o)
+    list(none.pushFilters([EqualTo(("_time",), at(99_000))]))
+    assert none.partitions() == []
+
+
 def test_stream_cycles_contiguous(spark, scratch):
     path = scratch("store")
     make_store(spark, path)
