@@ -149,7 +149,8 @@ class TelemetryStoreReader(DataSourceReader):
         return self.o.partitions(first, min(last, self.start + self.o.lookback))
 
     def read(self, partition):
-        yield from _batches(self.o.fetch, partition, self.o.measurement, self.o.options)
+        if partition is not None:  # Spark reads once without a partition where there is none
+            yield from _batches(self.o.fetch, partition, self.o.measurement, self.o.options)
 
 
 class TelemetryStoreStreamReader(DataSourceStreamReader):
