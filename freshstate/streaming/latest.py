@@ -111,11 +111,23 @@ def merge_state(prev: DataFrame | None, batch: DataFrame, now_ms: int, ttl_ms: i
     return merge_rows(rows, now_ms, ttl_ms, carry)
 
 
+def bootstrap_state(rows: DataFrame, state_path: str, now_ms: int, ttl_ms: int | None = None, carry: tuple[str, ...] = ("value",),
+                    buckets: int = DEFAULT_BUCKETS) -> None:
+    """T5 in bulk: all of a topic's rows (long form) become a state in one batch job, as one
+    flush at ``now_ms`` would make it. Hand its path to a new stream (``bootstrap``) that starts
+    after the rows read here."""
+    table = VersionedTable(rows.sparkSession, state_path, "bootstrap")
+    state = merge_rows(_batch_rows(rows, now_ms, carry), now_ms, ttl_ms, carry, buckets).withColumn("prior", F.lit(None).cast("long"))
+    table.commit(state, 0, None, {"n": buckets, "now": int(now_ms), "ttl": ttl_ms, "times": {"0": int(now_ms)}})
+
+
 class LatestStateBatch:
     """The ``foreachBatch`` function of the latest-state job.
 
     ``stats_fn`` gets one dict per flush (A7): batch, duration_ms, vin_count,
     value_count and message_count (devices over the strategy's ``batch_size``).
+    ``bootstrap``: the path of a state (``bootstrap_state``) that the first batch of
+    a new run starts from.
     """
 
     def __init__(self, state_path: str, ttl_ms: int | None = None, carry: tuple[str, ...] = ("value",),
@@ -123,7 +135,8 @@ class LatestStateBatch:
                  emit_fn: Callable[[DataFrame, int], None] | None = None,
                  clock: Callable[[], int] | None = None,
                  emitter: Callable[[DataFrame, int, int], None] | None = None,
-                 buckets: int = DEFAULT_BUCKETS, stats_fn: Callable[[dict], None] | None = None):
+                 buckets: int = DEFAULT_BUCKETS, stats_fn: Callable[[dict], None] | None = None,
+                 bootstrap: str | None = None):
         self.state_path = state_path.rstrip("/")
         self.ttl_ms = ttl_ms
         self.carry = carry
@@ -134,6 +147,7 @@ class LatestStateBatch:
         self.emitter = emitter
         self.buckets = buckets
         self.stats_fn = stats_fn
+        self.bootstrap = bootstrap
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         began = time.monotonic()
@@ -147,6 +161,8 @@ class LatestStateBatch:
         # every live device, also those without stored sensors (sensor NULL row)
         snap = (_live(table).select("vin", "sensor", *self.carry, "received_at", "seq")
                 .withColumn("tick", F.lit(int(now)).cast("long")))
+        if emits and self.stats_fn is not None:
+            snap = snap.persist()      # read once for both
         if self.emitter is not None:
             self.emitter(snap, batch_id, now)
         elif emits:
@@ -156,11 +172,14 @@ class LatestStateBatch:
             size = max(1, int(self.strategy_options.get("batch_size", getattr(self.emitter, "options", {}).get("batch_size", 1))))
             self.stats_fn({"batch": batch_id, "duration_ms": int((time.monotonic() - began) * 1000), "vin_count": devices,
                            "value_count": values, "message_count": -(-devices // size)})
+        snap.unpersist()
 
 
     def _append(self, table: VersionedTable, batch: DataFrame, batch_id: int, now: int) -> None:
         """Commits the batch as version ``batch_id``; folds and drops buckets that are due."""
         m = table.manifest(batch_id) or {"parts": {}, "buckets": {}, "n": self.buckets, "now": None, "times": {}}
+        base = VersionedTable(table.spark, self.bootstrap) if self.bootstrap and not m["parts"] and m["now"] is None else None
+        m["now"] = base.manifest()["now"] if base else m["now"]
         n, parts = m["n"], m["parts"]
         total = sum(size for p in parts.values() for _, size in p)
         split = total > tables.SPLIT_BYTES * n
@@ -173,6 +192,9 @@ class LatestStateBatch:
         try:
             delta = merge_rows(_batch_rows(batch, now, self.carry), now, None, self.carry, n)
             out = delta.select("*", prior)
+            if base:  # the state before the stream, and the batch upon it
+                start = merge_rows(base.read().unionByName(out.drop("bucket")), now, self.ttl_ms, self.carry, n)
+                out = start.withColumn("prior", F.lit(None).cast("long"))
             if fold:
                 own = out if split else out.where(F.col("bucket").isin(fold))
                 rows = table.read(batch_id, fold).unionByName(own.drop("bucket"))

@@ -23,7 +23,13 @@ def observe_routes(routed: DataFrame, name: str = "route_counts") -> DataFrame:
 
 
 class MetricsCollector(StreamingQueryListener):
-    """Keeps the observed metrics of each progress event (small dicts)."""
+    """Keeps the observed metrics of each progress event (small dicts), and in ``late_rows``
+    how many rows the event-time windows (W2) left out as later than the watermark. Rows
+    are counted after the map-side combine: late readings of one window and sensor in a task are one."""
+
+    @property
+    def late_rows(self) -> int:
+        return sum(e["late_rows"] for e in self.events)
 
     def __init__(self):
         self.events: list[dict] = []
@@ -34,6 +40,7 @@ class MetricsCollector(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         self.events.append({"batch_id": p.batchId, "input_rows": p.numInputRows,
+                            "late_rows": sum(op.numRowsDroppedByWatermark for op in p.stateOperators),
                             "metrics": {k: v.asDict() for k, v in (p.observedMetrics or {}).items()}})
 
     def onQueryIdle(self, event):

@@ -9,12 +9,14 @@ the topic are routed away; error and skip messages are counted with
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import epoch_millis
 from ..operators.messages import decode_payloads
-from .latest import start_latest_state
+from .latest import bootstrap_state, start_latest_state
 from .stats import observe_routes
 
 
@@ -36,6 +38,36 @@ def decoded_topic(records: DataFrame, carry_variant: bool = True, observe: str |
     return long.select("vin", "sensor", "value", "received_at", "seq", "arr")
 
 
+def end_offsets(records: DataFrame) -> dict[int, int]:
+    """The offset after the last record of each partition (a number per partition)."""
+    return {r["partition"]: r["o"] + 1 for r in records.groupBy("partition").agg(F.max("offset").alias("o")).collect()}
+
+
+def starting_offsets(topic: str, ends: dict[int, int]) -> str:
+    """``ends`` as a topic source's ``startingOffsets`` option."""
+    return json.dumps({topic: {str(p): o for p, o in sorted(ends.items())}})
+
+
+def records_from(records: DataFrame, ends: dict[int, int]) -> DataFrame:
+    """The records at or after ``ends``, for sources without starting offsets."""
+    start = F.coalesce(F.create_map(*[x for p, o in ends.items() for x in (F.lit(p), F.lit(o))])[F.col("partition")], F.lit(0)) if ends else F.lit(0)
+    return records.where(F.col("offset") >= start)
+
+
+def bootstrap_merge(records: DataFrame, state_path: str, now_ms: int, **kw) -> dict[int, int]:
+    """T5: replays all ``records`` of a topic (batch) into a state in one job and returns
+    the offsets where a stream with ``bootstrap=state_path`` goes on."""
+    ends = end_offsets(records)
+    bootstrap_state(decoded_topic(records_upto(records, ends)), state_path, now_ms, **kw)
+    return ends
+
+
+def records_upto(records: DataFrame, ends: dict[int, int]) -> DataFrame:
+    """The records before ``ends``: what was there when the offsets were taken, though the topic grows."""
+    stop = F.create_map(*[x for p, o in ends.items() for x in (F.lit(p), F.lit(o))])[F.col("partition")] if ends else F.lit(0)
+    return records.where(F.col("offset") < stop)
+
+
 def start_merge(records: DataFrame, state_path: str, checkpoint_location: str, **kw):
     """Run the merge half on a topic stream; ``kw`` as ``start_latest_state``
     (``ttl_ms``, ``emitter``, ``trigger``, ``clock``, ``stats_fn``, ...). Flush, error
