@@ -29,7 +29,7 @@ from .common import map_texts, slices, text_buffer, vector_sum, whole_text, word
 
 MAX_POSITIVE = 20_000
 MAX_UNLABELLED = 30_000
-#: Candidate terms (by documents of the confirmed class) and terms of the classifier.
+#: Candidate terms counted by one pass over the texts, and terms of the classifier.
 CANDIDATES = 16_384
 TERMS = 192
 #: A term needs so many distinct confirmed texts, such a z-value against all distinct
@@ -125,6 +125,77 @@ def _sample_rows(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, wo
     return np.frombuffer(b"".join(zlib.decompress(r.x) for r in rows), np.float32).reshape(-1, width).copy()
 
 
+def _toxic_share(docs: DataFrame, lab: DataFrame, id_col: str, text_col: str, label_col: str) -> float:
+    """The share of toxic texts among the distinct texts with a usable label."""
+    told = lab.groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) == 1).cast("int")).alias("_toxic"))
+    share = (_distinct(docs, text_col, F.col(id_col).alias("_id")).drop("_text").join(told, "_id")
+             .groupBy("_h1", "_h2").agg(F.max("_toxic").alias("_toxic")).agg(F.avg("_toxic")).first()[0])
+    return min(share or 0.0, 0.9)
+
+
+def _counts_everywhere(docs: DataFrame, text_col: str, words: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many of all distinct texts hold each of ``words`` (sorted), and how many there are."""
+    k = len(words)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, num, _, _ = _matches(batch.column(0), words)
+            order = np.argsort(doc, kind="stable")
+            ends = np.searchsorted(doc[order], np.arange(batch.num_rows + 1))
+            num = num[order].astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([num[lo:hi].tobytes() for lo, hi in zip(ends[:-1], ends[1:])], pa.binary())],
+                                             ["_h1", "_h2", "nums"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(k + 1)
+        for batch in batches:
+            total[:k] += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint16), minlength=k)
+            total[k] += batch.num_rows
+        return total
+
+    # distinct texts: what is shuffled here is a text's hash and candidate numbers
+    once = (map_texts(_distinct(docs, text_col), found, "_h1 long, _h2 long, nums binary")
+            .groupBy("_h1", "_h2").agg(F.first("nums").alias("nums")).select("nums"))
+    total = vector_sum(once, count, k + 1)
+    return total[:k], int(total[k])
+
+
+def _z_values(n: np.ndarray, confirmed: int, everywhere: np.ndarray, texts: int, share: float) -> np.ndarray:
+    """How far each term is more frequent among confirmed texts than among all; 0 without enough lift."""
+    p1, p0 = n / confirmed, everywhere / texts
+    # counts are whole numbers: half a document less (continuity correction)
+    z = (p1 - p0 - 0.5 / confirmed) / np.sqrt(np.maximum(p0 * (1 - p0), 1e-9) / confirmed + 1e-9)
+    # a term of toxic texts only is 1 / share times as frequent among them as in all distinct
+    # texts: the limit is never more than half of that (in logarithms)
+    z[p1 < min(LEAST_LIFT, max(share, 1e-9) ** -0.5) * p0] = 0
+    return z
+
+
+def _best_terms(docs: DataFrame, text_col: str, listed: dict[int, int], confirmed: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``TERMS`` candidates with the largest z-values, whatever their number.
+
+    Candidates are counted over all texts ``CANDIDATES`` at a time, the most frequent
+    among the confirmed first. A term occurs in all texts at least as often as in the
+    confirmed ones, which bounds its z-value; counting ends when no candidate left can
+    reach the best ``TERMS`` (or ``LEAST_Z``) any more.
+    """
+    order = sorted(listed, key=lambda h: (-listed[h], h))
+    words, counts, zs = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
+    for at in range(0, len(order), CANDIDATES):
+        block = np.array(sorted(order[at:at + CANDIDATES]), np.uint64)
+        n = np.array([listed[h] for h in block.tolist()], np.int64)
+        everywhere, texts = _counts_everywhere(docs, text_col, block)
+        words, counts = np.append(words, block), np.append(counts, n)
+        zs = np.append(zs, _z_values(n, confirmed, everywhere, texts, share))
+        best = np.sort(np.argsort(-zs, kind="stable")[:TERMS])
+        words, counts, zs = words[best], counts[best], zs[best]
+        left = np.array([listed[h] for h in order[at + CANDIDATES:]], np.int64)
+        least = max(LEAST_Z, zs.min() if len(zs) == TERMS else 0)
+        if not (_z_values(left, confirmed, left.astype(float), texts, share) >= least).any():
+            break
+    return words, counts, zs
+
+
 def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 500,
              rate: float = 0.05, decay: float = 3e-3) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative PU risk of the logistic
@@ -183,46 +254,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic = docs.join(F.broadcast(confirmed), docs[id_col] == confirmed["_sample"], "left_semi")
     counted = (map_texts(_distinct(toxic, text_col).dropDuplicates(["_h1", "_h2"]).select("_text"), _term_counts, "h long, n long")
                .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS))
-    top = sorted((r.h & (1 << 64) - 1, r.n) for r in counted.orderBy(F.desc("n"), "h").limit(CANDIDATES + 1).collect())
-    if len(top) < 2 or top[0][0]:
+    # as many as the bounded sample of confirmed texts has terms; term 0 counts its texts
+    listed = {r.h & (1 << 64) - 1: r.n for r in counted.collect()}
+    confirmed_docs = listed.pop(0, 0)
+    if not listed:
         return empty
-    confirmed_docs, words, n = top[0][1], np.array([h for h, _ in top[1:]], np.uint64), np.array([n for _, n in top[1:]])
-    k = len(words)
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc, num, _, _ = _matches(batch.column(0), words)
-            order = np.argsort(doc, kind="stable")
-            ends = np.searchsorted(doc[order], np.arange(batch.num_rows + 1))
-            num = num[order].astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([num[lo:hi].tobytes() for lo, hi in zip(ends[:-1], ends[1:])], pa.binary())],
-                                             ["_h1", "_h2", "nums"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros(k + 1)
-        for batch in batches:
-            total[:k] += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint16), minlength=k)
-            total[k] += batch.num_rows
-        return total
-
-    # both sides count distinct texts: what is shuffled here is a text's hash and candidate numbers
-    once = (map_texts(_distinct(docs, text_col), found, "_h1 long, _h2 long, nums binary")
-            .groupBy("_h1", "_h2").agg(F.first("nums").alias("nums")).select("nums"))
-    everywhere = vector_sum(once, count, k + 1)
-    # a term of toxic texts only is 1 / share times as frequent among them as in all distinct
-    # texts: the limit is never more than half of that (in logarithms)
-    told = lab.groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) == 1).cast("int")).alias("_toxic"))
-    share = (_distinct(docs, text_col, F.col(id_col).alias("_id")).drop("_text").join(told, "_id")
-             .groupBy("_h1", "_h2").agg(F.max("_toxic").alias("_toxic")).agg(F.avg("_toxic")).first()[0])
-    share = min(share or 0.0, 0.9)
-    p1, p0 = n / confirmed_docs, everywhere[:k] / everywhere[k]
-    # counts are whole numbers: half a document less (continuity correction)
-    z = (p1 - p0 - 0.5 / confirmed_docs) / np.sqrt(np.maximum(p0 * (1 - p0), 1e-9) / confirmed_docs + 1e-9)
-    z[p1 < min(LEAST_LIFT, max(share, 1e-9) ** -0.5) * p0] = 0
-    best = np.sort(np.argsort(-z, kind="stable")[:TERMS])
-    best = best[z[best] >= LEAST_Z]
+    lab_share = _toxic_share(docs, lab, id_col, text_col, label_col)
+    words, _, z = _best_terms(docs, text_col, listed, confirmed_docs, lab_share)
+    best = np.flatnonzero(z >= LEAST_Z)
     if not len(best):
         return empty
+    best = best[np.argsort(words[best])]
     positive = _sample_rows(docs, confirmed, id_col, text_col, words[best])
     # text taken without regard to its labels, so that it holds toxic text at the prior's rate
     unlabelled = _sample_rows(docs, some(docs, MAX_UNLABELLED), id_col, text_col, words[best])
