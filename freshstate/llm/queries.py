@@ -57,25 +57,38 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '^[\\s\\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_WORDS = "|".join(r.name for r in url_filter.PATTERN_RULES)
+
+
+def _pattern_values() -> str:
+    """The pattern rules as SQL rows: place, name, expression, whether it sees the whole URL."""
+    def text(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+    return ", ".join(f"({i}, {text(r.name)}, {text(r.pattern.replace(chr(92) + 'Z', chr(92) + 'z'))}, {r.whole})"
+                     for i, r in enumerate(url_filter.PATTERN_RULES))
+
+
 ORACLE_SQL["op2_url_filters"] = f"""
 WITH parts AS (
   SELECT page_id, {_HOST} AS host,
-         regexp_extract(coalesce(url, ''), '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1) AS path
+         regexp_extract(coalesce(url, ''), '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(coalesce(url, ''), '^[\\s\\S]*?://[^/?#]*([\\s\\S]*)', 1) AS rest
   FROM pages),
 rules(rule, verdict) AS (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'),
                                 ('net/es/', 'block'), ('net/fr/', 'block')),
+patterns(place, name, pattern, whole) AS (VALUES {_pattern_values()}),
 hits AS (
   SELECT p.page_id, p.host, p.path, max_by(r.rule, length(r.rule)) AS rule, max_by(r.verdict, length(r.rule)) AS verdict
   FROM parts p JOIN rules r
     ON (p.host = split_part(r.rule, '/', 1) OR ends_with(p.host, '.' || split_part(r.rule, '/', 1)))
    AND starts_with(p.path, substr(r.rule, strpos(r.rule, '/')))
-  GROUP BY ALL)
+  GROUP BY ALL),
+others AS (
+  SELECT page_id, arg_min(name, place) AS name
+  FROM parts, patterns WHERE regexp_matches(host || CASE WHEN whole THEN rest ELSE path END, pattern) GROUP BY page_id)
 SELECT p.page_id, p.host, p.path, h.rule,
-       coalesce(h.verdict, CASE WHEN w.word <> '' THEN 'block' ELSE 'allow' END) AS verdict,
-       coalesce(h.rule, nullif(w.word, '')) AS matched
-FROM (SELECT *, regexp_extract(host, '(?:^|\\.)({_WORDS})\\.', 1) AS word FROM parts) w
-JOIN parts p USING (page_id) LEFT JOIN hits h USING (page_id)"""
+       coalesce(h.verdict, CASE WHEN w.name IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(h.rule, w.name) AS matched
+FROM parts p LEFT JOIN others w USING (page_id) LEFT JOIN hits h USING (page_id)"""
 
 
 @_query

@@ -45,6 +45,48 @@ def test_longest_site_rule_wins(spark, url, rule):
     assert got.rule == rule
 
 
+def whole(url):
+    host, _ = parts(url)
+    return host + re.match(r"(?s)[^/?#]*(.*)", url.split("://", 1)[1])[1] if url and "://" in url else ""
+
+
+WILD = ["||ads.", "||ads.example.com^", "|x.net/", "/banner/*/ad-", "?utm_source=", "utm_*=feed|", "*track*", "-Promo-", "^id^", "a*b|", "||*-bets.", "/p|"]
+WILD_URLS = ["http://ads.x.org/", "https://my.ads.example.com", "http://ads.example.com:80/x", "http://adsx.example.com/", "http://x.net/a", "http://ax.net/",
+             "http://h.org/banner/9/x/ad-1", "http://h.org/banner/ad-1", "http://h.org/?utm_source=feed", "http://h.org/q?utm_medium=feed",
+             "http://h.org/q?utm_medium=feeds", "http://h.org/backtracking", "http://h.org/a-Promo-b", "http://h.org/a-promo-b", "http://h.org/x?id",
+             "http://h.org/?id=3", "http://h.org/aaab", "http://best-bets.h.org/", "http://bets.h.org/", "http://h.org/p", "http://h.org/pp", "http://h.org/a\u212ab", None, ""]
+
+
+def test_wildcard_rules(spark):
+    """Against every rule on every whole URL; tokens only pick what may match."""
+    rules = tuple(U.wildcard_rule("block", w) for w in WILD)
+    df = spark.createDataFrame(list(enumerate(WILD_URLS)), "page_id long, url string")
+    for r in rules:  # one at a time, so that no other rule hides a miss
+        got = {x.page_id for x in U.url_filter(df, (r,)).collect() if x.rule}
+        want = {i for i, u in enumerate(WILD_URLS) if re.search(r.pattern, whole(u))}
+        assert got == want, r
+    hit = {r.name: {u for u in WILD_URLS if u and re.search(r.pattern, whole(u))} for r in rules}
+    assert hit["||ads.example.com^"] == {"https://my.ads.example.com", "http://ads.example.com:80/x"}
+    assert hit["utm_*=feed|"] == {"http://h.org/?utm_source=feed", "http://h.org/q?utm_medium=feed"}
+    assert hit["/p|"] == {"http://h.org/p"} and hit["||*-bets."] == {"http://best-bets.h.org/"}
+    assert {r.name: r.tokens for r in rules}["/banner/*/ad-"] == ("banner", "ad") and U.wildcard_rule("block", "*track*").tokens == ()
+
+
+def test_hosts_of_numbers_and_hyphens(spark):
+    urls = ["http://10.0.0.1/x", "http://10.0.0.1:8080/", "http://10.0.0.x/", "http://buy-now-cheap-here.org/", "http://a-b.c-d.org/", "http://x.org/a-b-c-d-e"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = [r.rule for r in U.url_filter(df, U.PATTERN_RULES).orderBy("page_id").collect()]
+    assert got == ["numeric host", "numeric host", None, "hyphenated host", None, None]
+
+
+def test_many_rules(spark):
+    """10^5 rules: a URL runs the few that its tokens fetch."""
+    rules = tuple(U.wildcard_rule("block", f"||host{k}.example^") for k in range(100_000))
+    df = spark.range(3000).selectExpr("id AS page_id", "concat('http://www.host', id * 50, '.example/', id) AS url")
+    out = U.url_filter(df, rules).collect()
+    assert all(r.rule == (f"||host{r.page_id * 50}.example^" if r.page_id < 2000 else None) for r in out) and len(out) == 3000
+
+
 def test_rules_are_indexed_by_their_rarest_token():
     by_token, always = U.index_rules(SITE_RULES + (U.Rule("r", "block", "x", ()),), {"com": 50, "example": 90, "www": 3, "net": 1})
     assert by_token == {"com": [0, 1], "www": [2], "net": [3, 4]} and always == [5]
