@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import FILTER_BITS, cut, maybe_in, whole_text
 
@@ -26,7 +27,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts are equal when identical. Of equal texts, the row with the largest
     id stays. Null text counts as empty. A null id is smaller than any other.
-    Of rows repeated with the same text and id, one stays. An empty table
+    Of rows repeated with the same text and id, one stays. Ids may be of any type that has an order. An empty table
     gives no rows. Other columns are ignored unless named in ``keep_cols``
     (which must not be named keep_id, group_size or kept).
     """
@@ -46,10 +47,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.when(F.col("_maybe"), F.sha2(F.col("_text"), 256)).alias("_full"),
         *[f"_keep_{i}" for i in range(len(keep_cols))]))
     group = ["_len", "_prefix", "_full"]
+    whole = isinstance(docs.schema[id_col].dataType, IntegralType)  # numbers stay in a hash aggregate
+    by_id = F.coalesce(F.col("_id").cast("long"), F.lit(-(1 << 63))) if whole else F.struct(F.col("_id").isNotNull().alias("some"), "_id")
     # materialised, so that the join below may split a group that a third of the rows share
     groups = cut(hashed.where("_full IS NOT NULL").groupBy(*group)
                  .agg(F.count(F.lit(1)).alias("_size"), F.max("_id").alias("_max"),
-                      F.max_by("_row", F.coalesce(F.col("_id"), F.lit(-(1 << 63)))).alias("_stays"))
+                      F.max_by("_row", by_id).alias("_stays"))
                  .where("_size > 1"))
     kept = [F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep_cols)]
     return hashed.join(groups, group, "left").select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import cut, whole_text
 
@@ -38,13 +39,16 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the end exclusive. Texts of fewer than ``lines`` lines, windows of blank
     lines, null and empty texts lose nothing (a null text comes back as empty).
     Rows repeated with the same id and text are one document and keep their
-    lines together. An empty table gives no rows; other columns are ignored.
+    lines together. Ids may be of any type that has an order. An empty table gives no rows; other columns are ignored.
     """
     windows = cut(_windows(docs, id_col, text_col, lines))
-    # (id, position) as one number, so that the minimum is combined before the shuffle
-    last = F.lit("9223372036854775808").cast("decimal(20,0)")
-    order = (F.coalesce(F.col("_id").cast("decimal(20,0)"), last) * F.lit(1 << 32).cast("decimal(11,0)")
-             + F.col("_pos")).cast("decimal(38,0)")
+    if isinstance(docs.schema[id_col].dataType, IntegralType):
+        # (id, position) as one number, so that the minimum is combined before the shuffle
+        last = F.lit("9223372036854775808").cast("decimal(20,0)")
+        order = (F.coalesce(F.col("_id").cast("decimal(20,0)"), last) * F.lit(1 << 32).cast("decimal(11,0)")
+                 + F.col("_pos")).cast("decimal(38,0)")
+    else:
+        order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_pos")
     key = ["_h1", "_h2"]
     placed = windows.withColumn("_at", order)
     # materialised, so that the join below may split a window that a third of the rows share
@@ -54,10 +58,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # merge the covered positions of a document: a window starts a new span unless
     # it begins inside or right after the one before it
     starts = later.groupBy("_id", "_th").agg(F.sort_array(F.collect_set("_pos")).alias("_p"))
-    merged = F.expr(f"""aggregate(_p, cast(array() AS array<struct<s:int,e:int>>), (a, x) ->
-        if(size(a) > 0 and x <= element_at(a, -1).e,
-           concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).s AS s, x + {lines} AS e))),
-           concat(a, array(struct(x AS s, x + {lines} AS e)))))""")
+    merged = F.expr(f"""zip_with(
+        filter(_p, (x, i) -> i = 0 or x > _p[i - 1] + {lines}),
+        filter(_p, (x, i) -> i = size(_p) - 1 or _p[i + 1] > x + {lines}),
+        (x, y) -> struct(x AS s, y + {lines} AS e))""")
     spans = starts.select("_id", "_th", merged.alias("_spans"))
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t"), F.xxhash64(text).alias("_th"))

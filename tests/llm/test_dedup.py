@@ -72,6 +72,25 @@ def test_line_dedup_edges(spark):
     assert LD.line_dedup(df.limit(0)).count() == 0
 
 
+def test_text_ids(spark):
+    data = [("b", "p\nq\nr\ns"), ("a", "x\np\nq\nr\ny"), (None, "p\nq\nr"), ("c", "p\nq\nr\ns"), ("d", None)]
+    df = spark.createDataFrame(data, "doc_id string, text string")
+    got = {r.doc_id: (r.text, [tuple(s) for s in r.spans]) for r in LD.line_dedup(df).collect()}
+    assert got == {"a": ("x\np\nq\nr\ny", []), "b": ("s", [(0, 3)]), "c": ("", [(0, 4)]), None: ("", [(0, 3)]), "d": ("", [])}
+    kept = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in X.exact_dedup(df).collect()}
+    assert kept == {("a", "a", 1, True), ("b", "c", 2, False), ("c", "c", 2, True), (None, None, 1, True), ("d", "d", 1, True)}
+    nulls = spark.createDataFrame([(None, "t"), ("", "t"), (None, "t")], "doc_id string, text string")
+    assert sorted((r.doc_id is None, r.kept) for r in X.exact_dedup(nulls).collect()) == [(False, True), (True, False), (True, False)]
+
+
+def test_spans_of_one_long_text(spark):
+    """Many separate duplicate stretches in one text."""
+    block = "\n".join(["p", "q", "r"])
+    text = "\n".join(f"{block}\nown {k}" for k in range(4000))
+    rows = {r.doc_id: r for r in LD.line_dedup(spark.createDataFrame([(1, block), (2, text)], "doc_id long, text string")).collect()}
+    assert rows[2].n_removed == 12000 and len(rows[2].spans) == 4000 and rows[2].text == "\n".join(f"own {k}" for k in range(4000))
+
+
 def docs_for_simhash():
     words = [f"w{i}" for i in range(400)]
     a = " ".join(words[:200])
