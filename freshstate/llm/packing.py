@@ -30,6 +30,9 @@ CACHE_ENTRIES = 600_000
 #: Pieces dealt to one packing group: bounds the memory of its task.
 GROUP_PIECES = 20_000
 
+#: Documents whose new words are learnt together, and words told to the library as one text.
+_DOCS, _JOINED = 64, 2000
+
 _LOADED: dict = {}
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
 
@@ -55,13 +58,19 @@ class WordIds:
         for part, e in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
             self.cache[part] = np.asarray(e.ids, "<u4").tobytes()
 
-    def _learn(self, parts: list[str]) -> None:
+    def _library_words(self, words: list[str]) -> None:
+        """Plain words and plain punctuation, many to a call: as one text, told apart by where their tokens begin."""
+        for at in range(0, len(words), _JOINED):
+            some = words[at:at + _JOINED]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begins = np.asarray([a for a, _ in e.offsets], np.int64)
+            cuts = (4 * np.searchsorted(begins, np.cumsum([0] + [len(w) + 1 for w in some]))).tolist()
+            ids = np.asarray(e.ids, "<u4").tobytes()
+            self.cache.update(zip(some, [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]))
+
+    def _learn(self, missing: set[str]) -> None:
         cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-            cache[""] = b""
-        missing = {p for p in parts if p not in cache}
-        pairs, needed = [], set()
+        pairs, needed, other = [], set(), []
         for part in missing:
             m = _SIMPLE.fullmatch(part)
             if m:
@@ -70,22 +79,23 @@ class WordIds:
                 needed.add(word)
                 needed.add(tail)
             else:
-                needed.add(part)
-        self._library([x for x in needed if x not in cache])
+                other.append(part)
+        self._library_words([x for x in needed if x not in cache])
+        self._library(other)
         for part, word, tail in pairs:
             cache[part] = cache[word] + cache[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        cache, out = self.cache, []
-        for text in texts:
-            parts = text.replace("\n", " ").split(" ")
-            try:
-                out.append(b"".join([cache[p] for p in parts]))
-            except KeyError:
-                self._learn(parts)
-                out.append(b"".join([cache[p] for p in parts]))
-        return out
+        cache = self.cache
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        missing = {p for parts in split for p in parts if p not in cache}
+        if len(cache) + len(missing) > CACHE_ENTRIES:
+            cache.clear()
+            cache[""] = b""
+            missing = {p for parts in split for p in parts if p}
+        self._learn(missing)
+        return [b"".join([cache[p] for p in parts]) for parts in split]
 
 
 def word_ids(path: str) -> WordIds:
@@ -110,8 +120,8 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         enc, end, step = word_ids(path), np.asarray([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             doc, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                data = enc.encode([text])[0] + end
+            for i, data in enumerate(x for at in range(0, batch.num_rows, _DOCS) for x in enc.encode(batch.column(1).slice(at, _DOCS).to_pylist())):
+                data += end
                 for k, at in enumerate(range(0, len(data), step)):
                     part = data[at:at + step]
                     doc.append(i)
