@@ -30,8 +30,8 @@ CACHE_ENTRIES = 600_000
 #: Pieces dealt to one packing group: bounds the memory of its task.
 GROUP_PIECES = 20_000
 
-#: Documents whose new words are learnt together, and words told to the library as one text.
-_DOCS, _JOINED = 64, 2000
+#: Words told to the library as one text.
+_JOINED = 2000
 
 _LOADED: dict = {}
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
@@ -87,15 +87,20 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        cache = self.cache
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        missing = {p for parts in split for p in parts if p not in cache}
-        if len(cache) + len(missing) > CACHE_ENTRIES:
-            cache.clear()
-            cache[""] = b""
-            missing = {p for parts in split for p in parts if p}
-        self._learn(missing)
-        return [b"".join([cache[p] for p in parts]) for parts in split]
+        cache, out = self.cache, []
+        for text in texts:
+            parts = text.replace("\n", " ").split(" ")
+            found = list(map(cache.get, parts))
+            if None in found:
+                new = [i for i, x in enumerate(found) if x is None]
+                if len(cache) > CACHE_ENTRIES:
+                    cache.clear()
+                    cache[""] = b""
+                self._learn({parts[i] for i in new})
+                for i in new:
+                    found[i] = cache[parts[i]]
+            out.append(b"".join(found))
+        return out
 
 
 def word_ids(path: str) -> WordIds:
@@ -120,8 +125,8 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         enc, end, step = word_ids(path), np.asarray([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             doc, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, data in enumerate(x for at in range(0, batch.num_rows, _DOCS) for x in enc.encode(batch.column(1).slice(at, _DOCS).to_pylist())):
-                data += end
+            for i, text in enumerate(batch.column(1)):
+                data = enc.encode([text.as_py()])[0] + end
                 for k, at in enumerate(range(0, len(data), step)):
                     part = data[at:at + step]
                     doc.append(i)
