@@ -134,8 +134,9 @@ FROM lines l LEFT JOIN gone g USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
 
 @_query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text."""
-    return simhash.edit_comparison(table(spark, sf_dir))
+    """Fingerprints of every document and of its edited text; ``n_near``, for the ids
+    divisible by 50: how many other documents' fingerprints are within the radius."""
+    return simhash.count_near(simhash.edit_comparison(table(spark, sf_dir)), F.col("doc_id") % 50 == 0)
 
 
 @_query

@@ -171,14 +171,60 @@ def test_block_tables_find_every_pair(spark):
             fps.add(f"{x:032x}")
     data = sorted(fps)
     df = spark.createDataFrame([(f,) for f in data] + [(data[0],), (None,)], "fingerprint string")
-    for radius, blocks in ((3, None), (4, 7)):
-        got = {(r.a, r.b, r.distance) for r in S.near_fingerprints(df, radius, blocks).collect()}
-        want = {(a, b, bits(a, b)) for a in data for b in data if a < b and bits(a, b) <= radius}
-        assert got == want and want
-    assert S.near_fingerprints(df.limit(0), 3).count() == 0
+    asked = df.where(F.col("fingerprint").substr(32, 1).isin(*"02468ace"))
+    queries = {r.fingerprint for r in asked.collect()}
+    for radius, blocks, salts in ((3, 5, 1), (4, 7, 3), (6, 8, 8), (0, 1, 2)):
+        got = [tuple(r) for r in S.near_fingerprints(asked, df, radius, blocks, salts=salts).collect()]
+        want = {(q, f, 1 + (f == data[0]), bits(q, f)) for q in queries for f in data if bits(q, f) <= radius}
+        assert len(got) == len(set(got)) and set(got) == want and want
+    assert S.near_fingerprints(df, df.limit(0), 3, 5).count() == 0 and S.near_fingerprints(df.limit(0), df, 3, 5).count() == 0
+
+
+def test_count_near(spark):
+    import random
+    rnd = random.Random(6)
+    fps = [0, 1, 3, 1 << 127, (1 << 128) - 1, (1 << 128) - 1] + [rnd.getrandbits(6) << 40 for _ in range(60)]
+    data = [(k if k % 7 else None, f"{f:032x}", "x") for k, f in enumerate(fps)] + [(100, None, "x"), (50, f"{fps[9]:032x}", "x")]
+    df = spark.createDataFrame(data, "doc_id long, fingerprint string, n_rows string")
+    rows = S.count_near(df, F.col("doc_id") % 2 == 0).collect()
+    assert sorted(map(str, ((r.doc_id, r.fingerprint, r.n_rows) for r in rows))) == sorted(map(str, data))
+    for r in rows:
+        want = None
+        if r.doc_id is not None and r.doc_id % 2 == 0 and r.fingerprint:
+            want = sum(bits(r.fingerprint, f) <= S.RADIUS for _, f, _ in data if f) - 1
+        assert r.n_near == want
+    assert S.count_near(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_order_of_odd_ids(spark, monkeypatch):
+    """Null, repeated, far-off and text ids are dealt over buckets evenly."""
+    monkeypatch.setattr(S, "BUCKET", 20)
+    ids = [None] * 400 + [5] * 300 + [10 ** 15, -(1 << 63), (1 << 63) - 1] + list(range(200))
+    data = [(i, f"text {k}") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    h = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(data, key=lambda x: (x[0] is None, -(x[0] or 0), h[x[1]]))
+    rows = S.with_next_text(df).where("NOT _guest").collect()
+    assert {r._text: r._next for r in rows} == {t: order[(k + 1) % len(order)][1] for k, (_, t) in enumerate(order)}
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r._bucket] += 1
+    assert len(rows) == len(data) and len(sizes) > 25 and max(sizes.values()) < 100
+
+    texts = df.selectExpr("concat('id', doc_id) AS doc_id", "text")
+    rows = S.with_next_text(texts).where("NOT _guest").collect()
+    nxt = {r._text: r._next for r in rows}
+    at, seen = "text 0", set()
+    while at not in seen:
+        seen.add(at)
+        at = nxt[at]
+    assert len(seen) == len(data)
+    got = S.edit_comparison(texts.where("text = 'text 500'")).first()
+    assert got.doc_id == "id5" and got.near_next == 1.0
 
 
 def test_fingerprints_are_native(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
-    for out in (S.edit_comparison(df), S.near_fingerprints(S.fingerprints(df, ["doc_id"], "text"))):
+    fps = S.edit_comparison(df)
+    for out in (fps, S.near_fingerprints(fps, fps), S.count_near(fps, F.lit(True))):
         assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
