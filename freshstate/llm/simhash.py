@@ -145,7 +145,8 @@ def near_fingerprints(queries: DataFrame, fps: DataFrame, radius: int = RADIUS,
     asked = classes(queries).drop("n_rows").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     every = classes(fps).withColumn(
         "_salt", F.pmod(F.xxhash64(F.lit(5), "_h", "_l"), F.lit(salts)).cast("int"))
-    pairs = keyed(asked).withColumnsRenamed({"_h": "_qh", "_l": "_ql"}).join(keyed(every), "_key")
+    # merged, never broadcast: the queries' keys grow with the data
+    pairs = keyed(asked).withColumnsRenamed({"_h": "_qh", "_l": "_ql"}).join(keyed(every).hint("merge"), "_key")
     high, low = F.col("_qh").bitwiseXOR(F.col("_h")), F.col("_ql").bitwiseXOR(F.col("_l"))
     near = pairs.select("*", _differing(high, low).alias("distance")).where(F.col("distance") <= radius)
     # a table's blocks agree, and no other one before the last of them does

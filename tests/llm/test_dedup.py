@@ -228,3 +228,5 @@ def test_fingerprints_are_native(spark):
     fps = S.edit_comparison(df)
     for out in (fps, S.near_fingerprints(fps, fps), S.count_near(fps, F.lit(True))):
         assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    plan = S.near_fingerprints(fps, fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_key" in plan
