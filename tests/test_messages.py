@@ -61,6 +61,20 @@ def test_decode_id_only_and_nulls(spark):
     assert (1, "V2", "s", None, 0, 0) in got and (1, "V2", "t", 3, 0, 0) in got
 
 
+def test_flushes_and_telemetry_from_one_parse(spark):
+    texts = ['{"_flush":true}', '{"data":{"id":"V","s":{"value":1,"received_at":2}}}', '{"_flush":true,"data":{"id":"V","s":"oops"}}',
+             '{"_flush":"true"}', "not json", '{"data":{"id":"W"}}', '{"_flush":false,"data":{"id":"V"}}', None]
+    df = spark.createDataFrame(list(enumerate(texts)), "seq long, value string")
+    plain = M.decode_payloads(df, keep=("seq",), with_device_rows=True)
+    both = M.decode_payloads(df, keep=("seq",), with_device_rows=True, with_flushes=True)
+    assert both.columns == [*plain.columns, "flush"]
+    shown = lambda d: sorted((tuple(str(x) for x in r) for r in d.collect()))
+    assert shown(both.where("NOT flush").drop("flush")) == shown(plain)
+    routed = M.with_route(df).where(F.col("route") == M.ROUTE_FLUSH).select("seq")
+    assert sorted(r.seq for r in both.where("flush").collect()) == sorted(r.seq for r in routed.collect()) == [0, 2]
+    assert both.where("flush AND coalesce(vin, sensor, to_json(value), received_at) IS NOT NULL").count() == 0
+
+
 def test_duplicate_keys_last_wins(spark):
     got = decode(spark, ['{"data":{"id":"A","s":{"value":1,"received_at":1},"id":"B"}}'])
     assert got[0][1] == "B"
