@@ -1,4 +1,5 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -124,3 +125,26 @@ def test_sensor_named_id_is_left_out(spark):
                                "vin string, sensor string, value double, received_at long")
     data = json.loads(M.encode_devices(df, 1).first().payload)["data"]
     assert data == {"id": "VIN1", "a": {"value": 2.0, "received_at": 20}}
+
+
+def test_members_are_asked_for_once_and_only_where_they_are(spark):
+    """Reading at a path that leads nowhere costs as much as the parse: ``id`` alone is
+    read by its path, where the data has one."""
+    plan = M.with_envelope(spark.createDataFrame([("{}",)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
+    paths = re.findall(r"try_variant_get\(_(?:whole|doc|v|env)\S*, (\S+), ", plan)
+    assert sorted(paths) == ["$[0]", "$[0].data.id", "$[1]"]
+
+
+def test_whole_documents_only(spark):
+    texts = ["null", " null\n", "\t{}\r\n", "{} ", " [] ", "[1]", "-1", "0.5 ", '"}"', "true", "false ", '{"a":"}"}', "{}}", "{} x", "x {}",
+             "{}{}", "{},{}", "[1] [2]", "1 2", "1,2", "nul", "nulls", "not json", "{", "}", "]", "-", '"', '"a', "", " ",
+             "\u00a0{}", "\ufeff{}", "\x0b{}", "//\n{}", "('a')"]
+
+    def loaded(t):
+        try:
+            return json.dumps(json.loads(t))
+        except ValueError:
+            return "none"
+    df = spark.createDataFrame(list(enumerate(texts)), "seq long, value string")
+    got = M.with_body(df).selectExpr("seq", "IF(_v IS NULL, 'none', coalesce(to_json(_v), 'null')) AS j").orderBy("seq").collect()
+    assert [r.j if r.j == "none" else json.dumps(json.loads(r.j)) for r in got] == [loaded(t) for t in texts]
